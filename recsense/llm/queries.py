@@ -9,12 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .packing import pack
+from .tokens import token_counts
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
@@ -59,6 +69,8 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix": op2_mix,
+    "op3_pack": op3_pack,
+    "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
 }
 
