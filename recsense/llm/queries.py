@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .exact_dedup import exact_dedup
+from .language import identify
 from .mixing import mix
 from .packing import pack
 from .tokens import token_counts
@@ -29,6 +30,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
+
+
 OP2_SQL = r"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pack": op3_pack,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_language_id": op8_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {
