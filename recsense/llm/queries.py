@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .language import identify
 from .mixing import mix
 from .packing import pack
+from .simhash import near_duplicates
 from .tokens import token_counts
 
 
@@ -22,6 +23,10 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
@@ -75,6 +80,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix": op2_mix,
     "op3_pack": op3_pack,
+    "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
