@@ -13,6 +13,12 @@ from .mixing import mix
 from .packing import pack
 from .simhash import near_duplicates
 from .tokens import token_counts
+from .topk import top_k
+from .toxicity import fit_toxicity, score_toxicity
+
+
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +44,23 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score")
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_toxicity(docs, fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
 
 OP2_SQL = r"""
 WITH sizes AS (
@@ -78,15 +101,18 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op2_mix": op2_mix,
     "op3_pack": op3_pack,
     "op4_simhash": op4_simhash,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_top_k": OP1_SQL,
     "op2_mix": OP2_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
