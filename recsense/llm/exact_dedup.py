@@ -9,6 +9,8 @@ from .common import SPACE
 
 #: Ways in which the range partitioner may split one content.
 SALTS = 64
+#: Characters of a content that the splitters see.
+HEAD = 32
 
 
 def normalised(text: Column) -> Column:
@@ -26,15 +28,17 @@ def _order(text: Column, doc_id: Column) -> Column:
 def content_runs(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", salts: int = SALTS) -> DataFrame:
     """``(text_sha256, size, best)`` for each run of equal contents in each range of the sorted texts.
 
-    Spark samples the splitters of the range partitioning over (content, salt); inside a range the rows are
-    sorted externally, equals become neighbours, and the window compares whole neighbouring contents. The
-    salt lets a content with a large share of all rows spread over many ranges, so the runs of one content
-    are summed up afterwards (:func:`groups`), across the range boundaries.
+    Spark samples the splitters of the range partitioning over (first characters, hash, salt), so that the
+    sample stays small however long the texts are; inside a range the rows are sorted externally, equals
+    become neighbours, and the window compares whole neighbouring contents. The salt lets a content with a
+    large share of all rows spread over many ranges, so the runs of one content are summed up afterwards
+    (:func:`groups`), across the range boundaries.
     """
     rows = docs.select(normalised(F.col(text)).alias("content"), F.pmod(F.xxhash64(F.col(doc_id)), F.lit(salts)).cast("int").alias("salt"), _order(F.col(text), F.col(doc_id)).alias("best"))
-    ranged = rows.repartitionByRange("content", "salt")
-    # RangePartitioning(content, salt) satisfies the window's distribution: no further exchange
-    run = Window.partitionBy("content", "salt").orderBy("best")
+    lead = ["head", "hash", "salt"]
+    ranged = rows.select(F.substring("content", 1, HEAD).alias("head"), F.xxhash64("content").alias("hash"), "salt", "content", "best").repartitionByRange(*lead)
+    # this range partitioning satisfies the window's distribution: no further exchange
+    run = Window.partitionBy(*lead, "content").orderBy("best")
     last = ranged.withColumn("size", F.row_number().over(run).cast("long")).withColumn("more", F.lead(F.lit(1)).over(run)).filter(F.col("more").isNull())
     return last.select(F.sha2(F.col("content"), 256).alias("text_sha256"), "size", "best")
 
