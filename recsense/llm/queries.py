@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .byte_dedup import repeated_bytes
 from .common import documents
 from .exact_dedup import exact_dedup
 from .language import identify
 from .mixing import mix
 from .packing import pack
+from .phrase_dedup import repeated_phrases
 from .simhash import near_duplicates
 from .tokens import token_counts
 from .topk import top_k
@@ -33,6 +36,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def removed(spans: str) -> Column:
+    """Units in the spans."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_bytes(documents(spark, sf_dir))
+    return found.select("doc_id", "n_bytes", removed("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
@@ -49,6 +62,11 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_phrases(documents(spark, sf_dir))
+    return found.select("doc_id", "n_words", removed("spans").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP1_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -105,10 +123,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix": op2_mix,
     "op3_pack": op3_pack,
     "op4_simhash": op4_simhash,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
