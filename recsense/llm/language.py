@@ -185,8 +185,8 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_i
     return grow(samples) if samples else None
 
 
-def predict_languages(docs: DataFrame, trees: Trees | None, text: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """The ``keep`` columns with ``lang_pred, score, bits_per_byte``.
+def predict_languages(docs: DataFrame, trees: Trees | None, text: str = "text", keep: list[Column] | None = None, with_text: bool = False) -> DataFrame:
+    """The ``keep`` columns with ``lang_pred, score, bits_per_byte``, and with ``__text`` if asked for.
 
     The language of the shortest code wins (of equals the first by name). ``score`` is its posterior
     probability among the languages. Null texts, texts without letters, and all texts when nothing was
@@ -196,6 +196,8 @@ def predict_languages(docs: DataFrame, trees: Trees | None, text: str = "text",
     kept = docs.select(*(keep or []), F.col(text).alias("__text"))
     out = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("bits_per_byte", pa.float64())])
     names = kept.columns[:-1]
+    passed = len(names) + with_text
+    kept_names = kept.columns[:passed]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = model.value
@@ -213,10 +215,10 @@ def predict_languages(docs: DataFrame, trees: Trees | None, text: str = "text",
                 posterior = 1.0 / np.exp2(np.maximum(least[:, None] - bits, -1000)).sum(1)
                 for j, k in enumerate(some):
                     lang[k], sure[k], rate[k] = trees.languages[best[j]], float(posterior[j]), float(least[j] / len(raw[j]))
-            columns = [batch.column(j) for j in range(len(names))] + [pa.array(lang, pa.string()), pa.array(sure), pa.array(rate, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*names, *out.names])
+            columns = [batch.column(j) for j in range(passed)] + [pa.array(lang, pa.string()), pa.array(sure), pa.array(rate, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept_names, *out.names])
 
-    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + ["lang_pred string, score double, bits_per_byte double"])
+    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:passed]] + ["lang_pred string, score double, bits_per_byte double"])
     return kept.mapInArrow(score, ddl)
 
 

@@ -50,20 +50,23 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """
     sizes = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
     sizes = written(sizes, "mix-sizes")
-    # one row per source: the reader knows its size in bytes, so Spark broadcasts it only below its threshold
-    targets = written(source_targets(sizes, weights, share, cap), "mix-targets").withColumnRenamed("source", "of_source")
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
+    joined = with_copies(sizes, source_targets(sizes, weights, share, cap), seed)
+    return joined.select("doc_id", "source", "size", "source_size", "target", "copies").withColumn("taken", F.col("size") * F.col("copies"))
+
+
+def with_copies(rows: DataFrame, targets: DataFrame, seed: str = SEED, doc_id: str = "doc_id", source: str = "source") -> DataFrame:
+    """``rows`` with ``source_size, target, copies``: how often each is taken."""
+    # one row per source, written: its size in bytes is known, so Spark broadcasts it only below its threshold
+    targets = written(targets, "mix-targets").withColumnRenamed("source", "__source")
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))).cast("binary")), 1, 13), 16, 10).cast("double") / float(1 << 52)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size").cast("double")).otherwise(F.lit(0.0))
-    joined = sizes.join(targets, sizes["source"].eqNullSafe(F.col("of_source")))
-    copies = F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)
-    return joined.select("doc_id", "source", "size", "source_size", "target", copies.cast("long").alias("copies")).withColumn("taken", F.col("size") * F.col("copies"))
+    joined = rows.join(targets, rows[source].eqNullSafe(F.col("__source"))).drop("__source")
+    return joined.withColumn("copies", (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("long"))
 
 
-def mixed_rows(docs: DataFrame, **options) -> DataFrame:
+def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
     """The mix itself: every document of ``docs`` as often as it is taken, with the columns of ``docs``."""
-    names = docs.columns
-    plan = mix(docs, **options)
-    key = options.get("doc_id", "doc_id")
-    copies = plan.filter("copies > 0").select(F.col("doc_id").alias("__id"), "copies").distinct()
-    rows = docs.join(copies, docs[key].eqNullSafe(F.col("__id")))
-    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"`{c}`") for c in names])
+    sizes = docs.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
+    whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    taken = with_copies(whole, source_targets(sizes, weights, share, cap), seed)
+    return taken.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
