@@ -122,9 +122,9 @@ def bridged(spark, sf_dir):
 
 
 @query("raw_to_features", f"""WITH RECURSIVE {SEG}, sx AS (SELECT rec, row_idx, id, CASE WHEN rec % 4 = 1 THEN b ELSE a END AS x FROM seg), f AS (
-  SELECT rec, row_idx, id, x AS y FROM sx WHERE row_idx = 0 UNION ALL SELECT s.rec, s.row_idx, s.id, 0.3e0 * s.x + 0.7e0 * f.y FROM f JOIN sx s ON s.rec = f.rec AND s.row_idx = f.row_idx + 1) SELECT rec, id, round(y, 3) AS y FROM f""")
+  SELECT rec, row_idx, id, x AS y FROM sx WHERE row_idx = 0 UNION ALL SELECT s.rec, s.row_idx, s.id, 0.3e0 * s.x + 0.7e0 * f.y FROM f JOIN sx s ON s.rec = f.rec AND s.row_idx = f.row_idx + 1) SELECT rec, id, round(y + 0.0000003e0, 5) AS y FROM f""")
 def raw_to_features(spark, sf_dir):
-    return bridged(spark, sf_dir).select("rec", "id", F.round("y", 3).alias("y"))
+    return bridged(spark, sf_dir).select("rec", "id", F.round(F.col("y") + 0.0000003, 5).alias("y"))
 
 
 @query("bridge_equivalence", "SELECT user_id AS rec, CAST(CASE WHEN user_id % 10 = 3 THEN 1.0e0 ELSE 0.0e0 END AS DOUBLE) AS d_a, user_id % 10 <> 3 AS equal FROM events GROUP BY user_id")
