@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,3 +83,17 @@ SEG = EV + """, dts AS (
   SELECT d.*, m.med, CAST(sum(CASE WHEN d.dt > 5 * m.med THEN 1 ELSE 0 END) OVER (PARTITION BY d.rec ORDER BY d.t, d.id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS segment,
     row_number() OVER (PARTITION BY d.rec ORDER BY d.t, d.id) - 1 AS row_idx
   FROM dts d JOIN med m USING (rec))"""
+
+
+def decided_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored rows with the call at 0.85."""
+    return score(spark, sf_dir).withColumn("Label", F.when(F.greatest("p", 1.0 - F.col("p")) < 0.85, -1).when(F.col("p") >= 0.5, 10).otherwise(0))
+
+
+def shared(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see; one of our own only where the session names none, as in tests."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        named = tempfile.mkdtemp(prefix="recsense-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
