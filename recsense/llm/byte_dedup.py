@@ -5,10 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import written
-from .repeats import Shape, finish, keyed, mixed, over_boundaries, scan_blocks, sorted_pass
+from .repeats import Shape, finish, keyed, mixed, over_boundaries, scan_blocks, sorted_pass, splitters
 
 #: Bytes of a string that is removed when it occurs again.
 LENGTH = 400
@@ -29,9 +28,9 @@ def spans_of(covered: np.ndarray) -> list[dict[str, int]]:
     return [{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()]
 
 
-def cut_bytes(text: str, codes: np.ndarray, covered: np.ndarray) -> tuple[int, list[dict[str, int]], bytes]:
+def cut_bytes(text: str, covered: np.ndarray | None) -> tuple[int, list[dict[str, int]], bytes]:
     raw = text.encode()
-    spans = spans_of(covered)
+    spans = [] if covered is None else spans_of(covered)
     return len(raw), spans, np.frombuffer(raw, np.uint8)[~covered].tobytes() if spans else raw
 
 
@@ -48,8 +47,8 @@ def repeated_bytes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     shape = Shape(length, gram, anchors)
     texts = keyed(docs, text, doc_id)
-    suffixes = scan_blocks(texts, byte_codes, shape).withColumn("old", F.lit(False))
-    said = written(sorted_pass(suffixes, by_count=True), "suffixes")
+    split = splitters(texts, byte_codes, shape)
+    said = written(sorted_pass(scan_blocks(texts, byte_codes, shape, split), split, by_count=True), "suffixes")
     rest = over_boundaries(said.filter("kind = 0"), by_count=True)
     said = written(said.filter("kind > 0").select("whole", "doc", "kind").unionByName(rest.select("whole", "doc", "kind")), "suffix-blocks")
     fields = [("n_bytes", pa.int64()), ("spans", _SPANS), ("kept", pa.binary())]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .byte_dedup import _SPANS, spans_of
 from .common import written
-from .repeats import INDEX, Shape, finish, keyed, over_boundaries, scan_blocks, sorted_pass
+from .repeats import INDEX, Shape, finish, keyed, over_boundaries, scan_blocks, scan_run, sorted_pass, splitters
 
 #: Words of a window.
 WINDOW = 13
@@ -31,9 +31,9 @@ def word_codes(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
     return codes, lengths
 
 
-def cut_words(text: str, codes: np.ndarray, covered: np.ndarray) -> tuple[int, list[dict[str, int]], str]:
+def cut_words(text: str, covered: np.ndarray | None) -> tuple[int, list[dict[str, int]], str]:
     words = text.encode().split()
-    spans = spans_of(covered)
+    spans = [] if covered is None else spans_of(covered)
     if spans:
         words_kept = [w for w, gone in zip(words, covered.tolist(), strict=True) if not gone]
     else:
@@ -49,16 +49,16 @@ class FingerprintIndex:
     smallest id. Batches have to come in the order of their ids.
     """
 
-    def __init__(self, shape: Shape):
-        self.shape = shape
+    def __init__(self, shape: Shape, split: np.ndarray):
+        self.shape, self.split = shape, split
         self.run: DataFrame | None = None
 
     def add(self, texts: DataFrame, last: bool = False) -> DataFrame:
         """``(whole, doc, kind)`` for the batch ``(doc, text)``; after the ``last`` batch no run is kept."""
-        rows = scan_blocks(texts, word_codes, self.shape).withColumn("old", F.lit(False))
+        rows = scan_blocks(texts, word_codes, self.shape, self.split)
         if self.run is not None:
-            rows = rows.unionByName(self.run.withColumn("old", F.lit(True)))
-        said = written(sorted_pass(rows, by_count=False, index=not last), "index-merge")
+            rows = rows.unionByName(scan_run(self.run, self.split))
+        said = written(sorted_pass(rows, self.split, by_count=False, index=not last), "index-merge")
         rest = over_boundaries(said.filter("kind = 0"), by_count=False, index=not last)
         names = ["common", "whole", "doc", "kind"]
         said = said.filter("kind > 0").select(names).unionByName(rest.select(names))
@@ -81,7 +81,7 @@ def repeated_phrases(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     shares = [k / batches for k in range(1, batches)]
     marks = texts.agg(F.percentile_approx("doc", shares, 10_000)).first()[0] or [] if shares else []
     bounds = [None, *sorted(set(marks)), None]
-    index, said = FingerprintIndex(shape), None
+    index, said = FingerprintIndex(shape, splitters(texts, word_codes, shape)), None
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         batch = texts
         if low is not None:

@@ -16,11 +16,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Units that are hashed at once, unless one document has more.
-UNITS = 1 << 20
+UNITS = 1 << 19
+#: Rows of an Arrow batch that are worked on at a time.
+ROWS = 1000
+#: One document in SAMPLE shows where the ranges of the sort are to be cut; blocks that a range may have.
+SAMPLE, RANGE = 32, 500_000
 #: Low bits of an order key that hold the place.
 PLACE = 24
 #: Stands for a null id; so it comes after all ids.
@@ -48,7 +53,7 @@ class Hashes:
     """Hashes of any stretch of a sequence of 64-bit codes, from prefix sums of code * base ** place."""
 
     def __init__(self, codes: np.ndarray, base: int):
-        size = max(4 * UNITS, 1 << int(len(codes)).bit_length())
+        size = max(2 * UNITS, 1 << int(len(codes)).bit_length())
         self.back = _powers(pow(base, -1, 1 << 64), size)
         self.sums = np.zeros(len(codes) + 1, np.uint64)
         np.cumsum(codes * _powers(base, size)[: len(codes)], out=self.sums[1:])
@@ -148,21 +153,44 @@ def stretches(texts: list[str], coder: Coder, shape: Shape) -> Iterator[tuple[in
         at = end
 
 
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into ones of at most ROWS rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def scan_blocks(docs: DataFrame, coder: Coder, shape: Shape) -> DataFrame:
-    """``(common, whole, doc)`` of every block of ``(doc, text)`` rows."""
+def scan_blocks(docs: DataFrame, coder: Coder, shape: Shape, split: np.ndarray | None = None) -> DataFrame:
+    """``(common, whole, doc)`` of every block of ``(doc, text)`` rows, with splitters also ``old`` (false) and its ``range``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for at, _, found, _ in stretches(texts, coder, shape):
-                yield pa.RecordBatch.from_arrays([signed(found.common), signed(found.whole), pa.array(doc[at + found.document])], names=["common", "whole", "doc"])
+                of = doc[at + found.document]
+                common = np.ascontiguousarray(found.common).view(np.int64)
+                columns = {"common": pa.array(common), "whole": signed(found.whole), "doc": pa.array(of)}
+                if split is not None:
+                    columns |= {"old": pa.array(np.zeros(len(of), bool)), "range": pa.array(dealt(common, of, split))}
+                yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.mapInArrow(run, "common long, whole long, doc long")
+    return docs.mapInArrow(run, "common long, whole long, doc long" + ("" if split is None else ", old boolean, range int"))
+
+
+def scan_run(run: DataFrame, split: np.ndarray) -> DataFrame:
+    """Blocks ``(common, whole, doc)`` of earlier batches, for the same pass."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = dealt(batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False), split)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.ones(len(place), bool)), pa.array(place)], names=["common", "whole", "doc", "old", "range"])
+
+    return run.select("common", "whole", "doc").mapInArrow(deal, "common long, whole long, doc long, old boolean, range int")
 
 
 def classify(common: np.ndarray, whole: np.ndarray, doc: np.ndarray, by_count: bool) -> np.ndarray:
@@ -203,18 +231,39 @@ def _as_before(values: np.ndarray) -> np.ndarray:
     return np.concatenate((np.zeros(min(1, len(values)), bool), values[1:] == values[:-1]))
 
 
-def sorted_pass(rows: DataFrame, by_count: bool, index: bool = False) -> DataFrame:
-    """``(common, whole, doc, kind)`` of the blocks of which something is to be said, out of ``(common, whole, doc, old)``.
+def splitters(texts: DataFrame, coder: Coder, shape: Shape) -> np.ndarray:
+    """Ascending values of ``common`` that deal blocks out evenly, from the blocks of a sample of documents.
+
+    Their number follows from the shuffle partitions and from how many blocks the sample lets expect, so that a
+    range has about RANGE blocks at any size. A value with a large share of the blocks is several splitters.
+    """
+    sample = scan_blocks(texts.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0), coder, shape)
+    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = sample.count() * SAMPLE
+    n = max(n, seen // RANGE + 1)
+    found = sample.agg(F.percentile_approx("common", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else None
+    return np.array(found or [], np.int64)
+
+
+def dealt(common: np.ndarray, doc: np.ndarray, split: np.ndarray) -> np.ndarray:
+    """Number of the range of each block; blocks whose ``common`` is several splitters are spread over their ranges by id."""
+    low, high = np.searchsorted(split, common, "left"), np.searchsorted(split, common, "right")
+    spread = (mixed(doc.view(np.uint64)) >> np.uint64(33)).astype(np.int64)
+    return (low + spread % (high - low + 1)).astype(np.int32)
+
+
+def sorted_pass(rows: DataFrame, split: np.ndarray, by_count: bool, index: bool = False) -> DataFrame:
+    """``(common, whole, doc, old, kind, n)`` of blocks of which something is to be said, out of ``(common, whole, doc, old, range)``.
 
-    Spark samples splitters and deals the rows out by ranges of ``(common, whole, doc)``; each range is sorted
-    on its own and neighbours are compared. The first and the last ``common`` of a range may go on in the
-    next ones: these rows (kind 0) are put together over the boundaries by :func:`over_boundaries`. ``old``
-    rows are of earlier batches and are only named again where they are to be compared.
+    Blocks are dealt out by the ranges between the splitters; each range is sorted on its own and neighbours are
+    compared. The first and the last ``common`` of a range may go on in other ranges: of these each different
+    block is given once more, with kind 0, its smallest id and its number, for :func:`over_boundaries`. ``old``
+    blocks are of earlier batches and are only named again where they are to be compared.
     """
-    schema = pa.schema([("common", pa.int64()), ("whole", pa.int64()), ("doc", pa.int64()), ("old", pa.bool_()), ("kind", pa.int32())])
+    schema = pa.schema([("common", pa.int64()), ("whole", pa.int64()), ("doc", pa.int64()), ("old", pa.bool_()), ("kind", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
+        held = [b for b in batches if b.num_rows]
         if not held:
             return
         table = pa.Table.from_batches(held)
@@ -223,30 +272,27 @@ def sorted_pass(rows: DataFrame, by_count: bool, index: bool = False) -> DataFra
         order = multikey_order(common, whole, doc)
         common, whole, doc, old = common[order], whole[order], doc[order], old[order]
         kind = classify(common, whole, doc, by_count)
+        first = kind & INDEX > 0
+        number = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1]
         edge = (common == common[0]) | (common == common[-1])
-        said = said_of(kind, old, index)
-        said[edge] = 0
-        take = np.flatnonzero(edge | (said > 0))
-        for part in np.array_split(take, len(take) // 100_000 + 1):
-            yield pa.RecordBatch.from_arrays([pa.array(common[part]), pa.array(whole[part]), pa.array(doc[part]), pa.array(old[part]), pa.array(said[part].astype(np.int32))], schema=schema)
+        said = np.where(old, kind & ~WHOLE, kind)
+        said = np.where(edge, said & WHOLE, said if index else said & ~INDEX)
+        for take, what in ((np.flatnonzero(said), said), (np.flatnonzero(edge & first), np.zeros_like(said))):
+            for part in np.array_split(take, len(take) // 100_000 + 1):
+                yield pa.RecordBatch.from_arrays([pa.array(common[part]), pa.array(whole[part]), pa.array(doc[part]), pa.array(old[part]), pa.array(what[part].astype(np.int32)), pa.array(number[part])], schema=schema)
 
-    ranged = rows.repartitionByRange("common", "whole", "doc")
-    return ranged.mapInArrow(run, "common long, whole long, doc long, old boolean, kind int")
-
-
-def said_of(kind: np.ndarray, old: np.ndarray, index: bool) -> np.ndarray:
-    kind = np.where(old, kind & ~WHOLE, kind)
-    return kind if index else kind & ~INDEX
+    ranged = rows.repartitionById(len(split) + 1, "range").drop("range")
+    return ranged.mapInArrow(run, "common long, whole long, doc long, old boolean, kind int, n long")
 
 
 def over_boundaries(edges: DataFrame, by_count: bool, index: bool = False) -> DataFrame:
-    """The same judgement as :func:`classify` for rows whose ``common`` crosses range boundaries."""
-    per = edges.groupBy("common", "whole").agg(F.count("*").alias("n"), F.min("doc").alias("least"))
+    """The same judgement as :func:`classify` for the different blocks of ``common`` that cross range boundaries."""
+    per = edges.groupBy("common", "whole").agg(F.sum("n").alias("n"), F.min("doc").alias("least"))
     kinds = per.groupBy("common").agg(F.count("*").alias("kinds"))
     first = per.join(kinds, "common")
     compare = first.filter("kinds > 1").select("common", "whole", F.col("least").alias("doc"), F.lit(COMPARE).alias("kind"))
-    other = per.select(F.col("common").alias("c"), F.col("whole").alias("w"), "n", "least")
-    repeated = (F.col("n") > 1) if by_count else (F.col("doc") > F.col("least"))
+    other = per.select(F.col("common").alias("c"), F.col("whole").alias("w"), F.col("n").alias("all"), "least")
+    repeated = (F.col("all") > 1) if by_count else (F.col("doc") > F.col("least"))
     whole = edges.filter("not old").join(other, (F.col("common") == F.col("c")) & (F.col("whole") == F.col("w"))).filter(repeated)
     out = compare.unionByName(whole.select("common", "whole", "doc", F.lit(WHOLE).alias("kind")))
     if index:
@@ -261,14 +307,14 @@ def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 def finish(texts: DataFrame, said: DataFrame, by_count: bool, coder: Coder, shape: Shape, cut: Callable, fields: list[tuple[str, pa.DataType]], ddl: str) -> DataFrame:
     """Compare windows where blocks differ, then cut every text.
 
-    ``texts``: ``(doc, text)``; ``said``: ``(whole, doc, kind)``. ``cut(text, codes, covered)`` gives the output
-    columns of one document from the mask of its covered units. The texts are shuffled by id once; both joins
+    ``texts``: ``(doc, text)``; ``said``: ``(whole, doc, kind)``. ``cut(text, covered)`` gives the output
+    columns of one document from the mask of its covered units (None: nothing is). The texts are shuffled by id once; both joins
     read that shuffle.
     """
     compared = said.filter(F.col("kind").bitwiseAND(COMPARE) > 0).groupBy("doc").agg(F.collect_set("whole").alias("wholes"))
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             wanted = batch.column(2)
@@ -291,27 +337,30 @@ def finish(texts: DataFrame, said: DataFrame, by_count: bool, coder: Coder, shap
     schema = pa.schema([("doc_id", pa.int64()), *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             doc = batch.column(0).to_pylist()
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            rows = []
-            for at, codes, found, starts in stretches(texts, coder, shape):
+            marked = np.flatnonzero(pc.or_(batch.column(2).is_valid(), batch.column(3).is_valid()).to_numpy(zero_copy_only=False))
+            rows: list[tuple | None] = [None] * len(texts)
+            wholes, singles = batch.column(2).take(marked), batch.column(3).take(marked)
+            for at, codes, found, starts in stretches([texts[k] for k in marked], coder, shape):
                 step = np.zeros(sum(map(len, codes)) + 1, np.int64)
-                chosen = _members(found, batch.column(2), at)
+                chosen = _members(found, wholes, at)
                 np.add.at(step, found.first[chosen], 1)
                 np.add.at(step, found.last[chosen] + shape.window, -1)
-                if batch.column(3).null_count < len(batch.column(3)):
-                    some = np.flatnonzero(np.isin(found.document + at, [k for k, v in enumerate(batch.column(3)) if v.is_valid]))
-                    block, start, h1, _ = found.windows(some, shape)
-                    own = found.document[block]
-                    keep = np.zeros(len(block), bool)
-                    for d in np.unique(own):
-                        mine = own == d
-                        keep[mine] = np.isin(h1[mine].view(np.int64), batch.column(3)[int(at + d)].values.to_numpy())
-                    np.add.at(step, start[keep], 1)
-                    np.add.at(step, start[keep] + shape.window, -1)
+                some = np.flatnonzero(singles.is_valid().to_numpy(zero_copy_only=False)[at + found.document])
+                block, start, h1, _ = found.windows(some, shape)
+                own = found.document[block]
+                edges = np.searchsorted(own, np.arange(len(codes) + 1))
+                for d in np.unique(own).tolist():
+                    mine = slice(edges[d], edges[d + 1])
+                    hit = start[mine][np.isin(h1[mine].view(np.int64), singles[at + d].values.to_numpy())]
+                    np.add.at(step, hit, 1)
+                    np.add.at(step, hit + shape.window, -1)
                 covered = np.cumsum(step[:-1]) > 0
-                rows += [cut(texts[at + k], c, covered[s : s + len(c)]) for k, (c, s) in enumerate(zip(codes, starts.tolist(), strict=True))]
+                for k, (c, s) in enumerate(zip(codes, starts.tolist(), strict=True)):
+                    rows[marked[at + k]] = cut(texts[marked[at + k]], covered[s : s + len(c)])
+            rows = [cut(t, None) if r is None else r for t, r in zip(texts, rows, strict=True)]
             columns = [pa.array([None if d == NO_ID else d for d in doc], pa.int64())]
             columns += [pa.array([r[j] for r in rows], t) for j, (_, t) in enumerate(fields)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
