@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,26 +83,20 @@ def smoothing(dt: float, cutoff: float) -> float:
 
 
 def lowpass_causal(df: DataFrame, key: list[str], row: str, x: str, a: float, block: int = 4096) -> DataFrame:
-    """``df`` with ``y``: y0 = x0, y = a x + (1 - a) y before, over each key's rows in order.
+    """``df`` with ``y``: y0 = x0, y = a x + (1 - a) y before, over each key's rows in order (``row`` counts from 0; 0 < a < 1).
 
-    Blocks of rows are filtered on their own from zero; the ends of the blocks, few numbers, are folded in order
-    into the value that enters each block, and that value decays into the block: y = local + (1 - a)^(i + 1) carry.
+    Blocks of rows are filtered on their own from zero, as running sums of the samples weighted with
+    (1 - a)^-i (blocks are kept so short that the weights stay finite; the latest weigh most, so nothing is
+    lost to rounding). The ends of the blocks, few numbers, are folded in order into the value that enters each
+    block, and that value decays into the block: y = local + (1 - a)^(i + 1) carry.
     """
     names = df.columns
-    rows = df.withColumn("__block", F.floor(F.col(row) / block))
-    schema = rows.select(*names, "__block").schema.add("__local", "double").add("__i", "long")
-
-    def local(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(row, kind="stable")
-        values, out, y = part[x].to_numpy(float), np.empty(len(part)), 0.0
-        first = part["__block"].iloc[0] == 0
-        for i, v in enumerate(values):
-            y = v if first and i == 0 else a * v + (1 - a) * y
-            out[i] = y
-        part["__local"], part["__i"] = out, np.arange(len(part))
-        return part
-
-    done = rows.groupBy(*key, "__block").applyInPandas(local, schema)
+    block = max(1, min(block, int(230 / -math.log(1 - a))))
+    w = Window.partitionBy(*key, "__block").orderBy(row)
+    rows = df.withColumn("__block", F.floor(F.col(row) / block)).withColumn("__i", (F.col(row) % block).cast("double"))
+    weighed = F.when(F.col(row) == 0, F.col(x)).otherwise(a * F.col(x)) * F.pow(F.lit(1 - a), -F.col("__i"))
+    total = F.sum(weighed).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    done = rows.withColumn("__local", total * F.pow(F.lit(1 - a), F.col("__i")))
     ends = done.groupBy(*key, "__block").agg(F.max_by("__local", "__i").alias("end"), F.count("*").alias("n"))
     folded = ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__block", "end", "n"))).alias("ends"))
     empty = F.expr("cast(array() as array<struct<b: bigint, carry: double, value: double>>)")
