@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
+from .repeats import parts
 
 #: Words of a shingle, seed of its hash, and bits in which linked fingerprints may differ.
 SHINGLE, SEED, DISTANCE = 4, 42, 4
@@ -22,6 +23,8 @@ GOLAY = 0b101011100011
 SEGMENTS = (21, 21, 22)
 #: Members of a key that one task compares at once; larger groups are compared block by block.
 BLOCK = 16_384
+#: Links that a task holds before it contracts them.
+HELD = 1 << 17
 
 
 # --- fingerprints -----------------------------------------------------------------------------------
@@ -51,7 +54,7 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], schema=schema)
 
@@ -160,6 +163,25 @@ def stars(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out_member), np.concatenate(out_root)) if out_member else (none, none)
 
 
+def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The links a task has found, as one tree of depth one for each of their components."""
+    nodes, ends = np.unique(np.concatenate((a, b)), return_inverse=True)
+    left, right = ends[: len(a)], ends[len(a) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[left], root[right])
+        after = root.copy()
+        for side in (left, right):
+            np.minimum.at(after, side, low)
+            np.minimum.at(after, root[side], low)
+        after = after[after]
+        if (after == root).all():
+            break
+        root = after
+    member = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[member], nodes[root[member]]
+
+
 def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Links within each run of equal keys; sets of members that this task has seen are not compared again."""
     cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
@@ -169,9 +191,9 @@ def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes]) -> tuple[n
     a, b = [fp[two][near]], [fp[two + 1][near]]
     for k in np.flatnonzero(size > 2):
         members = np.sort(fp[cut[k] : cut[k + 1]])
-        if (mark := members.tobytes()) in seen:
+        if (mark := xxhash.xxh3_128_digest(members.tobytes())) in seen:
             continue
-        if len(seen) < 1 << 14 and len(members) <= 1024:
+        if len(seen) < 1 << 18:
             seen.add(mark)
         m, r = stars(members)
         a.append(m)
@@ -190,8 +212,8 @@ def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, len(fps), 2048):
-                part = fps[at : at + 2048]
+            for at in range(0, len(fps), 256):
+                part = fps[at : at + 256]
                 key, row = keys(part.view(np.uint64))
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], names=["key", "fp"])
 
@@ -203,6 +225,7 @@ def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         key, fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         block = 0  # blocks of the open key that were passed on
         for batch in batches:
@@ -215,9 +238,11 @@ def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
                     yield out(fp[:end], fp[:end], int(key[0]), block)
                     key, fp, block = key[end:], fp[end:], 0
                 elif whole and not block:
-                    a, b = _edges_of_runs(key[:whole], fp[:whole], seen)
-                    if len(a):
-                        yield out(a, b)
+                    held.append(_edges_of_runs(key[:whole], fp[:whole], seen))
+                    if sum(len(x) for x, _ in held) > HELD:
+                        held = [contract(*map(np.concatenate, zip(*held, strict=True)))]
+                        if len(held[0][0]) > HELD // 2:
+                            yield out(*held.pop())
                     key, fp = key[whole:], fp[whole:]
                 elif end >= 2 * most:
                     yield out(fp[:most], fp[:most], int(key[0]), block)
@@ -228,10 +253,12 @@ def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
             if block:
                 yield out(fp, fp, int(key[0]), block)
             else:
-                a, b = _edges_of_runs(key, fp, seen)
-                yield out(a, b)
+                held.append(_edges_of_runs(key, fp, seen))
+        if held:
+            yield out(*contract(*map(np.concatenate, zip(*held, strict=True))))
 
-    keyed = distinct.select("fp").mapInArrow(emit, "key long, fp long")
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = distinct.select("fp").repartition(n, "fp").mapInArrow(emit, "key long, fp long")
     found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "key long, block int, a long, b long")
     found = written(found, "simhash-links")
     near = found.filter("block is null").select("a", "b").distinct()
