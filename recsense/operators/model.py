@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import evaluate, verdict, windows
+from . import evaluate, joins, signals, timebase, verdict, windows
 
 
 def balanced(df: DataFrame, label: str) -> DataFrame:
@@ -57,18 +58,64 @@ def ablation_grid(df: DataFrame, features: list[str], label: str, group: str, dr
     return out
 
 
-def label_recordings(rows: DataFrame, features: DataFrame, names: list[str], model: RandomForestClassificationModel, n: int, step: int, threshold: float, half: int) -> DataFrame:
-    """All recordings from windows to delivered rows: score windows, average over rows, commit, explain, project."""
-    scored = predict(model, features, names)
-    per_row = verdict.row_probability(rows, scored.select("rec", "segment", "start", "p", F.col("swaps").cast("double").alias("swaps"), "minhalf"), n, step, ["p", "swaps", "minhalf"])
-    called = verdict.commit_rule(per_row, threshold)
-    called = verdict.near_change(called, ["rec"], ["t", "id"], "guess", half)
-    called = called.withColumns({"posture": F.lit(0.0), "n_oob": F.lit(0), "in_band": F.lit(False)})
-    return verdict.verdict_projection(verdict.reason_cascade(called, 1.0, 10.0), ["rec", "segment", "id", "t"])
+@dataclass(frozen=True)
+class Reference:
+    """What reasons are stated against, out of the windows that a model was trained on."""
 
+    stats: dict[str, tuple[float, float]]
+    posture: float
+    minhalf: float
+    band: tuple[float, float]
 
-def window_features(rows: DataFrame, n: int, step: int) -> tuple[DataFrame, list[str]]:
-    """The windows' features and their names."""
-    key = ["rec", "segment", "start"]
-    out = windows.feat_basic(rows, n, step, ["a", "b"], ["va", "vb"]).join(windows.feat_corr(rows, n, step, {"angle_corr": ("a", "b")}), key).join(windows.feat_interleg(rows, n, step, "d", 20.0), key)
-    return out, [c for c in out.columns if c not in key]
+
+def posture(angles: tuple[str, str]) -> Column:
+    """How far both sides lie above the recording's own rest angles."""
+    return F.least(*[F.col(f"{c}_med") for c in angles])
+
+
+def reference(df: DataFrame, features: list[str], label: str, angles: tuple[str, str] = ("a", "b"), posture_limit: float = 0.99, minhalf_limit: float = 0.05) -> Reference:
+    """Ranges of the features, the posture limit, the least swing of the high class and the band of amplitudes, out of training windows."""
+    stats = {r.feature: (r.p01, r.p99) for r in windows.reference_stats(df, features).collect()}
+    limits = df.agg(F.percentile(posture(angles), posture_limit).alias("p"), F.percentile(F.when(F.col(label) == 10, F.col("minhalf")), minhalf_limit).alias("m")).first()
+    band = windows.amplitude_band(df.withColumn("__label", F.col(label).cast("string")), "minhalf", "__label", "0", "10").first()
+    return Reference(stats, limits.p, float("-inf") if limits.m is None else limits.m, (band.band_low, band.band_high))
+
+
+def on_grid(rows: DataFrame, channels: list[str], step: float, n: int) -> tuple[DataFrame, DataFrame]:
+    """Channels on the uniform grid as rows of windows (``rec, segment, id, t, i, channels``), and the health of each recording."""
+    grid = signals.grid_linear(rows, ["rec", "segment"], channels, step=step)
+    grid = grid.select("rec", F.col("segment").cast("long").alias("segment"), F.col("k").alias("id"), F.col("grid_t").alias("t"), F.col("k").alias("i"), *channels)
+    per = grid.groupBy("rec", "segment").agg(F.count("*").alias("n_source_rows"))
+    return grid, timebase.health_check(grid, channels, per, least_rows=n)
+
+
+def explain_rows(grid: DataFrame, scored: DataFrame, names: list[str], ref: Reference, n: int, step: int, threshold: float, angles: tuple[str, str] = ("a", "b"), band_abstains: bool = False) -> DataFrame:
+    """Each row of the grid with its call and its reason, out of windows with ``p`` and all features.
+
+    Rows whose swing lies in the band of both classes are ``in_band``; only with ``band_abstains`` that alone
+    makes them ambiguous.
+    """
+    means = ["p", "swaps", "minhalf", "n_oob", "posture"]
+    per = scored.withColumns({"n_oob": verdict.oob_count(scored, {c: ref.stats[c] for c in names}).cast("double"), "posture": posture(angles), "swaps": F.col("swaps").cast("double")})
+    called = verdict.commit_rule(verdict.row_probability(grid, per.select("rec", "segment", "start", *means), n, step, means), threshold)
+    banded = verdict.band_abstain(called.withColumn("__ambiguous", F.col("ambiguous")), "minhalf", *ref.band)
+    called = banded.drop("__ambiguous") if band_abstains else banded.withColumn("ambiguous", F.col("__ambiguous")).drop("__ambiguous")
+    called = verdict.near_change(called, ["rec"], ["t", "segment", "id"], "guess", max(1, n // 2))
+    return verdict.reason_cascade(called, ref.posture, ref.minhalf)
+
+
+def label_recordings(rows: DataFrame, grid: DataFrame, health: DataFrame, features: DataFrame, names: list[str], model: RandomForestClassificationModel, ref: Reference, n: int, step: int, threshold: float, tick: float) -> DataFrame:
+    """All recordings from bridged, resampled, checked rows to delivered input rows: score windows, average over rows, commit, explain, map back, project.
+
+    ``grid`` and ``health`` are :func:`on_grid` of the bridged ``rows``. Each input row takes the call of the
+    nearest row of the grid; further than a ``tick`` from any it is uncovered. The rows of a recording whose
+    health forbids scoring are all uncovered, and ``refusal`` says why.
+    """
+    usable = health.filter("usable").select("rec")
+    scored = predict(model, features.join(usable, "rec", "left_semi"), names)
+    called = explain_rows(grid.join(usable, "rec", "left_semi"), scored, names, ref, n, step, threshold)
+    call = F.struct("guess", "confidence", "ambiguous", "reason").alias("__call")
+    found = joins.asof_nearest(rows, called.select("rec", "t", call), "rec", "t", "__call", tick, True)
+    mapped = found.withColumns({"guess": F.col("__call.guess"), "confidence": F.col("__call.confidence"), "ambiguous": F.coalesce("__call.ambiguous", F.lit(True)), "reason": F.coalesce("__call.reason", F.lit(verdict.REASONS[0]))})
+    refused = health.filter("not usable").select("rec", F.array_join("errors", "; ").alias("refusal"))
+    return verdict.verdict_projection(mapped.join(refused, "rec", "left"), ["rec", "segment", "id", "t", "refusal"])

@@ -107,6 +107,17 @@ def lowpass_causal(df: DataFrame, key: list[str], row: str, x: str, a: float, bl
     return joined.select(*names, (F.col("__local") + F.pow(F.lit(1 - a), F.col("__i") + 1) * F.col("__carry")).alias("y"))
 
 
+def raw_to_features(df: DataFrame, channels: dict[str, Column], a: float, block: int = 4096) -> DataFrame:
+    """``rec, segment, id, t, row_idx`` and each of ``channels`` (name: source of the recording's variant), low-passed at the raw rate.
+
+    The channels are stacked and filtered together, in one pass.
+    """
+    key = ["rec", "segment", "id", "t", "row_idx"]
+    stacked = df.select(*key, F.explode(F.array(*[F.struct(F.lit(k).alias("__c"), c.cast("double").alias("__x")) for k, c in channels.items()])).alias("__s")).select(*key, "__s.*")
+    done = lowpass_causal(stacked, ["rec", "__c"], "row_idx", "__x", a, block)
+    return done.groupBy(*key).agg(*[F.max(F.when(F.col("__c") == k, F.col("y"))).alias(k) for k in channels])
+
+
 def serve_dt(df: DataFrame, rec: str = "rec", t: str = "t", order: tuple[str, ...] = ("t", "id"), most: float = 5.0) -> DataFrame:
     """Per recording the interval the filter is served with (the last one), its ratio to the median, and why not."""
     w = Window.partitionBy(rec).orderBy(*order)

@@ -210,6 +210,48 @@ def feat_spectral(arrays: DataFrame, angle: str, other: str, fs: float, bands: t
     return arrays.mapInPandas(run, "rec long, segment long, start long, dominant double, band double, high_band double, cycle double, lead double")
 
 
+def feat_spectral_sides(arrays: DataFrame, left: str, right: str, fs: float, bands: tuple[float, float, float], lags: tuple[int, int], within: int) -> DataFrame:
+    """Spectral shares and cycle of both sides' window arrays and the lead of the left one, in one batched pass."""
+    names = [f"{c}_{f}" for c in (left, right) for f in ("dominant", "band", "high_band", "cycle")]
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                x, y = (np.stack(pdf[c].to_numpy()).astype(float) for c in (left, right))
+                values = [v for z in (x, y) for v in (*spectrum(z, fs, *bands).T, cycle(z, fs, *lags))]
+                yield pd.DataFrame({**{k: pdf[k] for k in (*KEY, "start")}, **dict(zip(names, values, strict=True)), "lead": lead_lag(x, y, fs, within)})
+
+    return arrays.mapInPandas(run, "rec long, segment long, start long, " + ", ".join(f"{c} double" for c in names) + ", lead double")
+
+
+def feature_names(angles: tuple[str, str], rates: tuple[str, str]) -> list[str]:
+    """The 42 features in their order."""
+    names = [f"{c}_{s}" for c in angles for s in BASIC] + [f"{c}_{s}" for c in rates for s in ("mean", "std", "ptp", "absmean")] + ["angle_corr", "rate_corr"]
+    for angle, rate in zip(angles, rates, strict=True):
+        names += [f"{rate}_{s}" for s in ("dominant", "band", "skew", "kurtosis", "posfrac", "peakratio", "high_band", "angacc", "cycle")]
+        names += [f"{angle}_{s}" for s in ("high", "med", "range")]
+    return [*names, "lead", "minhalf", "minquarter", "swaps"]
+
+
+def all_features(df: DataFrame, n: int, step: int, angles: tuple[str, str], rates: tuple[str, str], zero: DataFrame, delta: float, fs: float, bands: tuple[float, float, float], lags: tuple[int, int], within: int) -> DataFrame:
+    """Every window with all of :func:`feature_names`, both sides.
+
+    ``zero`` has the rest angles ``zero_x`` of both angles and ``zero_d`` of their difference (see
+    :func:`rest_reference`), from which swaps are counted.
+    """
+    key, (left, right) = [*KEY, "start"], angles
+    rows = df.join(zero.select("rec", "zero_d"), "rec").withColumn("__leg", F.col(left) - F.col(right) - F.col("zero_d")).drop("zero_d")
+    out = feat_basic(df, n, step, list(angles), list(rates))
+    parts = [feat_corr(df, n, step, {"angle_corr": angles, "rate_corr": rates}), feat_rest_relative(df, n, step, list(angles), zero.drop("zero_d")), feat_interleg(rows, n, step, "__leg", delta)]
+    for rate in rates:
+        part = feat_moments(df, n, step, rate, fs)
+        parts.append(part.select(*key, *[F.col(c).alias(f"{rate}_{c}") for c in part.columns if c not in key]))
+    parts.append(feat_spectral_sides(window_arrays(df, n, step, list(rates)), *rates, fs, bands, lags, within))
+    for part in parts:
+        out = out.join(part, key)
+    return out.select(*key, *feature_names(angles, rates))
+
+
 # --- labels, rest, reference ------------------------------------------------------------------------
 
 

@@ -5,51 +5,68 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from recsense.operators import model as op
-from recsense.operators import verdict, windows
+from recsense.operators import signals, timebase, verdict, windows
 
 from .registry import query
-from .windows import N, STEP, rows
+from .views import ev, kept
+from .windows import ANGLES, N, RATES, STEP, features, rows
 
-FOREST = {"trees": 10, "depth": 5}
+#: Interval of the grid in ms, weight of the low pass, block of rows that it is run in.
+TICK, WEIGHT, BLOCK = 6 * 3600 * 1000.0, 0.3, 32
 
 
 def labelled(spark, sf_dir):
     """Window features with a class that they determine in part, and a group of recordings."""
-    x = rows(spark, sf_dir)
-    features, names = op.window_features(x, N, STEP)
+    x = kept(rows(spark, sf_dir), "model-rows")
+    found, names = features(x)
     known = windows.over_panes(x, N, STEP, {"nh": (F.col("code") == 10).cast("long")}, {}, {})
-    out = features.join(known, ["rec", "segment", "start"]).withColumn("label", F.when((F.col("a_std") > 45) | (F.col("nh") > 10), 10).otherwise(0))
-    return x, out.withColumn("grp", F.concat(F.lit("g"), (F.col("rec") % 3).cast("string"))), names
+    out = found.join(known, ["rec", "segment", "start"]).withColumn("label", F.when((F.col("a_std") > 45) | (F.col("nh") > 10), 10).otherwise(0)).drop("nh")
+    return kept(out.withColumn("grp", F.concat(F.lit("g"), (F.col("rec") % 3).cast("string"))), "model-windows"), names
+
+
+def served(spark, sf_dir):
+    """Input rows, the grid of the bridged rows, its health, its windows with the class that most of their rows have, and the features' names."""
+    raw = kept(timebase.gap_segments(ev(spark, sf_dir)).select("rec", "segment", "id", "t", "a", "b", "code", "row_idx"), "raw-rows")
+    mirrored = F.col("rec") % 4 == 1
+    left, right = F.when(mirrored, F.col("b")).otherwise(F.col("a")), F.when(mirrored, F.col("a")).otherwise(F.col("b"))
+    bridged = kept(signals.raw_to_features(raw, {"a": left, "b": right, "va": left - 50.0, "vb": right - 50.0}, WEIGHT, BLOCK), "bridged-rows")
+    grid, health = op.on_grid(bridged, [*ANGLES, *RATES], TICK, N)
+    grid = kept(grid.withColumn("d", F.col("a") - F.col("b")), "grid-rows")
+    found, names = features(grid)
+    code = signals.grid_nearest(raw, ["rec", "segment"], ["code"], step=TICK).select("rec", "segment", F.col("k").alias("i"), "code")
+    count = lambda c: (F.col("code") == c).cast("long")
+    known = windows.over_panes(code, N, STEP, {"nl": count(0), "nh": count(10)}, {}, {}).select("rec", "segment", "start", F.when(F.col("nh") > F.col("nl"), 10).otherwise(0).alias("label"))
+    return raw, grid, health, kept(found.join(known, ["rec", "segment", "start"]), "served-windows"), names
 
 
 @query("fit_forest")
 def fit_forest(spark, sf_dir):
-    _, data, names = labelled(spark, sf_dir)
-    model = op.fit_forest(data, names, "label", **FOREST)
+    data, names = labelled(spark, sf_dir)
+    model = op.fit_forest(data, names, "label")
     return op.predict(model, data, names).groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("p"), 6).alias("mean_p"))
 
 
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
-    _, data, names = labelled(spark, sf_dir)
-    model = op.fit_forest(data, names, "label", **FOREST)
+    data, names = labelled(spark, sf_dir)
+    model = op.fit_forest(data, names, "label")
     return verdict.feature_importance(list(model.featureImportances.toArray()), names, spark, "a_")
 
 
 @query("logo_cv")
 def logo_cv(spark, sf_dir):
-    _, data, names = labelled(spark, sf_dir)
-    return op.logo_cv(data, names, "label", "grp", **FOREST).groupBy("grp", "label").agg(F.count("*").alias("n"), F.round(F.avg("p"), 6).alias("mean_p"))
+    data, names = labelled(spark, sf_dir)
+    return op.logo_cv(data, names, "label", "grp").groupBy("grp", "label").agg(F.count("*").alias("n"), F.round(F.avg("p"), 6).alias("mean_p"))
 
 
 @query("ablation_grid")
 def ablation_grid(spark, sf_dir):
-    _, data, names = labelled(spark, sf_dir)
-    return op.ablation_grid(data, names, "label", "grp", [("all", []), ("no_a", ["a_std", "a_ptp"])], **FOREST)
+    data, names = labelled(spark, sf_dir)
+    return op.ablation_grid(data, names, "label", "grp", [("all", []), ("no_a", ["a_std", "a_ptp"])])
 
 
 @query("label_recordings")
 def label_recordings(spark, sf_dir):
-    x, data, names = labelled(spark, sf_dir)
-    model = op.fit_forest(data, names, "label", **FOREST)
-    return op.label_recordings(x, data, names, model, N, STEP, 0.85, 8)
+    raw, grid, health, data, names = served(spark, sf_dir)
+    model = op.fit_forest(data, names, "label")
+    return op.label_recordings(raw, grid, health, data, names, model, op.reference(data, names, "label"), N, STEP, 0.85, TICK)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,3 +98,10 @@ def shared(spark: SparkSession) -> str:
         named = tempfile.mkdtemp(prefix="recsense-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for what several parts of a query read."""
+    path = f"{shared(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,7 +8,7 @@ from recsense.operators import timebase
 from recsense.operators import windows as op
 
 from .registry import query
-from .views import SEG, ev
+from .views import SEG, ev, kept
 
 N, STEP = 16, 4
 ROWS = SEG + """, wrow AS (SELECT rec, segment, id, t, a, b, a - 50.0e0 AS va, b - 50.0e0 AS vb, a - b AS d, code, row_number() OVER (PARTITION BY rec, segment ORDER BY t, id) - 1 AS i FROM seg
@@ -100,19 +100,25 @@ def feat_lag(spark, sf_dir):
     return spectral(spark, sf_dir).select("rec", "segment", "start", "lead")
 
 
+#: What the features are taken with: swap threshold, rate, spectral bands, cycle lags, greatest lead.
+FEATURES = {"delta": 20.0, "fs": 16.0, "bands": (1.0, 3.0, 7.0), "lags": (3, 8), "within": 4}
+ANGLES, RATES = ("a", "b"), ("va", "vb")
+
+
+def features(x):
+    """All 42 features of the windows of rows ``x``, and their names."""
+    zero = op.rest_reference(x, [*ANGLES, "d"], "d", 8, FEATURES["delta"])
+    return op.all_features(x, N, STEP, ANGLES, RATES, zero, **FEATURES), op.feature_names(ANGLES, RATES)
+
+
 @query("feature_vector")
 def feature_vector(spark, sf_dir):
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
-    x = rows(spark, sf_dir)
-    key = ["rec", "segment", "start"]
-    joined = op.feat_basic(x, N, STEP, ["a", "b"], ["va", "vb"])
-    for part in (op.feat_corr(x, N, STEP, {"angle_corr": ("a", "b")}), op.feat_moments(x, N, STEP, "va", 2.0), op.feat_interleg(x, N, STEP, "d", 20.0), spectral(spark, sf_dir)):
-        joined = joined.join(part, key)
-    names = [c for c in joined.columns if c not in key]
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(joined)
-    return vectors.select(*key, F.transform(vector_to_array("features"), lambda v: F.round(v, 4)).alias("features"))
+    found, names = features(kept(rows(spark, sf_dir), "feature-rows"))
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(found)
+    return vectors.select("rec", "segment", "start", F.transform(vector_to_array("features"), lambda v: F.round(v, 4)).alias("features"))
 
 
 @query("window_label", f"""WITH {ROWS}, c AS (SELECT rec, segment, start, count(*) FILTER (WHERE code = 0) AS nl, count(*) FILTER (WHERE code = 10) AS nh, count(*) FILTER (WHERE code = -1) AS nu FROM wr GROUP BY ALL)
