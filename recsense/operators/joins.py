@@ -90,16 +90,27 @@ def contains_event(regions: DataFrame, events: DataFrame, key: str, start: str,
     return regions.join(hits, [key, start, stop], "left").withColumn("hit", flag(F.col("hit")))
 
 
-def greedy_spread_topk(df: DataFrame, key: str, t: str, evidence: str, most: int = 12, apart: float = 5000.0) -> DataFrame:
+def greedy_spread_topk(df: DataFrame, key: str, t: str, evidence: str, most: int = 12, apart: float = 5000.0, share: int = 100_000) -> DataFrame:
     """Per key the rows of greatest evidence (ties: earlier), at most ``most``, none within ``apart`` of one taken.
 
-    Returns ``key, taken array<struct<t, evidence>>, n_dropped``. A row that an earlier pick shadows is dropped.
+    Returns ``key, taken array<struct<t, evidence>>, n_dropped``. A row that an earlier pick shadows is dropped,
+    and so is one without a time; null evidence comes last. ``most`` rounds of aggregates each take the best row
+    left of every key. Rows of a key are never gathered: they are dealt out in shares of about ``share`` rows,
+    and what travels with a share is the picks so far.
     """
-    item = F.struct((-F.col(evidence)).alias("e"), F.col(t).alias("t"))
-    per = df.groupBy(key).agg(F.sort_array(F.collect_list(item)).alias("all"))
-    empty = F.slice("all", 1, 0)
-    step = lambda acc, x: F.when((F.size(acc) < most) & ~F.exists(acc, lambda y: F.abs(y["t"] - x["t"]) < apart), F.concat(acc, F.array(x))).otherwise(acc)
-    return per.withColumn("taken", F.aggregate("all", empty, step)).select(key, F.transform("taken", lambda x: F.struct(x["t"].alias("t"), (-x["e"]).alias("evidence"))).alias("taken"), (F.size("all") - F.size("taken")).alias("n_dropped"))
+    if apart <= 0:
+        raise ValueError("apart has to be positive")
+    counts = df.groupBy(key).agg(F.count("*").alias("__n"), F.ceil(F.count("*") / share).alias("__shares"))
+    rows = df.select(key, F.col(t).alias("__t"), F.struct(F.col(evidence).isNull().alias("n"), (-F.col(evidence)).alias("e"), F.col(t).alias("t")).alias("__r")).filter("__t is not null")
+    rows = rows.join(counts.select(key, "__shares"), key).select(key, F.pmod(F.xxhash64("__t"), "__shares").alias("__s"), "__t", "__r")
+    picks = counts.withColumn("taken", F.slice(F.array(F.struct(F.lit(True).alias("n"), F.lit(None).cast(df.schema[evidence].dataType).alias("e"), F.lit(None).cast(df.schema[t].dataType).alias("t"))), 1, 0))
+    free = ~F.exists("taken", lambda y: F.abs(y["t"] - F.col("__t")) < apart)
+    for _ in range(most):
+        held = picks.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__shares") - 1)))
+        best = held.join(rows, [key, "__s"], "left").groupBy(key, "__s").agg(F.min(F.when(free, F.col("__r"))).alias("__b"), *[F.first(c).alias(c) for c in ("__n", "__shares", "taken")])
+        best = best.groupBy(key).agg(F.min("__b").alias("__b"), *[F.first(c).alias(c) for c in ("__n", "__shares", "taken")])
+        picks = best.withColumn("taken", F.when(F.col("__b").isNotNull(), F.concat("taken", F.array("__b"))).otherwise(F.col("taken"))).drop("__b")
+    return picks.select(key, F.transform("taken", lambda x: F.struct(x["t"].alias("t"), (-x["e"]).alias("evidence"))).alias("taken"), (F.col("__n") - F.size("taken")).alias("n_dropped"))
 
 
 def worst_n(df: DataFrame, by: list[Column], n: int) -> DataFrame:
