@@ -15,13 +15,28 @@ from .views import shared, table
 CLOSING = "timestamp'2100-01-01 00:00:00'"
 
 
-def replay(spark, sf_dir):
-    """The events as a file stream: all of them, then one event far in the future per file."""
+#: Files that a trigger reads, and those of a slice of time; a slice is a day, or the part of one that has about ROWS rows.
+FILES, PARTS, ROWS = 4, 4, 2_000_000
+
+
+def replay(spark, sf_dir, files: int = FILES, parts: int = PARTS, most: int = ROWS):
+    """The events as a file stream: slices of time of at most ``parts`` files, several files a trigger, then one event far in the future.
+
+    A file source reads files in the order of their modification times, so slices are written one after another.
+    """
     base = f"{shared(spark)}/stream-{uuid.uuid4().hex}"
     rows = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
-    rows.repartition(1).sortWithinPartitions("ts").write.parquet(f"{base}/in/part=1")
-    spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), F.expr(CLOSING).alias("ts"), F.lit(0.0).alias("value")).coalesce(1).write.parquet(f"{base}/in/part=2")
-    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    rows.withColumn("day", F.to_date("ts")).repartitionByRange("ts").write.partitionBy("day").parquet(f"{base}/ranged")
+    ranged = spark.read.schema("user_id long, ts timestamp, value double, day date").parquet(f"{base}/ranged")
+    days = ranged.groupBy("day").agg(F.count("*").alias("n")).orderBy("day").collect()  # days of the stream: few
+    for day, n in days:
+        of_day = ranged.filter(F.col("day") == F.lit(day))
+        cuts = -(-n // most)
+        slot = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")) * cuts / 86400)
+        for k in range(cuts):
+            of_day.filter(slot == k).drop("day").repartitionByRange(parts, "ts").write.parquet(f"{base}/in/part={day}-{k}")
+    spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), F.expr(CLOSING).alias("ts"), F.lit(0.0).alias("value")).coalesce(1).write.parquet(f"{base}/in/part=9999-12-31")
+    stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
     return stream, base
 
 

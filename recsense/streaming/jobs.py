@@ -35,9 +35,13 @@ def stream_label_files(files: DataFrame, label: Callable[[DataFrame], DataFrame]
 class Lowpass(StatefulProcessor):
     """y = a x + (1 - a) y before, per recording; y0 = x0. The state is the last y.
 
-    Rows of a recording are filtered in time order within a batch; batches follow each other in time.
+    Rows of a recording are put in time order within a batch; batches follow each other in time. A stream can't
+    be sorted ahead of its state, so of a batch the times and samples are held (16 bytes a row); what is given
+    on goes out in chunks. The rows of a trigger bound what is held, however long a recording is.
     """
 
+    CHUNK = 10_000
+
     def __init__(self, weight: float, rec: str, ts: str, x: str):
         self.weight, self.rec, self.ts, self.x = weight, rec, ts, x
 
@@ -45,14 +49,19 @@ class Lowpass(StatefulProcessor):
         self.last = handle.getValueState("last", "y double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        part = pd.concat(list(rows)).sort_values(self.ts, kind="stable")
+        parts = [(part[self.ts].to_numpy(), part[self.x].to_numpy(float)) for part in rows]
+        times, x = (np.concatenate(c) for c in zip(*parts, strict=True))
+        parts.clear()
+        order = np.argsort(times, kind="stable")
         y = self.last.get()[0] if self.last.exists() else None
-        out = np.empty(len(part))
-        for i, v in enumerate(part[self.x].to_numpy(float)):
-            y = v if y is None else self.weight * v + (1 - self.weight) * y
-            out[i] = y
+        for start in range(0, len(order), self.CHUNK):
+            take = order[start : start + self.CHUNK]
+            out = np.empty(len(take))
+            for i, v in enumerate(x[take]):
+                y = v if y is None else self.weight * v + (1 - self.weight) * y
+                out[i] = y
+            yield pd.DataFrame({self.rec: key[0], self.ts: times[take], "y": out})
         self.last.update((float(y),))
-        yield pd.DataFrame({self.rec: part[self.rec].to_numpy(), self.ts: part[self.ts].to_numpy(), "y": out})
 
     def close(self) -> None:
         pass
