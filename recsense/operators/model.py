@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import evaluate, joins, signals, timebase, verdict, windows
+from . import evaluate, joins, physics, signals, timebase, verdict, windows
 
 
 def balanced(df: DataFrame, label: str) -> DataFrame:
@@ -58,6 +58,13 @@ def ablation_grid(df: DataFrame, features: list[str], label: str, group: str, dr
     return out
 
 
+def seed_sweep(df: DataFrame, features: list[str], label: str, group: str, seeds: Iterable[int] = range(5), **forest) -> DataFrame:
+    """Leave-one-group-out again for every seed: ``metric, mean, least, most, spread, n_seeds``."""
+    rows = ablation_grid(df, features, label, group, [("all", [])], seeds, **forest)
+    long = rows.select("seed", F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("v")) for c in ("macro_f1", "accuracy")])).alias("x")).select("seed", "x.*")
+    return long.groupBy("metric").agg(F.avg("v").alias("mean"), F.min("v").alias("least"), F.max("v").alias("most"), (F.max("v") - F.min("v")).alias("spread"), F.count("*").alias("n_seeds"))
+
+
 @dataclass(frozen=True)
 class Reference:
     """What reasons are stated against, out of the windows that a model was trained on."""
@@ -119,3 +126,24 @@ def label_recordings(rows: DataFrame, grid: DataFrame, health: DataFrame, featur
     mapped = found.withColumns({"guess": F.col("__call.guess"), "confidence": F.col("__call.confidence"), "ambiguous": F.coalesce("__call.ambiguous", F.lit(True)), "reason": F.coalesce("__call.reason", F.lit(verdict.REASONS[0]))})
     refused = health.filter("not usable").select("rec", F.array_join("errors", "; ").alias("refusal"))
     return verdict.verdict_projection(mapped.join(refused, "rec", "left"), ["rec", "segment", "id", "t", "refusal"])
+
+
+def fault_controls(grid: DataFrame, channels: list[str], angles: tuple[str, str], score: Callable[[DataFrame], DataFrame], n: int, least_rows: int) -> DataFrame:
+    """Health and plausibility of each recording, run again on a copy with each fault: ``rec, fault, shares, caught_by``.
+
+    ``score`` gives the rows of a copy that can be served their ``guess, ambiguous, swaps, rest_trusted``; ``caught_by`` is
+    empty where nothing says anything, and the copy without a fault is the control.
+    """
+    copies, out = physics.with_faults(grid, *angles), None
+    for fault in ("none", "duplicated", "dead", "swapped"):
+        copy = copies.filter(F.col("fault") == fault).drop("fault")
+        per = copy.groupBy("rec", "segment").agg(F.count("*").alias("n_source_rows"))
+        health = timebase.health_check(copy, channels, per, least_rows=n)
+        called = score(copy.join(health.filter("usable").select("rec"), "rec", "left_semi")).withColumn("physics", physics.swap_verdict(F.col("swaps"), mean=True))
+        stats = physics.file_stats(called, "rec")
+        found = physics.plausibility_check(stats, "rec", least_rows).groupBy("rec").agg(F.sort_array(F.collect_list("finding")).alias("findings"))
+        none = F.array().cast("array<string>")
+        row = health.join(stats.drop("rest_trusted"), "rec", "left").join(found, "rec", "left")
+        row = row.select("rec", F.lit(fault).alias("fault"), "committed_frac", "model_walk_frac", "physics_walk_frac", F.concat("errors", "warnings", F.coalesce("findings", none)).alias("caught_by"))
+        out = row if out is None else out.unionByName(row)
+    return out

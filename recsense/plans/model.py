@@ -70,3 +70,23 @@ def label_recordings(spark, sf_dir):
     raw, grid, health, data, names = served(spark, sf_dir)
     model = op.fit_forest(data, names, "label")
     return op.label_recordings(raw, grid, health, data, names, model, op.reference(data, names, "label"), N, STEP, 0.85, TICK)
+
+
+@query("seed_sweep_forest")
+def seed_sweep_forest(spark, sf_dir):
+    data, names = labelled(spark, sf_dir)
+    return op.seed_sweep(data, names, "label", "grp")
+
+
+@query("fault_controls_rerun")
+def fault_controls_rerun(spark, sf_dir):
+    _, grid, _, data, names = served(spark, sf_dir)
+    model, ref = op.fit_forest(data, names, "label"), op.reference(data, names, "label")
+
+    def score(copy):
+        x = kept(copy.withColumn("d", F.col("a") - F.col("b")), "fault-rows")
+        trusted = windows.rest_reference(x, [*ANGLES, "d"], "d", 8, 20.0).select("rec", "rest_trusted")
+        scored = op.predict(model, kept(features(x)[0], "fault-windows"), names)
+        return op.explain_rows(x, scored, names, ref, N, STEP, 0.85).join(trusted, "rec")
+
+    return op.fault_controls(grid, [*ANGLES, *RATES], ANGLES, score, N, N)

@@ -70,3 +70,23 @@ def test_all_features_have_both_sides(spark):
     side = side[side != 0]
     assert found.swaps == (side[1:] != side[:-1]).sum()
     assert found.vb_band == pytest.approx(windows.spectrum(x["vb"][None], 16.0, 1.0, 3.0, 7.0)[0, 1])
+
+
+def test_seed_sweep_fits_for_every_seed(spark):
+    df = spark.range(60).select((F.col("id") % 7).cast("double").alias("x"), F.rand(3).alias("y"), F.when(F.col("id") % 7 > 2, 10).otherwise(0).alias("label"), (F.col("id") % 2).alias("g"))
+    got = {r.metric: r for r in model.seed_sweep(df, ["x", "y"], "label", "g", (0, 1), trees=3, depth=3).collect()}
+    one = [model.ablation_grid(df, ["x", "y"], "label", "g", [("all", [])], (s,), trees=3, depth=3).first().accuracy for s in (0, 1)]
+    assert got["accuracy"].n_seeds == 2 and (got["accuracy"].least, got["accuracy"].most) == (min(one), max(one))
+    assert got["macro_f1"].spread == got["macro_f1"].most - got["macro_f1"].least
+
+
+def test_fault_controls_name_what_caught_each(spark):
+    rows = [(1, 0, k, float(k), k, 20.0 * (-1) ** (k // 4), -20.0 * (-1) ** (k // 4), 1.0 * (k % 3)) for k in range(64)]
+    grid = spark.createDataFrame(rows, "rec long, segment long, id long, t double, i long, a double, b double, va double")
+
+    def score(copy):  # a model that calls all rows walking
+        swaps = copy.groupBy("rec").agg(F.when(F.max(F.abs(F.col("a") - F.col("b"))) > 30, 4.0).otherwise(0.0).alias("swaps"))
+        return copy.join(swaps, "rec").select("rec", F.lit(10).alias("guess"), F.lit(False).alias("ambiguous"), "swaps", F.lit(True).alias("rest_trusted"))
+
+    got = {r.fault: r.caught_by for r in model.fault_controls(grid, ["a", "b", "va"], ("a", "b"), score, 16, 16).collect()}
+    assert got == {"none": [], "duplicated": ["physics_silent"], "dead": ["a: constant", "physics_silent"], "swapped": []}
