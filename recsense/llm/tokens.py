@@ -97,7 +97,7 @@ class Prefixes:
 
     @property
     def total(self) -> int:
-        return sum(self.counts)
+        return self.totals[-1] if self.totals else 0
 
     def at(self, n_chars: int) -> int:
         """Tokens of the first ``n_chars`` characters."""
@@ -113,11 +113,22 @@ class Prefixes:
         return before + len(encode(self.text[start:n_chars]))
 
     def truncate(self, budget: int) -> int:
-        """Characters of the longest prefix that ends with a piece and has at most ``budget`` tokens."""
+        """Characters of a prefix with at most ``budget`` tokens.
+
+        The table gives the last piece end that fits; the piece that crosses the budget is searched by halves
+        for a cut that fits where one more character doesn't.
+        """
         j = bisect_right(self.totals, budget)
         while j and self.at(self.ends[j - 1]) > budget:
             j -= 1
-        return self.ends[j - 1] if j else 0
+        low = self.ends[j - 1] if j else 0
+        high = next((end for end in self.ends[j:] if self.at(end) > budget), None)
+        if budget < 0 or high is None:
+            return low
+        while high - low > 1:
+            middle = (low + high) // 2
+            low, high = (middle, high) if self.at(middle) <= budget else (low, middle)
+        return low
 
 
 def token_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", limit: int = LIMIT, prefixes: bool = False) -> DataFrame:
@@ -137,7 +148,7 @@ def token_counts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", li
             n_tokens, ends, totals = [], [], []
             for value in batch.column(2):
                 found = Prefixes(value.as_py() or "", memo)
-                n_tokens.append(found.total)
+                n_tokens.append(found.total)  # the last entry of the prefix table
                 if prefixes:
                     ends.append(found.ends)
                     totals.append(found.totals)
