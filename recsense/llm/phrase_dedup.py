@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_dedup import _SPANS, spans_of
-from .common import written
+from .common import discard, folder, shared_dir, written
 from .repeats import INDEX, Shape, finish, keyed, over_boundaries, scan_blocks, scan_run, sorted_pass, splitters
 
 #: Words of a window.
 WINDOW = 13
 #: The anchor of a window lies at its first ANCHORS words and is chosen by GRAM words, longest first.
 GRAM, ANCHORS = 3, 11
-#: Batches of ascending ids in which a table is put into the index.
-BATCHES = 2
+#: Batches of ascending ids in which a table is put into the index, and runs of a level that are compacted into one.
+BATCHES, FAN = 3, 2
+
+RUN = "common long, whole long, doc long"
 
 
 def word_codes(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -42,38 +47,96 @@ def cut_words(text: str, covered: np.ndarray | None) -> tuple[int, list[dict[str
 
 
 class FingerprintIndex:
-    """An index of the windows of documents seen so far, as an immutable sorted run in the shared folder.
-
-    :meth:`add` merges the blocks of a batch with the run in one sorted pass, says which of them earlier
-    documents hold or have to be compared with, and writes the compacted run: for each distinct block the
-    smallest id. Batches have to come in the order of their ids.
+    """A log-structured index of the windows of documents seen so far, in a folder that any later job can open.
+
+    It is a list of immutable runs in levels; a run is a table ``(common, whole, doc)``, its files sorted by
+    fingerprint: each block of windows that no older run holds, with its smallest id. :meth:`add` merges a batch with all
+    runs in one sorted pass and writes the new blocks as a run of level 0. When a level has ``fan`` runs, they
+    are compacted into one run of the next level, so n batches leave about log n runs and a block is rewritten
+    about log n times. The newest complete manifest names the runs that are valid; it is put in place by a rename, so a
+    job that is lost leaves the index as it was. Batches have to come in the order of their ids.
     """
 
-    def __init__(self, shape: Shape, split: np.ndarray):
-        self.shape, self.split = shape, split
-        self.run: DataFrame | None = None
-
-    def add(self, texts: DataFrame, last: bool = False) -> DataFrame:
-        """``(whole, doc, kind)`` for the batch ``(doc, text)``; after the ``last`` batch no run is kept."""
-        rows = scan_blocks(texts, word_codes, self.shape, self.split)
-        if self.run is not None:
-            rows = rows.unionByName(scan_run(self.run, self.split))
-        said = written(sorted_pass(rows, self.split, by_count=False, index=not last), "index-merge")
-        rest = over_boundaries(said.filter("kind = 0"), by_count=False, index=not last)
+    def __init__(self, spark: SparkSession, path: str, shape: Shape, fan: int = FAN):
+        self.spark, self.path, self.shape, self.fan = spark, path.rstrip("/"), shape, fan
+        self.version, self.runs = 0, []
+        #: Tables that :meth:`add`'s answers still read.
+        self.spent: list[DataFrame] = []
+        files, at = folder(spark, self.path)
+        found = sorted(f.getPath().getName() for f in files.listStatus(at)) if files.exists(at) else []
+        if names := [n for n in found if n.startswith("manifest-")]:
+            self.version = int(names[-1].removeprefix("manifest-"))
+            lines = spark.read.text(f"{self.path}/{names[-1]}").collect()
+            self.runs = [(level, name) for level, name in json.loads(lines[0][0])]
+
+    def _commit(self, runs: list[tuple[int, str]]) -> None:
+        self.version += 1
+        files, at = folder(self.spark, f"{self.path}/manifest-{self.version:09d}")
+        draft = folder(self.spark, f"{self.path}/draft-{uuid.uuid4().hex}")[1]
+        out = files.create(draft)
+        out.write(bytearray(json.dumps(runs).encode()))
+        out.close()
+        if not files.rename(draft, at):
+            raise RuntimeError(f"another job has changed the index {self.path}")
+        gone = [name for _, name in self.runs if name not in {n for _, n in runs}]
+        self.runs = runs
+        for name in gone:
+            files.delete(folder(self.spark, f"{self.path}/{name}")[1], True)
+
+    def _write(self, blocks: DataFrame) -> str:
+        name = f"run-{uuid.uuid4().hex}"
+        blocks.select("common", "whole", "doc").sortWithinPartitions("common", "whole").write.option("compression", "zstd").parquet(f"{self.path}/{name}")
+        return name
+
+    def read(self, runs: list[tuple[int, str]] | None = None) -> DataFrame | None:
+        """The blocks of these runs, of all valid ones if none are given; None where there is none."""
+        paths = [f"{self.path}/{name}" for _, name in (self.runs if runs is None else runs)]
+        return self.spark.read.schema(RUN).parquet(*paths) if paths else None
+
+    def add(self, texts: DataFrame, keep: bool = True) -> DataFrame:
+        """``(whole, doc, kind)`` for the batch ``(doc, text)``; unless ``keep``, the index stays as it is."""
+        old = self.read()
+        deal = splitters(texts, word_codes, self.shape, old)
+        rows = scan_blocks(texts, word_codes, self.shape, deal)
+        if old is not None:
+            rows = rows.unionByName(scan_run(old, deal))
+        merged = written(sorted_pass(rows, deal, by_count=False, index=keep), "index-merge")
+        self.spent.append(merged)
+        rest = over_boundaries(merged.filter("kind = 0"), by_count=False, index=keep)
         names = ["common", "whole", "doc", "kind"]
-        said = said.filter("kind > 0").select(names).unionByName(rest.select(names))
-        if not last:
-            self.run = said.filter(F.col("kind").bitwiseAND(INDEX) > 0).select("common", "whole", "doc")
+        said = merged.filter("kind > 0").select(names).unionByName(rest.select(names))
+        if keep:
+            self._commit([*self.runs, (0, self._write(said.filter(F.col("kind").bitwiseAND(INDEX) > 0)))])
+            self.compact()
         return said.filter(f"kind != {INDEX}").select("whole", "doc", "kind")
 
+    def compact(self) -> None:
+        """Merge the runs of each level that has ``fan`` of them, from the lowest."""
+        level = 0
+        while any(a >= level for a, _ in self.runs):
+            own = [r for r in self.runs if r[0] == level]
+            if len(own) >= self.fan:
+                one = self.read(own).groupBy("common", "whole").agg(F.min("doc").alias("doc"))
+                self._commit([*(r for r in self.runs if r not in own), (level + 1, self._write(one))])
+            level += 1
+
+    def clear(self) -> None:
+        files, at = folder(self.spark, self.path)
+        files.delete(at, True)
 
-def repeated_phrases(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, gram: int = GRAM, anchors: int = ANCHORS, batches: int = BATCHES) -> DataFrame:
+
+def repeated_phrases(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, gram: int = GRAM, anchors: int = ANCHORS, batches: int = BATCHES, index: str | None = None, history: DataFrame | None = None) -> DataFrame:
     """One row per document: ``doc_id, n_words, spans, kept`` (removed ranges of words, and the text that stays).
 
     A word is removed if a window of ``window`` words that covers it also starts in a document with a smaller
     id; all is judged on the input. The table goes into a :class:`FingerprintIndex` in batches of ascending
-    ids: the merge finds equal fingerprints, and windows are compared where blocks agree only in part. Null
-    text has no words. Rows that repeat an id are one document as far as smaller ids go; a null id comes after
+    ids: the merge finds equal fingerprints, and windows are compared where blocks agree only in part.
+
+    ``index`` names the folder of an index that stays: documents of earlier calls count as well, and these are added.
+    The index holds fingerprints only, so ``history`` has to give the earlier documents (same columns) from which
+    those that share a part of a block are read again. Without a name the index is cleared after the merge.
+
+    Null text has no words. Rows that repeat an id are one document as far as smaller ids go; a null id comes after
     all ids. An empty table gives no rows.
     """
     shape = Shape(window, gram, anchors)
@@ -81,14 +144,21 @@ def repeated_phrases(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     shares = [k / batches for k in range(1, batches)]
     marks = texts.agg(F.percentile_approx("doc", shares, 10_000)).first()[0] or [] if shares else []
     bounds = [None, *sorted(set(marks)), None]
-    index, said = FingerprintIndex(shape, splitters(texts, word_codes, shape)), None
+    spark = docs.sparkSession
+    runs = FingerprintIndex(spark, index or f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", shape)
+    said = None
     for k, (low, high) in enumerate(zip(bounds, bounds[1:], strict=False)):
         batch = texts
         if low is not None:
             batch = batch.filter(F.col("doc") > low)
         if high is not None:
             batch = batch.filter(F.col("doc") <= high)
-        part = index.add(batch, last=k == len(bounds) - 2)
+        part = runs.add(batch, keep=index is not None or k < len(bounds) - 2)
         said = part if said is None else said.unionByName(part)
+    said = written(said, "index-blocks")
+    discard(*runs.spent)
+    if index is None:
+        runs.clear()
     fields = [("n_words", pa.int64()), ("spans", _SPANS), ("kept", pa.string())]
-    return finish(texts, written(said, "index-blocks"), False, word_codes, shape, cut_words, fields, "n_words long, spans array<struct<start: long, end: long>>, kept string")
+    earlier = None if history is None else keyed(history, text, doc_id)
+    return finish(texts, said, False, word_codes, shape, cut_words, fields, "n_words long, spans array<struct<start: long, end: long>>, kept string", earlier)

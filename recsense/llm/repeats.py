@@ -20,12 +20,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import discard, written
+
 #: Units that are hashed at once, unless one document has more.
 UNITS = 1 << 19
 #: Rows of an Arrow batch that are worked on at a time.
 ROWS = 1000
-#: One document in SAMPLE shows where the ranges of the sort are to be cut; blocks that a range may have.
+#: One block in SAMPLE, of all documents, shows where the ranges of the sort are to be cut; blocks that a range may have.
 SAMPLE, RANGE = 32, 500_000
+#: A fingerprint with more than 1 / (HEAVY * ranges) of the blocks may be spread over ranges.
+HEAVY = 4
 #: Low bits of an order key that hold the place.
 PLACE = 24
 #: Stands for a null id; so it comes after all ids.
@@ -64,11 +68,34 @@ class Hashes:
 
 @dataclass
 class Shape:
-    """Units of a window, of a gram, and how many grams from a window's start on can be its anchor."""
+    """Units of a window, of a gram, and how many grams from a window's start on can be its anchor.
+
+    With ``lead`` the suffixes that begin at the anchors are sorted by their first units themselves (8 bytes),
+    and by fingerprints of more units after that; without it by fingerprints alone.
+    """
 
     window: int
     gram: int
     anchors: int
+    lead: bool = False
+
+
+@dataclass
+class Deal:
+    """How rows are dealt out to the ranges of a sort.
+
+    ``split``: ascending values of the first key; a value that is several splitters has several ranges. ``heavy``:
+    ascending fingerprints (``common``) with so many rows that they are spread over all ranges of their first key.
+    """
+
+    split: np.ndarray
+    heavy: np.ndarray
+
+    def place(self, first: np.ndarray, common: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        """Range of each row: rows alike in ``common`` meet in one range, unless they are heavy."""
+        low, high = np.searchsorted(self.split, first, "left"), np.searchsorted(self.split, first, "right")
+        by = np.where(np.isin(common, self.heavy), salt.view(np.uint64), mixed(common.view(np.uint64)))
+        return (low + (mixed(by) >> np.uint64(33)).astype(np.int64) % (high - low + 1)).astype(np.int32)
 
 
 @dataclass
@@ -82,6 +109,7 @@ class Blocks:
     document: np.ndarray
     one: Hashes
     two: Hashes
+    anchor: np.ndarray
 
     def windows(self, chosen: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """``(block, start, hash, second hash)`` of all windows of the chosen blocks."""
@@ -102,7 +130,7 @@ def blocks(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: Shape
     p = np.flatnonzero(np.cumsum(step[:n]))
     none = np.zeros(0, np.int64)
     if not len(p):
-        return Blocks(none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, one, two)
+        return Blocks(none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, one, two, none)
     place = np.arange(n - shape.gram + 1)
     order = one.of(place, place + shape.gram)
     if prefer is not None:
@@ -124,7 +152,7 @@ def blocks(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: Shape
     common = one.of(m, m + shape.window - shape.anchors + 1)
     shape_code = mixed(((m - first).astype(np.uint64) << np.uint64(32)) + (last - first).astype(np.uint64))
     whole = two.of(first, last + shape.window) ^ shape_code
-    return Blocks(first, last, common, whole, np.searchsorted(starts, first, "right") - 1, one, two)
+    return Blocks(first, last, common, whole, np.searchsorted(starts, first, "right") - 1, one, two, m)
 
 
 def _leftmost_least(order: np.ndarray, p: np.ndarray, anchors: int) -> np.ndarray:
@@ -164,37 +192,66 @@ def signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def scan_blocks(docs: DataFrame, coder: Coder, shape: Shape, split: np.ndarray | None = None) -> DataFrame:
-    """``(common, whole, doc)`` of every block of ``(doc, text)`` rows, with splitters also ``old`` (false) and its ``range``."""
+def leading(text: bytes, anchors: np.ndarray) -> np.ndarray:
+    """The 8 bytes at each anchor as numbers in the order of the bytes."""
+    view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), 8)[anchors]
+    return (np.ascontiguousarray(view).view(">u8").ravel().astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def scan_blocks(docs: DataFrame, coder: Coder, shape: Shape, deal: Deal | None = None) -> DataFrame:
+    """``(lead, common, whole, doc)`` of the blocks of ``(doc, text)`` rows (``lead`` only with ``shape.lead``).
+
+    With a ``deal`` all blocks, with ``n`` (how often the document has the block: repeats within a document are
+    summed up here), ``old`` (false) and the ``range``; without one the first and last key of a sample of them.
+    """
+    names = ["lead"] * shape.lead + ["common", "whole", "doc"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches):
             doc = batch.column(0).to_numpy(zero_copy_only=False)
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at, _, found, _ in stretches(texts, coder, shape):
+            for at, codes, found, _ in stretches(texts, coder, shape):
+                common, whole = np.ascontiguousarray(found.common).view(np.int64), np.ascontiguousarray(found.whole).view(np.int64)
                 of = doc[at + found.document]
-                common = np.ascontiguousarray(found.common).view(np.int64)
-                columns = {"common": pa.array(common), "whole": signed(found.whole), "doc": pa.array(of)}
-                if split is not None:
-                    columns |= {"old": pa.array(np.zeros(len(of), bool)), "range": pa.array(dealt(common, of, split))}
-                yield pa.RecordBatch.from_pydict(columns)
-
-    return docs.mapInArrow(run, "common long, whole long, doc long" + ("" if split is None else ", old boolean, range int"))
-
-
-def scan_run(run: DataFrame, split: np.ndarray) -> DataFrame:
+                salt = mixed(found.whole ^ mixed(of.astype(np.uint64)))
+                first = common
+                if shape.lead:
+                    first = leading("".join(texts[at : at + len(codes)]).encode(), found.anchor) if len(common) else common
+                if deal is None:
+                    some = np.flatnonzero(mixed(salt + found.first.astype(np.uint64)) % np.uint64(SAMPLE) == 0)
+                    yield pa.RecordBatch.from_pydict({"first": pa.array(first[some]), "common": pa.array(common[some])})
+                    continue
+                # repeats of a block within a document as one row
+                order = np.lexsort((whole, of))
+                new = np.ones(len(order), bool)
+                new[1:] = (whole[order[1:]] != whole[order[:-1]]) | (of[order[1:]] != of[order[:-1]])
+                one = order[new]
+                times = np.diff(np.append(np.flatnonzero(new), len(order)))
+                columns = {"lead": first} if shape.lead else {}
+                columns |= {"common": common, "whole": whole, "doc": of}
+                columns = {k: pa.array(v[one]) for k, v in columns.items()}
+                place = deal.place(first[one], common[one], salt[one].view(np.int64))
+                yield pa.RecordBatch.from_pydict(columns | {"n": pa.array(times.astype(np.int64)), "old": pa.array(np.zeros(len(one), bool)), "range": pa.array(place)})
+
+    if deal is None:
+        return docs.mapInArrow(run, "first long, common long")
+    return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", n long, old boolean, range int")
+
+
+def scan_run(run: DataFrame, deal: Deal) -> DataFrame:
     """Blocks ``(common, whole, doc)`` of earlier batches, for the same pass."""
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = dealt(batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False), split)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.ones(len(place), bool)), pa.array(place)], names=["common", "whole", "doc", "old", "range"])
+            common, whole = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            at = deal.place(common, common, whole)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.ones(len(at), np.int64)), pa.array(np.ones(len(at), bool)), pa.array(at)], names=["common", "whole", "doc", "n", "old", "range"])
 
-    return run.select("common", "whole", "doc").mapInArrow(deal, "common long, whole long, doc long, old boolean, range int")
+    return run.select("common", "whole", "doc").mapInArrow(place, "common long, whole long, doc long, n long, old boolean, range int")
 
 
-def classify(common: np.ndarray, whole: np.ndarray, doc: np.ndarray, by_count: bool) -> np.ndarray:
-    """What is said of each block of rows sorted by ``(common, whole, doc)``.
+def classify(common: np.ndarray, whole: np.ndarray, doc: np.ndarray, n_of: np.ndarray, by_count: bool) -> np.ndarray:
+    """What is said of each block of rows sorted by ``(common, whole, doc)``, that stand for ``n_of`` blocks each.
 
     ``by_count``: equal blocks are repeated, all of them; else those of larger ids than the smallest are.
     Where blocks with one ``common`` differ in ``whole``, the first of each is to be compared.
@@ -206,7 +263,7 @@ def classify(common: np.ndarray, whole: np.ndarray, doc: np.ndarray, by_count: b
     of_common = np.cumsum(new_common) - 1
     kinds = np.bincount(of_common, new_whole)  # different blocks of each common
     if by_count:
-        repeated = np.bincount(group)[group] > 1
+        repeated = np.bincount(group, n_of)[group] > 1
     else:
         repeated = doc > doc[np.flatnonzero(new_whole)][group]
     compare = new_whole & (kinds[of_common] > 1)
@@ -231,33 +288,35 @@ def _as_before(values: np.ndarray) -> np.ndarray:
     return np.concatenate((np.zeros(min(1, len(values)), bool), values[1:] == values[:-1]))
 
 
-def splitters(texts: DataFrame, coder: Coder, shape: Shape) -> np.ndarray:
-    """Ascending values of ``common`` that deal blocks out evenly, from the blocks of a sample of documents.
+def splitters(texts: DataFrame, coder: Coder, shape: Shape, old: DataFrame | None = None) -> Deal:
+    """Deals blocks out evenly, by a sample of the blocks of all documents, and of ``old`` ones of earlier batches.
 
-    Their number follows from the shuffle partitions and from how many blocks the sample lets expect, so that a
-    range has about RANGE blocks at any size. A value with a large share of the blocks is several splitters.
+    The number of ranges follows from the shuffle partitions and from how many blocks the sample lets expect, so
+    that a range has about RANGE blocks at any size. What comes to the driver are the splitters, and at most
+    HEAVY fingerprints a range.
     """
-    sample = scan_blocks(texts.filter(F.pmod(F.xxhash64("doc"), F.lit(SAMPLE)) == 0), coder, shape)
-    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    seen = sample.count() * SAMPLE
-    n = max(n, seen // RANGE + 1)
-    found = sample.agg(F.percentile_approx("common", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else None
-    return np.array(found or [], np.int64)
-
-
-def dealt(common: np.ndarray, doc: np.ndarray, split: np.ndarray) -> np.ndarray:
-    """Number of the range of each block; blocks whose ``common`` is several splitters are spread over their ranges by id."""
-    low, high = np.searchsorted(split, common, "left"), np.searchsorted(split, common, "right")
-    spread = (mixed(doc.view(np.uint64)) >> np.uint64(33)).astype(np.int64)
-    return (low + spread % (high - low + 1)).astype(np.int32)
-
-
-def sorted_pass(rows: DataFrame, split: np.ndarray, by_count: bool, index: bool = False) -> DataFrame:
-    """``(common, whole, doc, old, kind, n)`` of blocks of which something is to be said, out of ``(common, whole, doc, old, range)``.
-
-    Blocks are dealt out by the ranges between the splitters; each range is sorted on its own and neighbours are
-    compared. The first and the last ``common`` of a range may go on in other ranges: of these each different
-    block is given once more, with kind 0, its smallest id and its number, for :func:`over_boundaries`. ``old``
+    spark = texts.sparkSession
+    sample = scan_blocks(texts, coder, shape)
+    if old is not None:
+        some = F.pmod(F.xxhash64("common", "whole"), F.lit(SAMPLE)) == 0
+        sample = sample.unionByName(old.filter(some).select(F.col("common").alias("first"), "common"))
+    sample = written(sample, "block-sample")
+    taken = sample.count()
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), taken * SAMPLE // RANGE + 1)
+    found = sample.agg(F.percentile_approx("first", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else None
+    heavy = sample.groupBy("common").count().filter((F.col("count") > 1) & (F.col("count") * F.lit(HEAVY * n) > taken)).select("common").collect()
+    discard(sample)
+    # without a sample (a handful of blocks in all) one range holds everything
+    return Deal(np.array(found or [], np.int64), np.sort(np.array([r[0] for r in heavy], np.int64)))
+
+
+def sorted_pass(rows: DataFrame, deal: Deal, by_count: bool, lead: bool = False, index: bool = False) -> DataFrame:
+    """``(common, whole, doc, old, kind, n)`` of blocks of which something is to be said, out of the rows of :func:`scan_blocks`.
+
+    Blocks are dealt out by the ranges between the splitters; each range is sorted on its own by a multikey
+    quicksort (leading units, fingerprints of what follows, document), and neighbours are compared. Blocks
+    that are alike in ``common`` meet in one range unless they are heavy: of heavy ones each different block is
+    given once more, with kind 0, its smallest id and its number, for :func:`over_boundaries`. ``old``
     blocks are of earlier batches and are only named again where they are to be compared.
     """
     schema = pa.schema([("common", pa.int64()), ("whole", pa.int64()), ("doc", pa.int64()), ("old", pa.bool_()), ("kind", pa.int32()), ("n", pa.int64())])
@@ -267,36 +326,35 @@ def sorted_pass(rows: DataFrame, split: np.ndarray, by_count: bool, index: bool
         if not held:
             return
         table = pa.Table.from_batches(held)
-        common, whole, doc = (table[n].to_numpy() for n in ("common", "whole", "doc"))
-        old = table["old"].to_numpy()
-        order = multikey_order(common, whole, doc)
-        common, whole, doc, old = common[order], whole[order], doc[order], old[order]
-        kind = classify(common, whole, doc, by_count)
+        names = ["lead"] * lead + ["common", "whole", "doc"]
+        order = multikey_order(*(table[n].to_numpy() for n in names))
+        common, whole, doc, times, old = (table[n].to_numpy()[order] for n in ("common", "whole", "doc", "n", "old"))
+        kind = classify(common, whole, doc, times, by_count)
         first = kind & INDEX > 0
-        number = np.bincount(np.cumsum(first) - 1)[np.cumsum(first) - 1]
-        edge = (common == common[0]) | (common == common[-1])
-        said = np.where(old, kind & ~WHOLE, kind)
+        number = np.bincount(np.cumsum(first) - 1, times).astype(np.int64)[np.cumsum(first) - 1]
+        edge = np.isin(common, deal.heavy)
+        said = np.where(old, kind & COMPARE, kind)
         said = np.where(edge, said & WHOLE, said if index else said & ~INDEX)
         for take, what in ((np.flatnonzero(said), said), (np.flatnonzero(edge & first), np.zeros_like(said))):
             for part in np.array_split(take, len(take) // 100_000 + 1):
                 yield pa.RecordBatch.from_arrays([pa.array(common[part]), pa.array(whole[part]), pa.array(doc[part]), pa.array(old[part]), pa.array(what[part].astype(np.int32)), pa.array(number[part])], schema=schema)
 
-    ranged = rows.repartitionById(len(split) + 1, "range").drop("range")
+    ranged = rows.repartitionById(len(deal.split) + 1, "range").drop("range")
     return ranged.mapInArrow(run, "common long, whole long, doc long, old boolean, kind int, n long")
 
 
 def over_boundaries(edges: DataFrame, by_count: bool, index: bool = False) -> DataFrame:
-    """The same judgement as :func:`classify` for the different blocks of ``common`` that cross range boundaries."""
-    per = edges.groupBy("common", "whole").agg(F.sum("n").alias("n"), F.min("doc").alias("least"))
-    kinds = per.groupBy("common").agg(F.count("*").alias("kinds"))
-    first = per.join(kinds, "common")
-    compare = first.filter("kinds > 1").select("common", "whole", F.col("least").alias("doc"), F.lit(COMPARE).alias("kind"))
+    """The same judgement as :func:`classify` for the different blocks of heavy ``common`` that several ranges hold."""
+    per = edges.groupBy("common", "whole").agg(F.sum("n").alias("n"), F.min("doc").alias("least"), F.min(~F.col("old")).alias("fresh"))
+    # one row for each heavy fingerprint, HEAVY a range at most: small enough to be sent to all tasks
+    kinds = F.broadcast(per.groupBy("common").agg(F.count("*").alias("kinds")))
+    compare = per.join(kinds, "common").filter("kinds > 1").select("common", "whole", F.col("least").alias("doc"), F.lit(COMPARE).alias("kind"))
     other = per.select(F.col("common").alias("c"), F.col("whole").alias("w"), F.col("n").alias("all"), "least")
     repeated = (F.col("all") > 1) if by_count else (F.col("doc") > F.col("least"))
     whole = edges.filter("not old").join(other, (F.col("common") == F.col("c")) & (F.col("whole") == F.col("w"))).filter(repeated)
     out = compare.unionByName(whole.select("common", "whole", "doc", F.lit(WHOLE).alias("kind")))
     if index:
-        out = out.unionByName(per.select("common", "whole", F.col("least").alias("doc"), F.lit(INDEX).alias("kind")))
+        out = out.unionByName(per.filter("fresh").select("common", "whole", F.col("least").alias("doc"), F.lit(INDEX).alias("kind")))
     return out
 
 
@@ -304,12 +362,12 @@ def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.col(text).alias("text"))
 
 
-def finish(texts: DataFrame, said: DataFrame, by_count: bool, coder: Coder, shape: Shape, cut: Callable, fields: list[tuple[str, pa.DataType]], ddl: str) -> DataFrame:
+def finish(texts: DataFrame, said: DataFrame, by_count: bool, coder: Coder, shape: Shape, cut: Callable, fields: list[tuple[str, pa.DataType]], ddl: str, history: DataFrame | None = None) -> DataFrame:
     """Compare windows where blocks differ, then cut every text.
 
-    ``texts``: ``(doc, text)``; ``said``: ``(whole, doc, kind)``. ``cut(text, covered)`` gives the output
-    columns of one document from the mask of its covered units (None: nothing is). The texts are shuffled by id once; both joins
-    read that shuffle.
+    ``texts``: ``(doc, text)``; ``said``: ``(whole, doc, kind)``, of documents of ``history`` too, which are
+    compared but not cut. ``cut(text, covered)`` gives the output columns of one document from the mask of its
+    covered units (None: nothing is). The texts are shuffled by id once; both joins read that shuffle.
     """
     compared = said.filter(F.col("kind").bitwiseAND(COMPARE) > 0).groupBy("doc").agg(F.collect_set("whole").alias("wholes"))
 
@@ -323,7 +381,8 @@ def finish(texts: DataFrame, said: DataFrame, by_count: bool, coder: Coder, shap
                 block, _, h1, h2 = found.windows(chosen, shape)
                 yield pa.RecordBatch.from_arrays([signed(h1), signed(h2), signed(found.whole[block]), pa.array(doc[at + found.document[block]])], names=["h1", "h2", "whole", "doc"])
 
-    found = texts.join(compared, "doc").select("doc", "text", "wholes").mapInArrow(windows, "h1 long, h2 long, whole long, doc long")
+    known = texts if history is None else texts.unionByName(history)
+    found = known.join(compared, "doc").select("doc", "text", "wholes").mapInArrow(windows, "h1 long, h2 long, whole long, doc long")
     if by_count:
         least = found.groupBy("h1", "h2").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).filter("a != b")
         hit = F.lit(True)

@@ -1,18 +1,20 @@
 import hashlib
 import random
 
+import os
+
 import numpy as np
 import pytest
 
+from recsense.llm import repeats
 from recsense.llm.byte_dedup import repeated_bytes
 from recsense.llm.phrase_dedup import repeated_phrases
-from recsense.llm.repeats import multikey_order
+from recsense.llm.repeats import Deal, leading, multikey_order
 
 
 def test_multikey_order():
     rng = np.random.default_rng(1)
     keys = [rng.integers(0, n, 3000) for n in (7, 5, 9)]
-    assert (multikey_order(*keys) == np.lexsort((np.arange(3000), *keys[::-1]))).mean() >= 0
     got = np.stack([k[multikey_order(*keys)] for k in keys], 1)
     assert (got == np.array(sorted(zip(*keys, strict=True)))).all()
 
@@ -99,3 +101,54 @@ def test_words_equal_brute_force(spark, batches):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_words, sum(s.end - s.start for s in r.spans), hashlib.sha256(r.kept.encode()).hexdigest()) for r in got) == want
     assert sum(w[3] for w in want) > 500
     assert repeated_phrases(rows.limit(0)).count() == 0
+
+
+def test_leading_bytes_sort_as_bytes():
+    rng = np.random.default_rng(2)
+    text = rng.integers(0, 256, 400).astype(np.uint8).tobytes()
+    at = np.arange(392)
+    got = leading(text, at)
+    assert (np.argsort(got, kind="stable") == sorted(at, key=lambda k: (text[k : k + 8], k))).all()
+
+
+def test_deal_spreads_heavy_rows_only():
+    split = np.array([5, 9, 9, 9, 20])
+    first, common, salt = np.full(3000, 9), np.repeat([1, 2, 3], 1000), np.arange(3000)
+    got = Deal(split, np.array([2])).place(first, common, salt)
+    assert got.min() >= 1 and got.max() <= 4
+    assert len(set(got[common == 2])) == 4 and len(set(got[common == 1])) == len(set(got[common == 3])) == 1
+    assert Deal(split, np.array([2])).place(np.array([4, 6, 21]), np.array([2, 2, 2]), np.arange(3)).tolist()[::2] == [0, 5]
+
+
+@pytest.mark.parametrize("by", ["bytes", "words"])
+def test_hot_rows(spark, monkeypatch, by):
+    """One passage in a third of the rows: most blocks are heavy, and all goes through the comparison over boundaries."""
+    monkeypatch.setattr(repeats, "SAMPLE", 1)
+    rng = random.Random(3)
+    passage = " ".join("p%d" % rng.randrange(90) for _ in range(120))
+    texts = [passage if k % 3 == 0 else " ".join("q%d" % rng.randrange(300) for _ in range(90)) + (" " + passage[: 9 * k] if k % 3 == 1 else "") for k in range(90)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    if by == "bytes":
+        want = brute_bytes(texts, 400)
+        got = [(r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in repeated_bytes(rows).orderBy("doc_id").collect()]
+    else:
+        want = brute_words(list(enumerate(texts)), 13)
+        got = [(r.n_words, sum(s.end - s.start for s in r.spans), hashlib.sha256(r.kept.encode()).hexdigest()) for r in repeated_phrases(rows).orderBy("doc_id").collect()]
+    assert got == want
+
+
+def test_two_sessions_equal_one(spark, tmp_path):
+    """The index is opened again by its folder; earlier documents count, and runs are compacted by level."""
+    texts = corpus(4)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path, cuts, got = f"{tmp_path}/index", [0, 20, 40, 60, 1000], []
+    for low, high in zip(cuts, cuts[1:], strict=False):
+        now, before = rows.filter(f"doc_id >= {low} and doc_id < {high}"), rows.filter(f"doc_id < {low}")
+        got += repeated_phrases(now, index=path, history=before, batches=1 if low else 2).collect()
+    want = brute_words(list(enumerate(texts)), 13)
+    assert [(r.n_words, sum(s.end - s.start for s in r.spans), hashlib.sha256(r.kept.encode()).hexdigest()) for r in sorted(got)] == want
+    # five batches with a fan of two: 4 + 1
+    left = [n for n in os.listdir(path) if n.startswith("run-")]
+    assert len(left) == 2
+    blocks = spark.read.parquet(*[f"{path}/{n}" for n in left])
+    assert blocks.count() == blocks.select("common", "whole").distinct().count() > 100
