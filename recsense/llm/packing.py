@@ -22,19 +22,56 @@ END_ID = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Tokens that one packing round gathers, unless a single document has more.
 ROUND = 512 * LENGTH
-#: Sequences of the lowest cost that are tried whole before a piece is cut.
-TRIES = 8
 
 SCHEMA = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 DDL = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+class Cheapest:
+    """The lowest-cost sequence among those with room for n tokens: a heap for each room, and the least of each
+    stretch of rooms in a tree."""
+
+    def __init__(self, length: int, sequences: int):
+        self.size = 1 << length.bit_length()
+        self.heaps: dict[int, list[tuple[float, int]]] = {length: [(0.0, s) for s in range(sequences)]}
+        self.least: list[tuple[float, int] | None] = [None] * (2 * self.size)
+        self._rise(length)
+
+    def _rise(self, room: int) -> None:
+        heap, at = self.heaps.get(room), self.size + room
+        self.least[at] = heap[0] if heap else None
+        while at > 1:
+            at >>= 1
+            one, two = self.least[2 * at], self.least[2 * at + 1]
+            self.least[at] = one if two is None else two if one is None else min(one, two)
+
+    def take(self, n: int) -> tuple[float, int] | None:
+        """``(cost, sequence)`` of the cheapest with room for ``n``, taken out; of equals the first; None if none has."""
+        at, best, room = self.size + n, self.least[self.size + n], self.size + n
+        while at > 1:
+            if at % 2 == 0 and (right := self.least[at + 1]) is not None and (best is None or right < best):
+                best, room = right, at + 1
+            at >>= 1
+        if best is None:
+            return None
+        while room < self.size:
+            room = 2 * room if self.least[2 * room] == best else 2 * room + 1
+        heapq.heappop(self.heaps[room - self.size])
+        self._rise(room - self.size)
+        return best
+
+    def put(self, room: int, cost: float, sequence: int) -> None:
+        if room:
+            heapq.heappush(self.heaps.setdefault(room, []), (cost, sequence))
+            self._rise(room)
+
+
 def place(lengths: list[int], length: int = LENGTH) -> list[tuple[int, int, int, int, int]]:
     """Pieces ``(document, start, length, sequence, offset)`` for documents of these token counts.
 
     Whole sequences are cut from long documents. The rests go, longest first, each to the lowest-cost
-    sequence that still has room for it, and are cut where none of the lowest has. There are just as many
-    sequences as the rests fill; what is over (less than one sequence, from the shortest rests) goes into
+    sequence that still has room for it, and are cut, into the lowest-cost one, only where none has. There are
+    just as many sequences as the rests fill; what is over (less than one sequence, from the shortest rests) goes into
     sequences of a power of two tokens, which need no padding.
     """
     out, rests, n_seq = [], [], 0
@@ -58,26 +95,14 @@ def place(lengths: list[int], length: int = LENGTH) -> list[tuple[int, int, int,
         left -= n
     rests.sort(key=lambda r: (-r[0], r[1]))
     used = [0] * (total // length)
-    heap = [(0.0, s) for s in range(len(used))]
+    cheapest = Cheapest(length, len(used))
     for n, d, start in rests:
         while n:
-            popped, chosen = [], None
-            while heap and len(popped) < TRIES:
-                entry = heapq.heappop(heap)
-                if length - used[entry[1]] >= n:
-                    chosen = entry
-                    break
-                popped.append(entry)
-            if chosen is None:
-                chosen = popped.pop(0)
-            for entry in popped:
-                heapq.heappush(heap, entry)
-            cost, s = chosen
+            cost, s = cheapest.take(n) or cheapest.take(1)
             take = min(n, length - used[s])
             out.append((d, start, take, n_seq + s, used[s]))
             used[s] += take
-            if used[s] < length:
-                heapq.heappush(heap, (cost + LINEAR * take + QUADRATIC * take * take, s))
+            cheapest.put(length - used[s], cost + LINEAR * take + QUADRATIC * take * take, s)
             start, n = start + take, n - take
     n_seq += len(used)
     sizes = [1 << k for k in range(length.bit_length(), -1, -1) if over >> k & 1]

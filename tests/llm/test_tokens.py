@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from recsense.llm.packing import LENGTH, pack, place
+from recsense.llm.packing import LENGTH, Cheapest, pack, place
 from recsense.llm.tokens import Prefixes, encode, token_counts
 
 LIBRARY = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -65,6 +65,22 @@ def test_place_fills_sequences():
             assert at == LENGTH or at & (at - 1) == 0
 
 
+def test_cheapest_with_room():
+    rng = random.Random(7)
+    found, free = Cheapest(64, 5), {s: (0.0, 64) for s in range(5)}
+    while free:
+        n = rng.randint(1, 64)
+        want = min(((c, s) for s, (c, room) in free.items() if room >= n), default=None)
+        assert found.take(n) == want
+        if want is None:
+            want, n = found.take(1), 1
+        cost, s = want
+        room = free.pop(s)[1] - rng.randint(n, min(free.get(s, (0, 64))[1], n + 3))
+        if room > 0:
+            free[s] = (cost + rng.randint(1, 3), room)
+            found.put(room, *[free[s][0], s])
+
+
 def test_pack_round_trip(spark):
     rows = spark.createDataFrame([(k, t, 1) for k, t in enumerate(TEXTS)] + [(None, "x y", 1), (2, TEXTS[2], 1)], "doc_id long, text string, length int")
     got = pack(rows, round_tokens=3000).collect()
