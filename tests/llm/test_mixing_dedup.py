@@ -25,6 +25,8 @@ def test_exact_dedup_equals_brute_force(spark):
         assert (r.keep_id, r.group_size, r.kept) == (keep, len(groups[norm]), r.doc_id == keep)
         assert r.text_sha256 == hashlib.sha256(norm.encode()).hexdigest()
     assert exact_dedup(rows.limit(0)).count() == 0
+    far = spark.createDataFrame([(-(1 << 63), "same"), (-(1 << 63) + 1, "sa me"), ((1 << 63) - 1, "other"), (None, "other"), (None, "same")], "doc_id long, text string")
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.keep_id) for r in exact_dedup(far).collect()) == [(False, -(1 << 63), -(1 << 63) + 1), (False, -(1 << 63) + 1, -(1 << 63) + 1), (False, (1 << 63) - 1, (1 << 63) - 1), (True, 0, -(1 << 63) + 1), (True, 0, (1 << 63) - 1)]
     odd = spark.createDataFrame([(None, "same"), (4, "sa me"), (4, "sa me"), (None, "alone")], "doc_id long, text string")
     got = sorted((r.doc_id or 0, r.keep_id, r.group_size, r.kept) for r in exact_dedup(odd).collect() if r.group_size > 1)
     assert got == [(0, 4, 3, False), (4, 4, 3, True), (4, 4, 3, True)]
