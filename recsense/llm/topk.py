@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 K = 20
-#: Pivots: the vectors whose ids hash lowest. A bounded sample that only decides how sharp the bounds are.
-PIVOTS = 32
+#: Pivots, chosen far apart from CANDIDATES times as many vectors (those whose rows hash lowest). A bounded
+#: sample that only decides how sharp the bounds are.
+PIVOTS, CANDIDATES = 64, 32
 #: Queries and vectors that one task compares; its memory follows from these alone.
 QUERY_BLOCK, VECTOR_BLOCK = 1024, 8192
-#: Queries whose bounds are held at once, and candidates evaluated between two looks at the bounds.
-CHUNK, STEP = 128, 1024
+#: Components that a block of vectors has at most (wide vectors make smaller blocks).
+CELLS = 1 << 21
+#: Queries whose bounds are held at once, and candidates a query evaluates before its first look at the bounds.
+CHUNK, STEP = 64, 512
+#: What rounding may take off a bound, as a share of the norms it is made of.
+SLACK = 1e-9
+LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
 def quantised(embedding: Column, scale: float = 64.0) -> Column:
@@ -41,97 +49,160 @@ def matrix(column: pa.Array, width: int) -> np.ndarray:
     return out
 
 
-def best_of_block(queries: np.ndarray, query_ids: np.ndarray, query_far: np.ndarray, vectors: np.ndarray, vector_ids: np.ndarray, vector_far: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(query_id, vec_id, score)`` of the k best vectors of this block for each query.
+def distances(v: np.ndarray, centre: np.ndarray) -> np.ndarray:
+    """``(vectors, pivots)``; from differences, so near ones lose no digits."""
+    out = np.zeros((len(v), len(centre)))
+    for p, c in enumerate(centre):
+        out[:, p] = np.sqrt(((v - c) ** 2).sum(1))
+    return out
+
+
+def far_apart(some: list[list[int]], width: int, pivots: int) -> np.ndarray:
+    """Pivots: the first vector, then again and again the one farthest from those chosen."""
+    v = np.zeros((len(some), width))
+    for k, row in enumerate(some):
+        v[k, : len(row)] = row
+    chosen: list[int] = []
+    far = np.full(len(v), np.inf)
+    while len(chosen) < pivots and len(v) and far.max() > 0:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, ((v - v[chosen[-1]]) ** 2).sum(1))
+    return v[chosen]
+
+
+@dataclass
+class Side:
+    """Vectors of one side of a block pair, with the numbers of their rows, ids, distances to the pivots and norms."""
+
+    row: np.ndarray
+    vec_id: np.ndarray
+    v: np.ndarray
+    far: np.ndarray
+    least: np.ndarray | None = None  # queries: a score that k other rows are known to reach
+
+    @staticmethod
+    def of(table: pa.Table, width: int, pivots: int) -> Side:
+        least = table["least"].to_numpy() if "least" in table.column_names else None
+        return Side(table["row"].to_numpy(), table["vec_id"].to_numpy(), matrix(table["v"], width), matrix(table["far"], pivots), least)
+
+
+def inner_products(q: np.ndarray, v: np.ndarray, exact: bool) -> np.ndarray:
+    """Scores of one query; where a long might overflow, by whole numbers of any size, ending at the range of a long."""
+    if exact:
+        return v @ q
+    wide = v.astype(object) @ q.astype(object)
+    return np.array([max(LOWEST + 1, min(HIGHEST, int(x))) for x in wide], np.int64)
+
+
+def best_of_block(queries: Side, vectors: Side, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """``(query row, query_id, vec_id, score)`` of the k best vectors of this block for each query, and how many pairs were evaluated.
 
     Distances to pivots give d(q, v) >= max |d(q, p) - d(v, p)|, and so q.v = (|q|^2 + |v|^2 - d^2) / 2 has
-    an upper bound. Vectors are evaluated in the order of their bounds; a query stops when no bound that is
-    left reaches its k-th score (a tie is still evaluated).
+    an upper bound. Each query evaluates vectors in the order of its own bounds and stops when no bound that is
+    left reaches its k-th score (a tie is still evaluated). ``queries.least`` is a score known from another block,
+    so a block whose bounds don't reach it is not evaluated at all. Score and id are kept apart; the slack of the
+    bounds is relative to the norms they are made of.
     """
-    by_id = np.argsort(vector_ids, kind="stable")
-    vectors, vector_ids, vector_far = vectors[by_id], vector_ids[by_id], vector_far[by_id]
-    n = len(vector_ids)
-    exact = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, vectors.shape[1]) < 2.0**52
-    v_num, q_num = (vectors.astype(np.float64), queries.astype(np.float64)) if exact else (vectors, queries)
-    v_norm = (vectors.astype(np.float64) ** 2).sum(1)
-    q_norm = (queries.astype(np.float64) ** 2).sum(1)
-    shift = 1 << max(1, int(n).bit_length())  # score and place in id order as one number
-    alike = np.argsort(query_far.argmin(1), kind="stable") if query_far.shape[1] else np.arange(len(queries))
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    lowest = np.iinfo(np.int64).min
-    for at in range(0, len(alike), CHUNK):
-        rows = alike[at : at + CHUNK]
-        far = np.zeros((len(rows), n))
-        for p in range(query_far.shape[1]):
-            np.maximum(far, np.abs(query_far[rows, p][:, None] - vector_far[None, :, p]), out=far)
-        bound = (q_norm[rows][:, None] + v_norm[None, :] - np.square(np.maximum(far - 1e-6, 0))) / 2 + 1e-3
-        order = np.argsort(-bound.max(0), kind="stable")
-        steps = range(0, n, STEP)
-        ceiling = np.stack([bound[:, order[s : s + STEP]].max(1) for s in steps], 1)
-        ceiling = np.maximum.accumulate(ceiling[:, ::-1], 1)[:, ::-1]
-        top = np.full((len(rows), k), lowest)
-        for j, s in enumerate(steps):
-            kth = top.min(1)
-            open_ = (kth == lowest) | (ceiling[:, j] >= kth // shift)
-            if not open_.any():
-                break
-            some, pick = rows[open_], order[s : s + STEP]
-            score = (q_num[some] @ v_num[pick].T).astype(np.int64)
-            key = score * shift + (shift - 1 - pick)[None, :]
-            key[query_ids[some][:, None] == vector_ids[pick][None, :]] = lowest
-            both = np.concatenate((top[open_], key), 1)
-            top[open_] = np.partition(both, both.shape[1] - k, axis=1)[:, -k:]
-        q, c = np.nonzero(top != lowest)
-        got = top[q, c]
-        out.append((query_ids[rows[q]], vector_ids[shift - 1 - got % shift], got // shift))
+    reach = max(float(np.abs(x.v.astype(np.float64)).max(initial=0)) for x in (queries, vectors))
+    exact = reach * reach * max(1, vectors.v.shape[1]) < 2.0**62
+    # products of float64 are exact below 2^53, and faster than those of int64
+    kind = np.float64 if reach * reach * max(1, vectors.v.shape[1]) < 2.0**52 else np.int64
+    q_num, v_num = queries.v.astype(kind), vectors.v.astype(kind)
+    v_norm, q_norm = ((x.v.astype(np.float64) ** 2).sum(1) for x in (vectors, queries))
+    n, evaluated = len(vectors.row), 0
+    out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    for at in range(0, len(queries.row), CHUNK):
+        rows = slice(at, at + CHUNK)
+        far = np.zeros((len(queries.row[rows]), n))
+        for p in range(queries.far.shape[1]):
+            np.maximum(far, np.abs(queries.far[rows, p][:, None] - vectors.far[None, :, p]), out=far)
+        scale = q_norm[rows][:, None] + v_norm[None, :]
+        bound = (scale - np.square(far)) / 2 + SLACK * (scale + np.square(queries.far[rows].max(1, initial=0))[:, None] + 1)
+        for j in range(len(far)):
+            q, own = at + j, bound[j]
+            least = LOWEST if queries.least is None else int(queries.least[q])
+            some = np.flatnonzero(own >= least)
+            ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            size = STEP
+            while len(some):
+                # the next ones in the order of the bounds
+                order = np.argpartition(-own[some], size) if len(some) > size else np.arange(len(some))
+                head, some = some[order[:size]], some[order[size:]]
+                head = head[vectors.row[head] != queries.row[q]]
+                evaluated += len(head)
+                ids = np.concatenate((ids, vectors.vec_id[head]))
+                scores = np.concatenate((scores, inner_products(q_num[q], v_num[head], exact).astype(np.int64)))
+                if len(scores) > k:
+                    best = np.lexsort((ids, -np.maximum(scores, LOWEST + 1)))[:k]
+                    ids, scores = ids[best], scores[best]
+                    least = max(least, int(scores[-1]))
+                    some = some[own[some] >= least]
+                size *= 2
+            fine = scores >= least
+            m = int(fine.sum())
+            out.append((np.full(m, queries.row[q]), np.full(m, queries.vec_id[q]), ids[fine], scores[fine]))
     none = np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, none)
+    parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [none] * 4
+    return (*parts, evaluated)
 
 
 def top_k(embeddings: DataFrame, k: int = K, every: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = PIVOTS, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK) -> DataFrame:
-    """``query_id, rank, vec_id, score``: the k best other vectors of each query, ties to the smaller id.
-
-    Queries are the rows whose id is divisible by ``every``; they meet all rows block by block, each block
-    pair in a task of its own. Vectors that are null or hold null or non-finite components, and rows without
-    id, take no part. Rows that repeat an id count once (of different vectors the smallest); an own id is no
-    candidate. Shorter vectors are filled up with zeros. An empty table gives no rows.
+    """``query_id, rank, vec_id, score``: the k best other rows for each query row, ties to the smaller id.
+
+    Queries are the rows whose id is divisible by ``every``. Vectors of one pivot lie together in blocks. First each
+    query meets its own block, which gives it a k-th score; then it meets the other blocks with that score in
+    hand. A block pair is a task of bounded size. Rows that repeat an id are rows of their own: each is a candidate of the
+    others, and each gets its k. Vectors that are null or hold null or non-finite components, and rows without id, take no
+    part. Shorter vectors are filled up with zeros. Components and scores beyond the range of a long end at it. An
+    empty table gives no rows.
     """
     rows = embeddings.select(F.col(vec_id).cast("long").alias("vec_id"), quantised(F.col(embedding)).alias("v")).filter("vec_id is not null and v is not null")
-    rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
-    rows = written(rows, "topk-vectors")
-    size = rows.agg(F.count("*"), F.max(F.size("v")), F.sum((F.col("vec_id") % every == 0).cast("long"))).first()
-    total, width, asked = size[0], size[1] or 0, size[2] or 0
-    chosen = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(pivots).select("v").collect()
-    centre = np.zeros((len(chosen), width))
-    for j, row in enumerate(chosen):
-        centre[j, : len(row[0])] = row[0]
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
+    size = rows.agg(F.max(F.size("v")), F.sum((F.col("vec_id") % every == 0).cast("long"))).first()
+    width, asked = size[0] or 0, size[1] or 0
+    centre = far_apart([r[0] for r in rows.orderBy(F.xxhash64("vec_id", "row"), "row").limit(CANDIDATES * pivots).select("v").collect()], width, pivots)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            v = matrix(batch.column(1), width).astype(np.float64)
-            far = np.sqrt(np.maximum(((v[:, None, :] - centre[None, :, :]) ** 2).sum(2), 0)) if len(v) else np.zeros((0, len(centre)))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * len(centre)), pa.array(far.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["vec_id", "v", "far"])
-
-    table = written(rows.mapInArrow(measure, "vec_id long, v array<long>, far array<double>"), "topk-pivots")
-    n_query, n_vector = max(1, -(-asked // query_block)), max(1, -(-total // vector_block))
-    hashed = F.xxhash64("vec_id", F.lit(7))
-    query_side = table.filter(F.col("vec_id") % every == 0).withColumn("qb", F.pmod(hashed, F.lit(n_query)).cast("int")).withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(n_vector - 1))))
-    vector_side = table.withColumn("vb", F.pmod(hashed, F.lit(n_vector)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
-
-    def block(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            none = pa.array([], pa.int64())
-            return pa.table({"query_id": none, "vec_id": none, "score": none})
-
-        def parts(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            return matrix(t["v"], width), t["vec_id"].to_numpy(), matrix(t["far"], len(centre))
-
-        q, q_id, q_far = parts(left)
-        v, v_id, v_far = parts(right)
-        query_id, other, score = best_of_block(q, q_id, q_far, v, v_id, v_far, k)
-        return pa.table({"query_id": pa.array(query_id), "vec_id": pa.array(other), "score": pa.array(score)})
-
-    met = query_side.groupBy("qb", "vb").cogroup(vector_side.groupBy("qb", "vb")).applyInArrow(block, "query_id long, vec_id long, score long")
-    rank = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return met.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                v = matrix(part.column(1), width).astype(np.float64)
+                far = distances(v, centre)
+                home = far.argmin(1) if len(centre) else np.zeros(len(v), np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1, dtype=np.int32) * len(centre)), pa.array(far.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(home.astype(np.int32))], names=["vec_id", "v", "row", "far", "home"])
+
+    table = written(rows.mapInArrow(measure, "vec_id long, v array<long>, row long, far array<double>, home int"), "topk-pivots")
+    discard(rows)
+    n_query, vector_block = max(1, -(-asked // query_block)), max(1, min(vector_block, CELLS // max(1, width)))
+    # the blocks of a pivot follow from how many vectors it has
+    per = table.groupBy("home").agg(F.count("*").alias("n")).orderBy("home").collect()
+    first, blocks = {}, 0
+    for r in per:  # at most one row for each pivot
+        first[r[0]] = (blocks, -(-r[1] // vector_block))
+        blocks += first[r[0]][1]
+    ends = F.create_map(*[F.lit(x) for h, (at, n) in first.items() for x in (h, (at << 32) + n)]) if first else F.create_map(F.lit(0), F.lit(1))
+    packed = ends[F.col("home")]
+    at, parts = F.shiftright(packed, 32), packed.bitwiseAND(F.lit((1 << 32) - 1))
+    placed = table.withColumn("vb", (at + F.pmod(F.xxhash64("row"), parts)).cast("int"))
+    pivots_n, ddl = len(centre), "query long, query_id long, vec_id long, score long"
+
+    def answers(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        found = [np.zeros(0, np.int64)] * 4
+        if queries.num_rows and vectors.num_rows:
+            found = best_of_block(Side.of(queries, width, pivots_n), Side.of(vectors, width, pivots_n), k)[:4]
+        return pa.table({n: pa.array(x) for n, x in zip(("query", "query_id", "vec_id", "score"), found, strict=True)})
+
+    def own_block(block: pa.Table) -> pa.Table:
+        return answers(block.filter(pc.equal(pc.subtract(block["vec_id"], pc.multiply(pc.divide(block["vec_id"], every), every)), 0)), block)
+
+    home = written(placed.groupBy("vb").applyInArrow(own_block, ddl), "topk-home")
+    least = home.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("least")).filter(F.col("n") == k).select(F.col("query").alias("row"), "least")
+    queries = placed.filter(F.col("vec_id") % every == 0).join(least, "row", "left").withColumn("least", F.coalesce("least", F.lit(LOWEST)))
+    queries = queries.withColumn("qb", F.pmod(F.xxhash64("row", F.lit(7)), F.lit(n_query)).cast("int"))
+    other = queries.withColumn("vb", F.explode(F.array_except(F.sequence(F.lit(0), F.lit(max(blocks - 1, 0))), F.array("vb"))))
+    vectors = placed.select(*[F.col(c).alias(c) for c in placed.columns]).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
+    rest = other.groupBy("qb", "vb").cogroup(vectors.groupBy("qb", "vb")).applyInArrow(answers, ddl)
+    rank = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
+    met = home.unionByName(rest).withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
+    return met.select("query_id", "rank", "vec_id", "score")
