@@ -22,9 +22,11 @@ QUERY_BLOCK, VECTOR_BLOCK = 1024, 8192
 #: Components that a block of vectors has at most (wide vectors make smaller blocks).
 CELLS = 1 << 21
 #: Queries whose bounds are held at once, and candidates a query evaluates before its first look at the bounds.
-CHUNK, STEP = 64, 512
-#: What rounding may take off a bound, as a share of the norms it is made of.
-SLACK = 1e-9
+CHUNK, STEP = 32, 512
+#: Share of a block from which the candidates of a query are evaluated as a product of matrices.
+GATHER = 0.1
+#: What rounding may take off a bound, as a share of the norms and distances it is made of (float64, float32).
+SLACK, SLACK_32 = 1e-9, 4e-6
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
@@ -87,63 +89,91 @@ class Side:
 
 
 def inner_products(q: np.ndarray, v: np.ndarray, exact: bool) -> np.ndarray:
-    """Scores of one query; where a long might overflow, by whole numbers of any size, ending at the range of a long."""
+    """Scores ``(queries, vectors)``; where a long might overflow, by whole numbers of any size, ending at the range of a long."""
     if exact:
-        return v @ q
-    wide = v.astype(object) @ q.astype(object)
-    return np.array([max(LOWEST + 1, min(HIGHEST, int(x))) for x in wide], np.int64)
+        return (q @ v.T).astype(np.int64)
+    wide = q.astype(object) @ v.astype(object).T
+    return np.array([[max(LOWEST + 1, min(HIGHEST, int(x))) for x in row] for row in wide], np.int64).reshape(wide.shape)
+
+
+def best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
+    """Which of these answers are among the k best of their query, best first within each query."""
+    order = np.lexsort((ids, ~scores, query))
+    start = np.concatenate(([True], query[order][1:] != query[order][:-1])) if len(order) else np.zeros(0, bool)
+    place = np.arange(len(order)) - np.flatnonzero(start)[np.cumsum(start) - 1] if len(order) else order
+    return order[place < k]
 
 
 def best_of_block(queries: Side, vectors: Side, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
     """``(query row, query_id, vec_id, score)`` of the k best vectors of this block for each query, and how many pairs were evaluated.
 
     Distances to pivots give d(q, v) >= max |d(q, p) - d(v, p)|, and so q.v = (|q|^2 + |v|^2 - d^2) / 2 has
-    an upper bound. Each query evaluates vectors in the order of its own bounds and stops when no bound that is
-    left reaches its k-th score (a tie is still evaluated). ``queries.least`` is a score known from another block,
-    so a block whose bounds don't reach it is not evaluated at all. Score and id are kept apart; the slack of the
-    bounds is relative to the norms they are made of.
+    an upper bound. Each query evaluates vectors in the order of its own bounds, STEP of them and then all whose bound
+    reaches the k-th score it has by then; no other can be among its k (a tie is still evaluated).
+    ``queries.least`` is a k-th score known from another block: with it the second step is the first, and a block whose bounds
+    don't reach it is not evaluated at all. Score and id are kept apart; the slack of the bounds is relative to
+    the norms and distances they are made of.
     """
     reach = max(float(np.abs(x.v.astype(np.float64)).max(initial=0)) for x in (queries, vectors))
-    exact = reach * reach * max(1, vectors.v.shape[1]) < 2.0**62
-    # products of float64 are exact below 2^53, and faster than those of int64
-    kind = np.float64 if reach * reach * max(1, vectors.v.shape[1]) < 2.0**52 else np.int64
+    width, n = max(1, vectors.v.shape[1]), len(vectors.row)
+    exact = reach * reach * width < 2.0**62
+    # products of float64 are exact below 2^53, and faster than those of int64; bounds may be coarse where numbers are small
+    kind = np.float64 if reach * reach * width < 2.0**52 else np.int64
+    real, slack = (np.float32, SLACK_32) if reach * width < 1e15 else (np.float64, SLACK)
     q_num, v_num = queries.v.astype(kind), vectors.v.astype(kind)
-    v_norm, q_norm = ((x.v.astype(np.float64) ** 2).sum(1) for x in (vectors, queries))
-    n, evaluated = len(vectors.row), 0
-    out: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+    v_norm, q_norm = ((x.v.astype(np.float64) ** 2).sum(1).astype(real) for x in (vectors, queries))
+    v_far, q_far = np.ascontiguousarray(vectors.far.T.astype(real)), queries.far.astype(real)
+    own = {r: j for j, r in enumerate(vectors.row.tolist())}
+    evaluated, out = 0, []
+
+    def answers(q: np.ndarray, c: np.ndarray, scores: np.ndarray) -> None:
+        """Of evaluated pairs the k best of each query are kept and lift its k-th score."""
+        keep = best(q, vectors.vec_id[c], scores, k)
+        q, c, scores = q[keep], c[keep], scores[keep]
+        out.append((q, vectors.vec_id[c], scores))
+        last = np.flatnonzero(np.append(q[1:] != q[:-1], True)) if len(q) else keep
+        count = np.diff(np.concatenate(([-1], last)))
+        full = last[count == k]
+        least[q[full]] = np.maximum(least[q[full]], scores[full])
+
+    least = np.full(len(queries.row), LOWEST) if queries.least is None else queries.least.copy()
     for at in range(0, len(queries.row), CHUNK):
-        rows = slice(at, at + CHUNK)
-        far = np.zeros((len(queries.row[rows]), n))
-        for p in range(queries.far.shape[1]):
-            np.maximum(far, np.abs(queries.far[rows, p][:, None] - vectors.far[None, :, p]), out=far)
-        scale = q_norm[rows][:, None] + v_norm[None, :]
-        bound = (scale - np.square(far)) / 2 + SLACK * (scale + np.square(queries.far[rows].max(1, initial=0))[:, None] + 1)
-        for j in range(len(far)):
-            q, own = at + j, bound[j]
-            least = LOWEST if queries.least is None else int(queries.least[q])
-            some = np.flatnonzero(own >= least)
-            ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            size = STEP
-            while len(some):
-                # the next ones in the order of the bounds
-                order = np.argpartition(-own[some], size) if len(some) > size else np.arange(len(some))
-                head, some = some[order[:size]], some[order[size:]]
-                head = head[vectors.row[head] != queries.row[q]]
-                evaluated += len(head)
-                ids = np.concatenate((ids, vectors.vec_id[head]))
-                scores = np.concatenate((scores, inner_products(q_num[q], v_num[head], exact).astype(np.int64)))
-                if len(scores) > k:
-                    best = np.lexsort((ids, -np.maximum(scores, LOWEST + 1)))[:k]
-                    ids, scores = ids[best], scores[best]
-                    least = max(least, int(scores[-1]))
-                    some = some[own[some] >= least]
-                size *= 2
-            fine = scores >= least
-            m = int(fine.sum())
-            out.append((np.full(m, queries.row[q]), np.full(m, queries.vec_id[q]), ids[fine], scores[fine]))
+        rows = np.arange(at, min(at + CHUNK, len(queries.row)))
+        far, one = np.zeros((len(rows), n), real), np.empty((len(rows), n), real)
+        for p in range(len(v_far)):
+            np.subtract(v_far[p], q_far[rows, p][:, None], out=one)
+            np.maximum(far, np.abs(one, out=one), out=far)
+        scale = q_norm[rows][:, None] + v_norm
+        bound = scale * real(0.5 + slack) - np.square(far, out=far) * real(0.5) + real(slack) * (np.square(q_far[rows].max(1, initial=0))[:, None] + 1)
+        mine = np.array([own.get(r, -1) for r in queries.row[rows].tolist()])
+        bound[np.flatnonzero(mine >= 0), mine[mine >= 0]] = -np.inf  # a query is no candidate of its own
+        new = rows[least[rows] == LOWEST]
+        if len(new) and n:
+            m = min(STEP, n)
+            head = np.argpartition(-bound[new - at], m - 1, axis=1)[:, :m]
+            for j, c in zip(new, head, strict=True):
+                c = c[bound[j - at, c] > -np.inf]
+                evaluated += len(c)
+                answers(np.full(len(c), j), c, inner_products(q_num[j : j + 1], v_num[c], exact)[0])
+                bound[j - at, c] = -np.inf
+        open_ = (bound >= least[rows][:, None].astype(np.float64)) & (bound > -np.inf)
+        share = open_.sum(1)
+        evaluated += int(share.sum())
+        few = np.flatnonzero((share > 0) & (share < n * GATHER))
+        for j in few:
+            c = np.flatnonzero(open_[j])
+            answers(np.full(len(c), rows[j]), c, inner_products(q_num[rows[j] : rows[j] + 1], v_num[c], exact)[0])
+        many = np.flatnonzero(share >= max(1, n * GATHER))
+        if len(many):  # cheaper as one product of matrices; pairs whose bound is too low are not looked at
+            scores = np.where(open_[many], inner_products(q_num[rows[many]], v_num, exact), LOWEST)
+            kth = np.maximum(np.partition(scores, max(0, n - k), axis=1)[:, max(0, n - k)], LOWEST + 1)
+            j, c = np.nonzero(scores >= kth[:, None])
+            answers(rows[many[j]], c, scores[j, c])
     none = np.zeros(0, np.int64)
-    parts = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [none] * 4
-    return (*parts, evaluated)
+    q, ids, scores = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (none, none, none)
+    keep = best(q, ids, scores, k)
+    keep = keep[scores[keep] >= least[q[keep]]] if queries.least is not None else keep
+    return queries.row[q[keep]], queries.vec_id[q[keep]], ids[keep], scores[keep], evaluated
 
 
 def top_k(embeddings: DataFrame, k: int = K, every: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", pivots: int = PIVOTS, query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK) -> DataFrame:
