@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from recsense.llm.toxicity import fit_toxicity, marginals, score_toxicity
+from recsense.llm.toxicity import Settings, cross_validated, fit, fit_toxicity, marginals, score_toxicity, telling_stems
 
 
 def test_marginals_equal_all_paths():
@@ -55,3 +55,45 @@ def test_held_out_accuracy_and_spans(spark):
     assert score_toxicity(docs.limit(0), field).count() == 0
     assert fit_toxicity(docs, marks.limit(0)) is None
     assert score_toxicity(docs, None).filter("score != 0").count() == 0
+
+
+def labelled(n):
+    rng = random.Random(8)
+    plain = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "theta"]
+    texts, toxic = [], []
+    for k in range(n):
+        words = [rng.choice(plain) for _ in range(20)]
+        if k % 3 == 0:
+            words[rng.randrange(20)] = rng.choice(["grotty", "vilest"])
+        texts.append(" ".join(words))
+        toxic.append(int(k % 3 == 0))
+    return texts, toxic
+
+
+def test_chain_weights_are_a_stationary_point():
+    """After fitting, the chain's expected counts of the labelled tokens are close to the observed ones."""
+    texts, toxic = labelled(240)
+    field = fit(texts, toxic)
+    found = field.probabilities([np.array([field.emission(w) for w in t.split()]) for t in texts])
+    bad = [[w in ("grotty", "vilest") for w in t.split()] for t in texts]
+    expected, observed = sum(p.sum() for p in found), sum(map(sum, bad))
+    assert abs(expected - observed) < 0.1 * observed
+    on = np.concatenate(found)[np.concatenate(bad)]
+    assert on.min() > 0.8
+    # document scores follow the logistic of the marginals' summary
+    score = field.scores(found)
+    assert all((s >= 0.5) == bool(y) for s, y in zip(score, toxic, strict=True))
+
+
+def test_evidence_sees_whole_documents():
+    """Documents alike in their first words are still different documents."""
+    head = ["same"] * 60
+    words = [[*head, f"x{k}", "grotty", f"y{k}"] for k in range(40)] + [[*head, f"z{k}"] for k in range(40)]
+    found = telling_stems(words, [1] * 40 + [0] * 40, Settings(ratio=4.0))
+    assert "=grotty" in found and "=same" not in found
+
+
+def test_cross_validation_prefers_settings_that_learn():
+    texts, toxic = labelled(160)
+    folds = [k % 4 + 1 for k in range(160)]
+    assert cross_validated(texts, toxic, folds, Settings()) < 0.2 < cross_validated(texts, toxic, folds, Settings(ratio=1e9))
