@@ -57,3 +57,23 @@ def test_empty_and_run(spark, tmp_path):
         assert stage(spark, empty, "").count() == 0
     spark.createDataFrame(corpus()[:40], NAMES).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_clashing_columns_repeats_and_long_texts(spark):
+    """Further columns named like the stages' own ones pass through; repeated rows and a long text change nothing else."""
+    rows = corpus()[:60]
+    rows += [rows[5], rows[5], (900, "the cat and the dog " * 40_000, "en", "s1", 800_000)]
+    extra = ["score", "lang_pred", "bits_per_byte", "__text", "__id", "__sha256", "copies", "row", "kept", "component_id", "c0", "fp"]
+    docs = spark.createDataFrame([(*r, *[f"{r[0]}-{k}" for k in range(len(extra))]) for r in rows], NAMES + "".join(f", `{c}` string" for c in extra))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "")
+        if name == "packing":
+            assert sum(r.length for r in out.collect()) == sum(len(encode(r.text)) + 1 for r in docs.collect())
+            break
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[c] == f"{r.doc_id}-{k}" for r in got for k, c in enumerate(extra))
+        assert name == "mixing sources" or 900 in {r.doc_id for r in got}
+        if name == "exact dedup":
+            assert [r.doc_id for r in got].count(rows[5][0]) == 1
+        docs = spark.createDataFrame(got, out.schema)
