@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsense.functions.columns import correlation, correlation_of, flag, ratio
 
-from .windows import autocorrelation
-
 STANDING, AMBIGUOUS, WALKING = "STANDING", "AMBIGUOUS", "WALKING"
 
 
@@ -20,63 +18,130 @@ def swap_verdict(swaps: Column, mean: bool = False) -> Column:
     return F.when(swaps.isNull(), AMBIGUOUS).when(swaps < low, STANDING).when(swaps < high, AMBIGUOUS).otherwise(WALKING)
 
 
-def swaps_of(d: np.ndarray, delta: float) -> int:
-    """Changes of side beyond +-delta in a series."""
-    side = np.where(d > delta, 1, np.where(d < -delta, -1, 0))
-    side = side[side != 0]
-    return int((side[1:] != side[:-1]).sum())
+def padded(values: pd.Series, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Arrays as rows of a matrix, and how long each is."""
+    lengths = values.map(len).to_numpy(np.int64)
+    out = np.zeros((len(lengths), width))
+    out[np.arange(width) < lengths[:, None]] = np.concatenate([np.asarray(v, float) for v in values]) if lengths.sum() else []
+    return out, lengths
+
+
+def rhythm(x: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Autocorrelation of the part of each row that is ``inside``, at all lags; 0 where it is constant or under eight long."""
+    size = inside.sum(1, keepdims=True)
+    y = np.where(inside, x - (x * inside).sum(1, keepdims=True) / np.maximum(size, 1), 0.0)
+    points = 1 << (2 * x.shape[1] - 1).bit_length()
+    acf = np.fft.irfft(np.abs(np.fft.rfft(y, points, axis=1)) ** 2, points, axis=1)[:, : x.shape[1]]
+    power = acf[:, :1]
+    return np.where((power > 1e-9) & (size >= 8), acf / np.where(power > 1e-9, power, 1), 0.0)
+
+
+def stride_lag(acf: np.ndarray, size: np.ndarray, shortest: int, longest: int, floor: float) -> np.ndarray:
+    """For each row the lag of its highest value after the autocorrelation has turned negative, within the two lags; 0 if that is under ``floor``."""
+    lag = np.arange(acf.shape[1])
+    allowed = (lag >= shortest) & (lag <= longest) & (lag < size[:, None])
+    turned = np.logical_or.accumulate(allowed & (acf < 0), axis=1) & allowed
+    height = np.where(turned, acf, -np.inf)
+    return np.where(height.max(1) >= floor, height.argmax(1), 0)
+
+
+def tallest(acf: np.ndarray, size: np.ndarray, shortest: int) -> np.ndarray:
+    """Height of the highest value between ``shortest`` and half the row's size, 0..1."""
+    lag = np.arange(acf.shape[1])
+    allowed = (lag >= shortest) & (lag <= (size // 2)[:, None]) & (size // 2 > shortest)[:, None]
+    return np.clip(np.where(allowed, acf, 0.0).max(1), 0.0, 1.0)
+
 
+def swaps_of(d: np.ndarray, delta: float, inside: np.ndarray | None = None) -> np.ndarray:
+    """Per row the changes of side beyond +-delta, within ``inside``."""
+    side = (d > delta).astype(np.int8) - (d < -delta)
+    side = side if inside is None else side * inside
+    at = np.maximum.accumulate(np.where(side != 0, np.arange(d.shape[1]), 0), axis=1)
+    last = np.take_along_axis(side, at, 1)  # the side that was taken last
+    return ((side[:, 1:] != 0) & (last[:, :-1] != 0) & (side[:, 1:] != last[:, :-1])).sum(1)
 
-def stride(x: np.ndarray, shortest: int, longest: int, floor: float) -> int | None:
-    """Lag of the first maximum of the autocorrelation after it turns negative, between two lags, if it reaches ``floor``."""
-    longest = min(longest, len(x) - 1)
-    if len(x) < 8 or longest <= shortest:
-        return None
-    acf = autocorrelation(x[None, :], longest)[0]
-    below = np.flatnonzero(acf[shortest:] < 0)
-    if not len(below):
-        return None
-    start = shortest + int(below[0])
-    best = start + int(acf[start:].argmax())
-    return best if acf[best] >= floor else None
 
+def swing(d: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    return np.where(inside.any(1), np.where(inside, d, -np.inf).max(1) - np.where(inside, d, np.inf).min(1), 0.0)
 
-def periodicity(x: np.ndarray, shortest: int) -> float:
-    """Height of the largest autocorrelation from ``shortest`` to half the series, 0..1."""
-    if len(x) < 8 or len(x) // 2 <= shortest:
-        return 0.0
-    return float(np.clip(autocorrelation(x[None, :], len(x) // 2)[0, shortest:].max(), 0, 1))
 
+def antiphase(x: np.ndarray, y: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """Minus the correlation of two sides, 0 where one is constant."""
+    n = np.maximum(inside.sum(1, keepdims=True), 1)
+    u, v = (np.where(inside, z - (z * inside).sum(1, keepdims=True) / n, 0.0) for z in (x, y))
+    norm = np.sqrt((u * u).sum(1) * (v * v).sum(1))
+    return np.where(norm > 1e-9, -(u * v).sum(1) / np.where(norm > 1e-9, norm, 1), 0.0)
 
-def anchor_features(arrays: DataFrame, left: str, right: str, fs: float, shortest: int, longest: int, floor: float, delta: float, least_ptp: float = 8.0, least_antiphase: float = 0.5) -> DataFrame:
-    """Per window array: stride period (s), periodicity, and the adaptive verdict with its span.
 
-    The span is a stride long on each side of the middle, at least a quarter of the array; a span that isn't
-    walking grows to the whole array if both halves swing, the sides are in antiphase and swap twice.
+def spans(df: DataFrame, n: int, step: int, reach: int, channels: list[str]) -> DataFrame:
+    """``rec, segment, start, middle, <channel arrays>`` per full window: the rows up to ``reach`` on both sides of its middle.
+
+    The rows of a pane are gathered once, and panes are joined over a frame of bounded width; ``middle`` is where the window's
+    middle lies in the arrays, which end at the segment's ends.
+    """
+    key = ["rec", "segment"]
+    pane = df.groupBy(*key, F.floor(F.col("i") / step).cast("long").alias("__pane")).agg(F.sort_array(F.collect_list(F.struct("i", *channels))).alias("__rows"))
+    last = F.max(F.size("__rows") + F.col("__pane") * step).over(Window.partitionBy(*key))
+    low, high = (n // 2 - reach) // step, -(-(n // 2 + reach) // step) - 1
+    near = F.flatten(F.collect_list("__rows").over(Window.partitionBy(*key).orderBy("__pane").rowsBetween(low, high)))
+    rows = pane.withColumns({"__len": last, "__near": near, "start": F.col("__pane") * step}).filter(F.col("start") + n <= F.col("__len"))
+    middle = F.col("start") + n // 2
+    rows = rows.withColumn("__near", F.filter("__near", lambda x: (x["i"] >= middle - reach) & (x["i"] < middle + reach)))
+    return rows.select(*key, "start", (middle - F.col("__near")[0]["i"]).cast("int").alias("middle"), *[F.col(f"__near.{c}").alias(c) for c in channels])
+
+
+def anchor_features(around: DataFrame, left: str, right: str, fs: float, n: int, reach: int, shortest: int, longest: int, floor: float, delta: float, least_swing: float = 8.0, least_antiphase: float = 0.5) -> DataFrame:
+    """Per row of :func:`spans`: stride period (s), periodicity, and the adaptive verdict with its swaps and span (rows).
+
+    The span is a stride long on each side of the middle, at least half a window and at most ``reach``. Where it
+    isn't walking, all that is in reach decides instead if both of its halves swing, the sides are in antiphase and
+    swap twice. All rows of a batch are matrices; no row is looked at on its own.
     """
-    schema = arrays.select("rec", "segment", "start").schema.add("period", "double").add("periodicity", "double").add("verdict", "string").add("swaps", "long").add("span", "long")
-
-    def one(left_: np.ndarray, right_: np.ndarray) -> tuple:
-        d = left_ - right_
-        n, mid = len(d), len(d) // 2
-        period = stride(d, shortest, longest, floor)
-        half = int(np.clip(period if period is not None else n // 4, n // 4, mid))
-        part = slice(mid - half, mid + half)
-        swaps, span = swaps_of(d[part], delta), 2 * half
-        verdict = STANDING if swaps == 0 else AMBIGUOUS if swaps == 1 else WALKING
-        if verdict != WALKING and min(np.ptp(d[:mid]), np.ptp(d[mid:])) >= least_ptp and left_.std() > 0 and right_.std() > 0:
-            if -np.corrcoef(left_, right_)[0, 1] >= least_antiphase and swaps_of(d, delta) >= 2:
-                verdict, swaps, span = WALKING, swaps_of(d, delta), n
-        rhythm = 0.5 * (periodicity(left_[part], shortest) + periodicity(right_[part], shortest))
-        return None if period is None else period / fs, rhythm, verdict, swaps, span
+    schema = around.select("rec", "segment", "start").schema.add("period", "double").add("periodicity", "double").add("verdict", "string").add("swaps", "long").add("span", "long")
 
     def run(batches):
         for pdf in batches:
-            rows = [one(np.asarray(a, float), np.asarray(b, float)) for a, b in zip(pdf[left], pdf[right], strict=True)]
-            out = pdf[["rec", "segment", "start"]].reset_index(drop=True)
-            yield out.join(pd.DataFrame(rows, columns=["period", "periodicity", "verdict", "swaps", "span"]))
+            (x, size), (y, _) = padded(pdf[left], 2 * reach), padded(pdf[right], 2 * reach)
+            place, middle, d = np.arange(2 * reach), pdf["middle"].to_numpy()[:, None], x - y
+            known = place < size[:, None]
+            lag = stride_lag(rhythm(d, known), size, shortest, longest, floor)
+            half = np.where(lag > 0, np.clip(lag, n // 2, reach), n // 2)
+            part = known & (place >= middle - half[:, None]) & (place < middle + half[:, None])
+            swaps, span, wide = swaps_of(d, delta, part), 2 * half, swaps_of(d, delta, known)
+            first = known & (place < (size // 2)[:, None])
+            both = np.minimum(swing(d, first), swing(d, known & ~first)) >= least_swing
+            grown = (swaps < 2) & both & (size >= 8) & (antiphase(x, y, known) >= least_antiphase) & (wide >= 2)
+            swaps, span = np.where(grown, wide, swaps), np.where(grown, size, span)
+            inner = part.sum(1)
+            beat = (tallest(rhythm(x, part), inner, shortest) + tallest(rhythm(y, part), inner, shortest)) / 2
+            verdict = np.select([swaps >= 2, swaps == 1], [WALKING, AMBIGUOUS], STANDING)
+            period = pd.Series(lag / fs).where(lag > 0)
+            yield pdf[["rec", "segment", "start"]].reset_index(drop=True).assign(period=period, periodicity=beat, verdict=verdict, swaps=swaps, span=span)
+
+    return around.mapInPandas(run, schema)
+
+
+#: The anchors whose rate is audited, and whether their change is absolute or relative.
+AUDITED = {"periodicity": "abs", "antiphase": "abs", "grav_stab": "abs", "gyro_energy": "rel"}
+
+
+def audited_anchors(arrays: DataFrame, left: str, right: str, rate: str, shortest: int, delta: float) -> DataFrame:
+    """Per window array the audited anchors and the swap rule's verdict: ``rec, segment, start, <anchors>, verdict``."""
+    schema = arrays.select("rec", "segment", "start").schema
+    for c in AUDITED:
+        schema = schema.add(c, "double")
 
-    return arrays.mapInPandas(run, schema)
+    def run(batches):
+        for pdf in batches:
+            width = max(map(len, pdf[left]), default=1)
+            (x, size), (y, _), (v, _) = (padded(pdf[c], width) for c in (left, right, rate))
+            known = np.arange(width) < size[:, None]
+            spread = [np.sqrt(np.maximum((z * z).sum(1) / size - (z.sum(1) / size) ** 2, 0)) for z in (x, y)]
+            beat = (tallest(rhythm(x, known), size, shortest) + tallest(rhythm(y, known), size, shortest)) / 2
+            verdict = np.select([(s := swaps_of(x - y, delta, known)) >= 2, s == 1], [WALKING, AMBIGUOUS], STANDING)
+            yield pdf[["rec", "segment", "start"]].reset_index(drop=True).assign(periodicity=beat, antiphase=antiphase(x, y, known), grav_stab=1 / (1 + 0.5 * (spread[0] + spread[1])), gyro_energy=(v * v).sum(1), verdict=verdict)
+
+    return arrays.mapInPandas(run, schema.add("verdict", "string"))
 
 
 def coherence(df: DataFrame, key: list[str], t: str, least: int = 20, most: float = 0.5) -> DataFrame:
@@ -114,11 +179,14 @@ def band_policy(df: DataFrame, key: list[str], value: str, low: float, high: flo
     return out.withColumn("band_flag", flag(F.col("band_p") < alpha / F.greatest("__tests", F.lit(1)))).drop("__share", "__tests")
 
 
-def rate_invariance(one: DataFrame, two: DataFrame, key: list[str], anchors: dict[str, str], tolerance: float = 0.10) -> DataFrame:
-    """Median and 90th percentile of each anchor's change between two rates (``abs`` or ``rel``), and whether it is within tolerance."""
+def rate_invariance(one: DataFrame, two: DataFrame, key: list[str], anchors: dict[str, str], tolerance: float = 0.10, least: float = 1.0) -> DataFrame:
+    """Median and 90th percentile of each anchor's change between two rates, and whether it is within tolerance.
+
+    ``abs``: the difference; ``rel``: over the first value's size plus ``least``.
+    """
     other = two.select(*key, *[F.col(c).alias(f"__{c}") for c in anchors])
     joined = one.join(other, key)
-    change = {c: F.abs(F.col(c) - F.col(f"__{c}")) / (F.lit(1.0) if kind == "abs" else F.greatest(F.abs(F.col(c)), F.lit(1e-9))) for c, kind in anchors.items()}
+    change = {c: F.abs(F.col(c) - F.col(f"__{c}")) / (F.lit(1.0) if kind == "abs" else F.abs(F.col(c)) + F.lit(least)) for c, kind in anchors.items()}
     row = joined.agg(*[F.percentile(v, [0.5, 0.9]).alias(c) for c, v in change.items()])
     out = row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("anchor"), F.get(F.col(c), 0).alias("median_change"), F.get(F.col(c), 1).alias("p90_change")) for c in anchors])).alias("x")).select("x.*")
     return out.withColumn("invariant", F.col("median_change") <= tolerance)

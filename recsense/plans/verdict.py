@@ -130,9 +130,13 @@ def window_anchors(spark, sf_dir):
     return out.select(*key, F.round(-F.col("r"), 5).alias("antiphase"), F.round(1 / (1 + 0.5 * (F.col("a_std") + F.col("b_std"))), 5).alias("grav_stab"), F.round(F.col("e") / 100 + 0.00003, 3).alias("gyro_energy"), F.round(F.col("m") + 3e-8, 5).alias("median_offset"), F.round("d_ptp", 5).alias("ptp"))
 
 
+#: At 16 rows a second: rows on both sides of a window's middle that a span may reach (3 s), shortest and longest stride, and the swap threshold.
+REACH, SHORTEST, LONGEST, DELTA = 48, 2, 12, 20.0
+
+
 def anchors(spark, sf_dir):
-    arrays = win.window_arrays(rows(spark, sf_dir), N, STEP, ["a", "b"])
-    return ph.anchor_features(arrays, "a", "b", 16.0, 2, 12, 0.35, 20.0)
+    around = ph.spans(rows(spark, sf_dir), N, STEP, REACH, ["a", "b"])
+    return ph.anchor_features(around, "a", "b", 16.0, N, REACH, SHORTEST, LONGEST, 0.35, DELTA)
 
 
 @query("stride_period")
@@ -188,12 +192,18 @@ def rate_invariance(spark, sf_dir):
 
     seg = timebase.gap_segments(ev(spark, sf_dir))
 
-    def table(step, n):
-        g = signals.grid_linear(seg, KEY, ["a", "b"], step=step).withColumnRenamed("k", "i").withColumn("e", F.col("a") ** 2)
-        w = win.feat_basic(g, n, n, ["a", "b"], []).join(win.feat_corr(g, n, n, {"antiphase": ("a", "b")}), ["rec", "segment", "start"]).join(win.over_panes(g, n, n, {"gyro_energy": F.col("e")}, {}, {}), ["rec", "segment", "start"])
-        return w.select("rec", "segment", (F.col("start") / n).cast("long").alias("w"), (1 / (1 + 0.5 * (F.col("a_std") + F.col("b_std")))).alias("grav_stab"), "antiphase", "gyro_energy")
-
-    found = ph.rate_invariance(table(GRID, 32), table(2 * GRID, 16), ["rec", "segment", "w"], {"grav_stab": "abs", "antiphase": "abs", "gyro_energy": "rel"})
+    # windows of 32 grid points against the same windows halved by the FIR, with 20 real points on both sides
+    n, context = 32, 20
+    grid = signals.grid_linear(seg, KEY, ["a", "b"], step=GRID).withColumn("va", F.col("a") - 50.0)
+    window = lambda df, i, size: win.window_arrays(df.withColumnRenamed(i, "i"), size, size, ["a", "b", "va"]).withColumn("start", F.floor(F.col("start") / size).cast("long"))
+    native = ph.audited_anchors(window(grid, "k", n), "a", "b", "va", SHORTEST, DELTA)
+    ends = grid.groupBy(*KEY).agg(F.max("k").alias("end"))
+    inside = (F.col("start") * n >= context) & ((F.col("start") + 1) * n + context <= F.col("end") + 1)
+    native = native.filter(F.col("verdict") == ph.WALKING).join(ends, KEY).filter(inside)
+    halved = [signals.decimate_fir(grid, KEY, c, 2) for c in ("a", "b", "va")]
+    half = halved[0].join(halved[1], [*KEY, "j"]).join(halved[2], [*KEY, "j"])
+    half = ph.audited_anchors(window(half, "j", n // 2), "a", "b", "va", SHORTEST // 2, DELTA)
+    found = ph.rate_invariance(native, half, ["rec", "segment", "start"], ph.AUDITED)
     return found.withColumns({"median_change": F.round("median_change", 4), "p90_change": F.round("p90_change", 4)})
 
 
