@@ -36,9 +36,11 @@ def predict(model: RandomForestClassificationModel, df: DataFrame, features: lis
 
 
 def logo_cv(df: DataFrame, features: list[str], label: str, group: str, **forest) -> DataFrame:
-    """Out-of-fold probabilities, leaving one group out at a time; folds share the persisted windows."""
+    """Out-of-fold probabilities, leaving one group out at a time; folds share the persisted windows. An empty table gives no rows."""
     data = df.persist()
     names = [r[0] for r in data.select(group).distinct().orderBy(group).collect()]  # groups are subjects: few
+    if not names:
+        return data.withColumn("p", F.lit(None).cast("double"))
     parts = [predict(fit_forest(data.filter(F.col(group) != g), features, label, **forest), data.filter(F.col(group) == g), features) for g in names]
     out = parts[0]
     for part in parts[1:]:

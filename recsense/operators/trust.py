@@ -74,8 +74,8 @@ def trust_kind(unit: Column, conflicts: Column) -> Column:
 
 
 def resolve_sagittal(files: DataFrame, variants: DataFrame, trust: DataFrame) -> DataFrame:
-    """Angle axis of each file's variant (a fixed small table) and the gyro axis it maps to; unknown variants are refused."""
-    joined = files.join(F.broadcast(variants), "variant", "left").join(trust.select("file", "axes"), "file", "left")
+    """Angle axis of each file's variant and the gyro axis it maps to; unknown variants are refused."""
+    joined = files.join(variants, "variant", "left").join(trust.select("file", "axes"), "file", "left")
     gyro = F.element_at(F.transform(F.filter("axes", lambda x: x["angle"] == F.col("angle_axis")), lambda x: x["match"]), 1)
     return joined.withColumn("gyro_axis", F.when(F.size(F.filter("axes", lambda x: x["angle"] == F.col("angle_axis"))) > 0, gyro)).withColumn("refusal", F.when(F.col("angle_axis").isNull(), F.concat(F.lit("unknown variant "), F.col("variant")))).drop("axes")
 

@@ -10,6 +10,7 @@ from recsense.functions.columns import first_message, flag, ratio
 LOW, HIGH = 0, 10
 UNSURE, UNCOVERED = -1, 255
 #: Reasons in the order in which they are looked for.
+#: The reasons of an abstention, in the order in which they are looked for.
 REASONS = ("uncovered", "posture_shift", "out_of_distribution", "near_transition", "weight_shift_or_step", "low_excursion_gait", "amplitude_ambiguous", "model_split")
 
 

@@ -115,16 +115,25 @@ def servable_sweep(spark, sf_dir):
     return served(spark, sf_dir).groupBy("variant", "angle_axis", "refusal").agg(F.count("*").alias("n"))
 
 
-def bridged(spark, sf_dir):
-    """The two channels of the variant's axis, low-passed at the raw rate."""
-    rows = segments(spark, sf_dir).withColumn("angle", F.when(F.col("rec") % 4 == 1, F.col("b")).otherwise(F.col("a")))
-    return signals.lowpass_causal(rows.select("rec", "id", "row_idx", "angle"), ["rec"], "row_idx", "angle", 0.3, 32)
+CHANNELS = ("l_ang", "r_ang", "l_vel", "r_vel")
 
 
-@query("raw_to_features", f"""WITH RECURSIVE {SEG}, sx AS (SELECT rec, row_idx, id, CASE WHEN rec % 4 = 1 THEN b ELSE a END AS x FROM seg), f AS (
-  SELECT rec, row_idx, id, x AS y FROM sx WHERE row_idx = 0 UNION ALL SELECT s.rec, s.row_idx, s.id, 0.3e0 * s.x + 0.7e0 * f.y FROM f JOIN sx s ON s.rec = f.rec AND s.row_idx = f.row_idx + 1) SELECT rec, id, round(y + 0.0000003e0, 5) AS y FROM f""")
+def bridged(spark, sf_dir):
+    """Angles and rates of both sides, taken from the variant's axes, low-passed at the raw rate."""
+    turned = F.col("rec") % 4 == 1
+    left, right = F.when(turned, F.col("b")).otherwise(F.col("a")), F.when(turned, F.col("a")).otherwise(F.col("b"))
+    rows = segments(spark, sf_dir).select("rec", "id", "row_idx", left.alias("l_ang"), right.alias("r_ang"), (left - 50.0).alias("l_vel"), (right - 50.0).alias("r_vel"))
+    for c in CHANNELS:
+        rows = signals.lowpass_causal(rows, ["rec"], "row_idx", c, 0.3, 32).drop(c).withColumnRenamed("y", c)
+    return rows
+
+
+@query("raw_to_features", f"""WITH RECURSIVE {SEG}, sx AS (SELECT rec, row_idx, id, CASE WHEN rec % 4 = 1 THEN b ELSE a END AS x, CASE WHEN rec % 4 = 1 THEN a ELSE b END AS z FROM seg), f AS (
+  SELECT rec, row_idx, id, x AS la, z AS ra, x - 50.0e0 AS lv, z - 50.0e0 AS rv FROM sx WHERE row_idx = 0
+  UNION ALL SELECT s.rec, s.row_idx, s.id, 0.3e0 * s.x + 0.7e0 * f.la, 0.3e0 * s.z + 0.7e0 * f.ra, 0.3e0 * (s.x - 50.0e0) + 0.7e0 * f.lv, 0.3e0 * (s.z - 50.0e0) + 0.7e0 * f.rv FROM f JOIN sx s ON s.rec = f.rec AND s.row_idx = f.row_idx + 1)
+SELECT rec, id, round(la + 0.000000314159e0, 5) AS l_ang, round(ra + 0.000000314159e0, 5) AS r_ang, round(lv + 0.000000314159e0, 5) AS l_vel, round(rv + 0.000000314159e0, 5) AS r_vel FROM f""")
 def raw_to_features(spark, sf_dir):
-    return bridged(spark, sf_dir).select("rec", "id", F.round(F.col("y") + 0.0000003, 5).alias("y"))
+    return bridged(spark, sf_dir).select("rec", "id", *[F.round(F.col(c) + 0.000000314159, 5).alias(c) for c in CHANNELS])
 
 
 @query("bridge_equivalence", "SELECT user_id AS rec, CAST(CASE WHEN user_id % 10 = 3 THEN 1.0e0 ELSE 0.0e0 END AS DOUBLE) AS d_a, user_id % 10 <> 3 AS equal FROM events GROUP BY user_id")

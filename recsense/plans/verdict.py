@@ -10,7 +10,7 @@ from recsense.operators import windows as win
 
 from .registry import query
 from .views import EV, SCORE, ev, score
-from .windows import N, ROWS, STEP, r6, rows
+from .windows import INTERLEG, N, ROWS, STEP, r6, rows
 
 #: Scored rows with diagnostics: p missing for high tax, averaged swaps, range of the halves, posture.
 DIAG = SCORE + """, dg AS (SELECT *, CASE WHEN tax < 0.08 THEN p END AS q, disc * 20 AS swaps, price / 1000.0e0 AS minhalf, trial + 0.0e0 AS posture, CAST(floor(tax * 50 + 1e-9) AS INTEGER) AS n_oob, CAST(rev AS VARCHAR) || '-' || CAST(trial AS VARCHAR) AS file FROM score
@@ -119,15 +119,19 @@ def swap_verdict(spark, sf_dir):
     return diag(spark, sf_dir).groupBy(ph.swap_verdict(F.col("swaps"), True).alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query("window_anchors", f"""WITH {ROWS} SELECT rec, segment, start, round(-corr(a, b), 5) AS antiphase, round(1 / (1 + 0.5 * (stddev_pop(a) + stddev_pop(b))), 5) AS grav_stab, round(sum(va * va) / 100 + 0.00003e0, 3) AS gyro_energy, round(quantile_cont(d, 0.5) + 3e-8, 5) AS median_offset, round(max(d) - min(d), 5) AS ptp FROM wr GROUP BY ALL""")
+@query("window_anchors", f"""WITH {INTERLEG}, mh AS (SELECT rec, segment, start, min(p) AS minhalf FROM hv GROUP BY ALL)
+SELECT w.rec, w.segment, w.start, round(corr(a, b) * -1, 5) AS antiphase, round(1 / (1 + 0.5 * (stddev_pop(a) + stddev_pop(b))), 5) AS grav_stab, round(sum(va * va) / 100 + 0.00003e0, 3) AS gyro_energy, round(quantile_cont(d, 0.5) + 3e-8, 5) AS median_offset, round(max(d) - min(d), 5) AS ptp,
+  any_value(round(minhalf, 5)) AS minhalf, any_value(swaps) AS swaps, CASE WHEN any_value(swaps) = 0 THEN 'STANDING' WHEN any_value(swaps) = 1 THEN 'AMBIGUOUS' ELSE 'WALKING' END AS swap_verdict
+FROM wr w JOIN mh USING (rec, segment, start) JOIN sc USING (rec, segment, start) GROUP BY ALL""")
 def window_anchors(spark, sf_dir):
+    """The descriptors of a window that SQL can say; periodicity is in ``stride_period``."""
     x = rows(spark, sf_dir)
     key = ["rec", "segment", "start"]
     basic = win.feat_basic(x, N, STEP, ["a", "b", "d"], [])
     energy = win.over_panes(x, N, STEP, {"e": F.col("va") ** 2}, {}, {})
     median = win.exploded(x, N, STEP).groupBy(*key).agg(F.median("d").alias("m"))
-    out = basic.join(win.feat_corr(x, N, STEP, {"r": ("a", "b")}), key).join(energy, key).join(median, key)
-    return out.select(*key, F.round(-F.col("r"), 5).alias("antiphase"), F.round(1 / (1 + 0.5 * (F.col("a_std") + F.col("b_std"))), 5).alias("grav_stab"), F.round(F.col("e") / 100 + 0.00003, 3).alias("gyro_energy"), F.round(F.col("m") + 3e-8, 5).alias("median_offset"), F.round("d_ptp", 5).alias("ptp"))
+    out = basic.join(win.feat_corr(x, N, STEP, {"r": ("a", "b")}), key).join(energy, key).join(median, key).join(win.feat_interleg(x, N, STEP, "d", DELTA), key)
+    return out.select(*key, F.round(F.col("r") * -1, 5).alias("antiphase"), F.round(1 / (1 + 0.5 * (F.col("a_std") + F.col("b_std"))), 5).alias("grav_stab"), F.round(F.col("e") / 100 + 0.00003, 3).alias("gyro_energy"), F.round(F.col("m") + 3e-8, 5).alias("median_offset"), F.round("d_ptp", 5).alias("ptp"), F.round("minhalf", 5).alias("minhalf"), "swaps", ph.swap_verdict(F.col("swaps")).alias("swap_verdict"))
 
 
 #: At 16 rows a second: rows on both sides of a window's middle that a span may reach (3 s), shortest and longest stride, and the swap threshold.
@@ -151,7 +155,8 @@ def adaptive_verdict(spark, sf_dir):
 
 @query("trial_anchor_table")
 def trial_anchor_table(spark, sf_dir):
-    return window_anchors(spark, sf_dir).join(adaptive_verdict(spark, sf_dir), ["rec", "segment", "start"])
+    own = anchors(spark, sf_dir).withColumnRenamed("swaps", "span_swaps").withColumn("periodicity", F.round("periodicity", 5))
+    return window_anchors(spark, sf_dir).join(own, ["rec", "segment", "start"])
 
 
 @query("window_truth", f"""WITH {ROWS}, c AS (SELECT rec, segment, start, count(*) FILTER (WHERE code = 0) AS nl, count(*) FILTER (WHERE code = 10) AS nh FROM wr GROUP BY ALL) SELECT rec, segment, start, CASE WHEN nh > nl THEN 10 ELSE 0 END AS label, nl = 0 OR nh = 0 AS pure FROM c""")

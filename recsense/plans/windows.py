@@ -64,10 +64,12 @@ def feat_rest_relative(spark, sf_dir):
     return r6(op.feat_rest_relative(x, N, STEP, ["a", "b"], zero))
 
 
-@query("feat_interleg", f"""WITH {ROWS}, hv AS (SELECT rec, segment, start, (i - start) // 8 AS h, max(d) - min(d) AS p FROM wr GROUP BY ALL), qv AS (SELECT rec, segment, start, (i - start) // 4 AS h, max(d) - min(d) AS p FROM wr GROUP BY ALL
+INTERLEG = ROWS + """, hv AS (SELECT rec, segment, start, (i - start) // 8 AS h, max(d) - min(d) AS p FROM wr GROUP BY ALL), qv AS (SELECT rec, segment, start, (i - start) // 4 AS h, max(d) - min(d) AS p FROM wr GROUP BY ALL
 ), sg AS (SELECT rec, segment, start, i, CASE WHEN d > 20 THEN 1 WHEN d < -20 THEN -1 END AS s FROM wr), cm AS (SELECT *, last_value(s IGNORE NULLS) OVER (PARTITION BY rec, segment, start ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM sg
-), sc AS (SELECT rec, segment, start, CAST(sum(CASE WHEN s <> p THEN 1 ELSE 0 END) AS BIGINT) AS swaps FROM cm GROUP BY ALL)
-SELECT rec, segment, start, round(any_value(h.p), 5) AS minhalf, round(any_value(q.p), 5) AS minquarter, any_value(swaps) AS swaps FROM (SELECT rec, segment, start, min(p) AS p FROM hv GROUP BY ALL) h JOIN (SELECT rec, segment, start, min(p) AS p FROM qv GROUP BY ALL) q USING (rec, segment, start) JOIN sc USING (rec, segment, start) GROUP BY ALL""")
+), sc AS (SELECT rec, segment, start, CAST(sum(CASE WHEN s <> p THEN 1 ELSE 0 END) AS BIGINT) AS swaps FROM cm GROUP BY ALL)"""
+
+
+@query("feat_interleg", f"""WITH {INTERLEG} SELECT rec, segment, start, round(any_value(h.p), 5) AS minhalf, round(any_value(q.p), 5) AS minquarter, any_value(swaps) AS swaps FROM (SELECT rec, segment, start, min(p) AS p FROM hv GROUP BY ALL) h JOIN (SELECT rec, segment, start, min(p) AS p FROM qv GROUP BY ALL) q USING (rec, segment, start) JOIN sc USING (rec, segment, start) GROUP BY ALL""")
 def feat_interleg(spark, sf_dir):
     return r6(op.feat_interleg(rows(spark, sf_dir), N, STEP, "d", 20.0))
 

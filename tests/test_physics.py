@@ -105,3 +105,15 @@ def test_rate_audit_tells_sums_from_shapes(spark, walk):
     assert set(found) == set(physics.AUDITED)
     assert all(found[c].invariant for c in ("periodicity", "antiphase", "grav_stab"))
     assert not found["gyro_energy"].invariant and abs(found["gyro_energy"].median_change - 0.5) < 0.02
+
+
+def test_windows_halved_with_context_equal_a_scalar_filter(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=700)
+    grid = spark.createDataFrame([("r", k, float(v)) for k, v in enumerate(x)], "rec string, k long, x double")
+    kept, skipped = signals.decimate_with_context(grid, ["rec"], "x", 200, 128)
+    got = {r.win: [p.x for p in r.points] for r in kept.collect()}
+    assert set(got) == {1} and [r.n_skipped for r in skipped.collect()] == [3]
+    h = np.asarray(signals.taps(2))
+    want = [sum(h[j] * x[k + j - len(h) // 2] for j in range(len(h))) for k in range(200, 400, 2)]
+    assert np.allclose(got[1], want)
