@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from recsense.functions.columns import strip_prefix
 from recsense.operators import census as op
+from recsense.sources import logs
 
 from .registry import query
-from .views import HEAD, SCORE, ev, head, score, table
+from .views import HEAD, SCORE, ev, head, score, shared, table
 
 MARKERS = [("clicked", "click"), ("seen", "view")]
 ROLES = [("click", "left"), ("view", "right"), ("purchase", "right"), ("signup", "time")]
@@ -115,7 +118,13 @@ def trials(spark, sf_dir):
 SELECT key, 'required field missing' AS problem FROM k WHERE subject IS NULL OR session IS NULL OR annotated IS NULL
 UNION ALL SELECT key, 'unknown split' FROM k WHERE split NOT IN ('train', 'lockbox') UNION ALL SELECT key, 'key repeats' FROM k GROUP BY key HAVING count(*) > 1""")
 def scan_manifest(spark, sf_dir):
-    return op.manifest_violations(trials(spark, sf_dir))
+    """A manifest per thousand customers, written as JSON, read back and checked."""
+    path = f"{shared(spark)}/manifests-{uuid.uuid4().hex}"
+    listed = trials(spark, sf_dir).withColumn("part", F.floor(F.regexp_extract("annotated", r"(\d+)$", 1).cast("long") / 1000))
+    fields = [c for c in listed.columns if c != "part"]
+    listed.groupBy("part").agg(F.lit(1).alias("schema"), F.collect_list(F.struct(*fields)).alias("trials")).drop("part").write.json(path)
+    ddl = "subject string, session int, annotated string, split string, exclude boolean, raw long"
+    return op.manifest_violations(logs.scan_manifest(spark, path, ddl, lines=True))
 
 
 @query("filter_trials", f"WITH {TRIALS} SELECT subject, session, annotated, 'train' AS split FROM trials WHERE NOT exclude")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -92,9 +93,11 @@ def decided_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see; one of our own only where the session names none, as in tests."""
+    """The folder that the driver and all executors see; one of our own only where a session of one machine names none, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors see")
         named = tempfile.mkdtemp(prefix="recsense-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")

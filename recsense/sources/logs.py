@@ -55,11 +55,15 @@ def scan_annotated(spark: SparkSession, path: str, wanted: list[str]) -> DataFra
     return rows.select("path", *[F.col(c).try_cast("int" if c == "Label" else "double").alias(c) for c in wanted])
 
 
-def scan_manifest(spark: SparkSession, path: str, schema: int = 1) -> DataFrame:
-    """Trials of a JSON manifest; another schema version is an error."""
-    whole = spark.read.option("multiLine", True).json(path)
-    if (found := [r[0] for r in whole.select("schema").distinct().collect()]) != [schema]:
-        raise ValueError(f"manifest schema {found}, not {schema}")
+def scan_manifest(spark: SparkSession, path: str, fields: str, schema: int = 1, lines: bool = False) -> DataFrame:
+    """Trials of JSON manifests, with the columns ``fields`` (null where a trial lacks one); another schema version is an error.
+
+    A manifest is a file, or with ``lines`` a line of one. Without manifests there are no trials.
+    """
+    whole = spark.read.option("multiLine", not lines).option("recursiveFileLookup", True).schema(f"schema int, trials array<struct<{fields}>>").json(path)
+    found = whole.filter(~F.col("schema").eqNullSafe(F.lit(schema))).select("schema").first()
+    if found:
+        raise ValueError(f"manifest schema {found[0]}, not {schema}")
     return whole.select(F.explode("trials").alias("t")).select("t.*")
 
 
