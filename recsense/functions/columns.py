@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,25 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def filled(value: Column, w: WindowSpec) -> Column:
+    """The latest value that isn't null, up to this row of the ordered window: a running frame, linear in the rows.
+
+    To fill from the rows ahead, give the window in descending order; a frame up to the end of the partition
+    would go through all rows that follow, for each row.
+    """
+    return F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+
+
+def quantile_of(values: Column, q: float) -> Column:
+    """Percentile of an array's values, interpolated between neighbours; nulls don't count, NaN is the greatest."""
+    ordered = F.array_sort(F.filter(values, lambda x: x.isNotNull()))
+    last = F.size(ordered) - 1
+    at = last * F.lit(float(q))
+    low = F.floor(at).cast("int")
+    a, b = F.get(ordered, low).cast("double"), F.get(ordered, F.least(low + 1, last)).cast("double")
+    return F.when(a == b, a).otherwise(a + (b - a) * (at - low))
+
+
 def messages(*pairs: tuple[Column, Column | str]) -> Column:
     """The messages whose condition holds, in order."""
     return F.array_compact(F.array(*[F.when(flag(c), F.lit(m) if isinstance(m, str) else m) for c, m in pairs]))

@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsense.functions.columns import flag
+from recsense.functions.columns import filled, flag
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, key: str, t: str, value: str, tolerance: float, inclusive: bool, missing: Column | None = None) -> DataFrame:
     """``left`` with ``value`` of the row of ``right`` nearest in time (of equals the earlier), and its distance.
 
-    Both sides are put together and sorted by key and time once; the neighbours come from fills, so there is
-    no range join. Where the distance exceeds the tolerance the value is ``missing``.
+    Both sides are put together, shuffled by key once and sorted by time forwards and backwards; the neighbours
+    come from running fills, so there is no range join and no frame that looks at the rest of a key for each row. Where the distance exceeds the tolerance the value is ``missing``.
     """
     names = left.columns
     both = left.withColumn("__side", F.lit(1)).withColumn("__v", F.lit(None).cast(right.schema[value].dataType)).unionByName(right.select(key, t, F.col(value).alias("__v")).withColumn("__side", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(t, "__side")
+    w = Window.partitionBy(key)
     point = F.when(F.col("__side") == 0, F.struct(F.col(t).alias("t"), F.col("__v").alias("v")))
-    back = F.last(point, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(point, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    back = filled(point, w.orderBy(F.col(t).asc(), F.col("__side").asc()))
+    ahead = filled(point, w.orderBy(F.col(t).desc(), F.col("__side").desc()))
     both = both.withColumn("__b", back).withColumn("__a", ahead).filter("__side = 1")
     db, da = F.col(t) - F.col("__b.t"), F.col("__a.t") - F.col(t)
     use_back = flag(db <= da) | F.col("__a").isNull()

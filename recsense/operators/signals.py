@@ -82,40 +82,43 @@ def smoothing(dt: float, cutoff: float) -> float:
     return x / (x + 1)
 
 
-def lowpass_causal(df: DataFrame, key: list[str], row: str, x: str, a: float, block: int = 4096) -> DataFrame:
-    """``df`` with ``y``: y0 = x0, y = a x + (1 - a) y before, over each key's rows in order (``row`` counts from 0; 0 < a < 1).
-
-    Blocks of rows are filtered on their own from zero, as running sums of the samples weighted with
-    (1 - a)^-i (blocks are kept so short that the weights stay finite; the latest weigh most, so nothing is
-    lost to rounding). The ends of the blocks, few numbers, are folded in order into the value that enters each
-    block, and that value decays into the block: y = local + (1 - a)^(i + 1) carry.
-    """
-    names = df.columns
-    block = max(1, min(block, int(230 / -math.log(1 - a))))
-    w = Window.partitionBy(*key, "__block").orderBy(row)
-    rows = df.withColumn("__block", F.floor(F.col(row) / block)).withColumn("__i", (F.col(row) % block).cast("double"))
-    weighed = F.when(F.col(row) == 0, F.col(x)).otherwise(a * F.col(x)) * F.pow(F.lit(1 - a), -F.col("__i"))
-    total = F.sum(weighed).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    done = rows.withColumn("__local", total * F.pow(F.lit(1 - a), F.col("__i")))
-    ends = done.groupBy(*key, "__block").agg(F.max_by("__local", "__i").alias("end"), F.count("*").alias("n"))
-    folded = ends.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__block", "end", "n"))).alias("ends"))
-    empty = F.expr("cast(array() as array<struct<b: bigint, carry: double, value: double>>)")
-    carry = lambda acc: F.coalesce(F.get(acc, F.size(acc) - 1)["value"], F.lit(0.0))
-    step = lambda acc, e: F.concat(acc, F.array(F.struct(e["__block"].alias("b"), carry(acc).alias("carry"), (e["end"] + F.pow(F.lit(1 - a), e["n"]) * carry(acc)).alias("value"))))
-    into = folded.select(*key, F.explode(F.aggregate("ends", empty, step)).alias("e")).select(*key, F.col("e.b").alias("__block"), F.col("e.carry").alias("__carry"))
-    joined = done.join(into, [*key, "__block"])
-    return joined.select(*names, (F.col("__local") + F.pow(F.lit(1 - a), F.col("__i") + 1) * F.col("__carry")).alias("y"))
-
-
-def raw_to_features(df: DataFrame, channels: dict[str, Column], a: float, block: int = 4096) -> DataFrame:
-    """``rec, segment, id, t, row_idx`` and each of ``channels`` (name: source of the recording's variant), low-passed at the raw rate.
-
-    The channels are stacked and filtered together, in one pass.
+def lowpass_channels(df: DataFrame, key: list[str], row: str, channels: dict[str, Column], a: float, block: int | None = None) -> DataFrame:
+    """``df`` with every one of ``channels`` (name: source) low-passed: y0 = x0, y = a x + (1 - a) y before.
+
+    Rows of a key are taken in order of ``row``, which counts from 0; 0 < a < 1; a null sample adds nothing.
+    Blocks of rows are filtered on their own from zero, as running sums of the samples weighted with (1 - a)^-i
+    (a block is so short that the weights stay finite; the latest weigh most, so nothing is lost to rounding).
+    What enters a block are the ends of those before it, each decayed by the blocks between: a frame of as
+    many blocks as it takes for the decay to fall below the least double, so no recording is gathered in a row.
+    It decays into the block: y = local + (1 - a)^(i + 1) carry.
     """
-    key = ["rec", "segment", "id", "t", "row_idx"]
-    stacked = df.select(*key, F.explode(F.array(*[F.struct(F.lit(k).alias("__c"), c.cast("double").alias("__x")) for k, c in channels.items()])).alias("__s")).select(*key, "__s.*")
-    done = lowpass_causal(stacked, ["rec", "__c"], "row_idx", "__x", a, block)
-    return done.groupBy(*key).agg(*[F.max(F.when(F.col("__c") == k, F.col("y"))).alias(k) for k in channels])
+    rate = -math.log(1 - a)
+    most = max(1, int(230 / rate))
+    block = max(1, min(block or most, most))
+    decay = lambda k: F.pow(F.lit(1 - a), k)
+    rows = df.withColumns({f"__x_{k}": c for k, c in channels.items()}).withColumns({"__block": F.floor(F.col(row) / block), "__i": (F.col(row) % block).cast("double")})
+    running = Window.partitionBy(*key, "__block").orderBy(row).rowsBetween(Window.unboundedPreceding, 0)
+    weighed = {k: F.when(F.col(row) == 0, F.col(f"__x_{k}")).otherwise(a * F.col(f"__x_{k}")) * decay(-F.col("__i")) for k in channels}
+    done = rows.withColumns({f"__l_{k}": F.coalesce(F.sum(x).over(running), F.lit(0.0)) * decay(F.col("__i")) for k, x in weighed.items()})
+    ends = done.groupBy(*key, "__block").agg(F.max_by(F.struct(*[f"__l_{k}" for k in channels]), "__i").alias("__end"))
+    reach = max(1, math.ceil(745 / (rate * block)))
+    before = Window.partitionBy(*key).orderBy("__block").rowsBetween(-reach, -1)
+    into = ends.select(*key, "__block", F.collect_list("__end").over(before).alias("__ends"))
+    carry = lambda k: F.aggregate("__ends", F.lit(0.0), lambda sofar, end: sofar * (1 - a) ** block + end[f"__l_{k}"])
+    into = into.select(*key, "__block", *[carry(k).alias(f"__c_{k}") for k in channels])
+    out = {k: F.col(f"__l_{k}") + decay(F.col("__i") + 1) * F.col(f"__c_{k}") for k in channels}
+    return done.join(into, [*key, "__block"]).select(*[c for c in df.columns if c not in channels], *[y.alias(k) for k, y in out.items()])
+
+
+def lowpass_causal(df: DataFrame, key: list[str], row: str, x: str, a: float, block: int | None = None) -> DataFrame:
+    """``df`` with ``y``, the low pass of ``x`` (see :func:`lowpass_channels`)."""
+    return lowpass_channels(df, key, row, {"y": F.col(x)}, a, block)
+
+
+def raw_to_features(df: DataFrame, channels: dict[str, Column], a: float, block: int | None = None) -> DataFrame:
+    """``rec, segment, id, t, row_idx`` and each of ``channels`` (name: source of the recording's variant), low-passed at the raw rate, in one pass."""
+    done = lowpass_channels(df, ["rec"], "row_idx", {k: c.cast("double") for k, c in channels.items()}, a, block)
+    return done.select("rec", "segment", "id", "t", "row_idx", *channels)
 
 
 def serve_dt(df: DataFrame, rec: str = "rec", t: str = "t", order: tuple[str, ...] = ("t", "id"), most: float = 5.0) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsense.functions.columns import first_message, flag, ratio
+from recsense.functions.columns import filled, first_message, flag, ratio
 
 LOW, HIGH = 0, 10
 UNSURE, UNCOVERED = -1, 255
@@ -55,8 +55,8 @@ def band_abstain(df: DataFrame, value: str, low: float, high: float) -> DataFram
 def near_change(df: DataFrame, rec: list[str], order: list[str], guess: str, half: int) -> DataFrame:
     """``near_change``: within ``half`` rows of a change of the guess, filled forward then backward over the whole recording."""
     w = Window.partitionBy(*rec).orderBy(*order)
-    back = F.last(guess, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first(guess, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    back = filled(F.col(guess), w)
+    ahead = filled(F.col(guess), Window.partitionBy(*rec).orderBy(*[F.col(c).desc() for c in order]))
     rows = df.withColumn("__g", F.coalesce(back, ahead)).withColumn("__p", F.lag("__g").over(w))
     rows = rows.withColumn("__c", flag(F.col("__g") != F.col("__p")).cast("int"))
     return rows.withColumn("near_change", F.max("__c").over(w.rowsBetween(-(half - 1), half)) == 1).drop("__g", "__p", "__c")

@@ -2,7 +2,7 @@
 
 Rows have ``i``, their place in the segment. A window starts at every ``step`` rows and has ``n``; where ``step``
 divides ``n``, rows are aggregated once per pane of ``step`` rows and panes are combined over a frame, so no row is
-copied into its n / step windows. Sums are of values less a centre (the recording's median), so that squares and
+copied into its n / step windows. Sums are of values less a centre (the recording's mean), so that squares and
 higher powers don't cancel.
 """
 
@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsense.functions.columns import flag, ratio
+from recsense.functions.columns import flag, quantile_of, ratio
 
 KEY = ("rec", "segment")
 #: Order in which the features come.
@@ -27,9 +27,9 @@ def with_place(df: DataFrame, order: tuple[str, ...] = ("t", "id")) -> DataFrame
 
 
 def centred(df: DataFrame, columns: list[str], rec: str = "rec") -> DataFrame:
-    """``df`` with ``c_x``: each channel less the recording's median."""
-    medians = df.groupBy(rec).agg(*[F.median(c).alias(f"__m_{c}") for c in columns])
-    return df.join(medians, rec).withColumns({f"c_{c}": F.col(c) - F.col(f"__m_{c}") for c in columns}).drop(*[f"__m_{c}" for c in columns])
+    """``df`` with ``c_x``: each channel less the mean of the recording's finite values (any centre near them will do)."""
+    centres = df.groupBy(rec).agg(*[F.coalesce(F.avg(F.when(F.abs(c) < float("inf"), F.col(c))), F.lit(0.0)).alias(f"__m_{c}") for c in columns])
+    return df.join(centres, rec).withColumns({f"c_{c}": F.col(c) - F.col(f"__m_{c}") for c in columns}).drop(*[f"__m_{c}" for c in columns])
 
 
 def over_panes(df: DataFrame, n: int, step: int, sums: dict[str, Column], lows: dict[str, Column], highs: dict[str, Column]) -> DataFrame:
@@ -115,7 +115,7 @@ def feat_moments(df: DataFrame, n: int, step: int, rate: str, fs: float) -> Data
 
 def feat_rest_relative(df: DataFrame, n: int, step: int, channels: list[str], zero: DataFrame) -> DataFrame:
     """Per channel: 95th percentile and median over the rest angle, and the range between percentiles 5 and 95."""
-    per = exploded(df, n, step).groupBy(*KEY, "start").agg(*[F.percentile(c, [0.05, 0.5, 0.95]).alias(f"p_{c}") for c in channels])
+    per = window_arrays(df, n, step, channels).select(*KEY, "start", *[F.array(*[quantile_of(F.col(c), q) for q in (0.05, 0.5, 0.95)]).alias(f"p_{c}") for c in channels])
     joined = per.join(zero, "rec")
     get = lambda c, k: F.get(F.col(f"p_{c}"), k)
     return joined.select(*KEY, "start", *[x for c in channels for x in ((get(c, 2) - F.col(f"zero_{c}")).alias(f"{c}_high"), (get(c, 1) - F.col(f"zero_{c}")).alias(f"{c}_med"), (get(c, 2) - get(c, 0)).alias(f"{c}_range"))])
@@ -146,10 +146,20 @@ def feat_interleg(df: DataFrame, n: int, step: int, d: str, delta: float) -> Dat
 
 
 def window_arrays(df: DataFrame, n: int, step: int, channels: list[str]) -> DataFrame:
-    """``rec, segment, start`` and one array per channel, in row order."""
+    """``rec, segment, start`` and one array per channel, in row order, of every whole window.
+
+    Rows are gathered once per pane and panes joined over a frame of n / step; only where ``step`` doesn't divide
+    ``n`` rows are copied into their windows.
+    """
     ordered = F.sort_array(F.collect_list(F.struct("i", *channels)))
-    per = exploded(df, n, step).groupBy(*KEY, "start").agg(ordered.alias("__x"))
-    return per.select(*KEY, "start", *[F.col(f"__x.{c}").alias(c) for c in channels])
+    if n % step:
+        per = exploded(df, n, step).groupBy(*KEY, "start").agg(ordered.alias("__x"))
+        return per.select(*KEY, "start", *[F.col(f"__x.{c}").alias(c) for c in channels])
+    panes = df.groupBy(*KEY, F.floor(F.col("i") / step).alias("__pane")).agg(ordered.alias("__x"))
+    panes = panes.select(*KEY, "__pane", F.size("__x").alias("__n"), *[F.col(f"__x.{c}").alias(c) for c in channels])
+    frame = Window.partitionBy(*KEY).orderBy("__pane").rowsBetween(0, n // step - 1)
+    whole = panes.select(*KEY, (F.col("__pane") * step).alias("start"), F.sum("__n").over(frame).alias("__n"), *[F.collect_list(c).over(frame).alias(c) for c in channels])
+    return whole.filter(F.col("__n") == n).select(*KEY, "start", *[F.flatten(c).alias(c) for c in channels])
 
 
 def spectrum(x: np.ndarray, fs: float, low: float, middle: float, high: float) -> np.ndarray:
@@ -270,12 +280,10 @@ def rest_reference(df: DataFrame, channels: list[str], d: str, span: int, delta:
 
     Calm spans start at every quarter of a span, within segments; swaps are of ``d`` less the span's median.
     """
-    rows = exploded(df, span, max(1, span // 4))
-    middle = rows.groupBy(*KEY, "start").agg(F.median(d).alias("__m"), (F.max(d) - F.min(d)).alias("ptp"), *[F.median(c).alias(f"zero_{c}") for c in channels])
-    signs = rows.join(middle.select(*KEY, "start", "__m"), [*KEY, "start"]).withColumn("__d", F.col(d) - F.col("__m"))
+    arrays = window_arrays(df, span, max(1, span // 4), list(dict.fromkeys([d, *channels]))).withColumn("__m", quantile_of(F.col(d), 0.5))
     # no swap: the rows beyond +-delta are all on one side
-    still = signs.groupBy(*KEY, "start").agg((~(flag(F.max(F.col("__d") > delta)) & flag(F.max(F.col("__d") < -delta)))).alias("still"))
-    spans = middle.join(still, [*KEY, "start"]).filter("still")
+    swung = flag(F.exists(d, lambda x: x - F.col("__m") > delta)) & flag(F.exists(d, lambda x: x - F.col("__m") < -delta))
+    spans = arrays.filter(~swung).select(*KEY, "start", (F.array_max(d) - F.array_min(d)).alias("ptp"), *[quantile_of(F.col(c), 0.5).alias(f"zero_{c}") for c in channels])
     zeros = [f"zero_{c}" for c in channels]
     opening = (F.col("segment") == 0) & (F.col("start") == 0)
     best = spans.groupBy("rec").agg(F.min_by(F.struct(*zeros), F.struct((~opening).cast("int"), "ptp", "segment", "start")).alias("z"))

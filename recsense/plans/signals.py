@@ -64,7 +64,7 @@ def resample_method(spark, sf_dir):
   SELECT rec, row_idx, id, a AS y FROM seg WHERE row_idx = 0 UNION ALL SELECT s.rec, s.row_idx, s.id, 0.2e0 * s.a + 0.8e0 * f.y FROM f JOIN seg s ON s.rec = f.rec AND s.row_idx = f.row_idx + 1)
 SELECT rec, id, round(y + 0.0000003e0, 5) AS y FROM f""")
 def lowpass_causal(spark, sf_dir):
-    return op.lowpass_causal(seg(spark, sf_dir).select("rec", "id", "row_idx", "a"), ["rec"], "row_idx", "a", 0.2, block=16).select("rec", "id", F.round(F.col("y") + 0.0000003, 5).alias("y"))
+    return op.lowpass_causal(seg(spark, sf_dir).select("rec", "id", "row_idx", "a"), ["rec"], "row_idx", "a", 0.2, block=32).select("rec", "id", F.round(F.col("y") + 0.0000003, 5).alias("y"))
 
 
 @query("serve_dt", f"""WITH {SEG}, p AS (SELECT rec, arg_max(dt, row_idx) AS last_dt, any_value(med) AS med FROM seg GROUP BY rec)

@@ -122,10 +122,7 @@ def bridged(spark, sf_dir):
     """Angles and rates of both sides, taken from the variant's axes, low-passed at the raw rate."""
     turned = F.col("rec") % 4 == 1
     left, right = F.when(turned, F.col("b")).otherwise(F.col("a")), F.when(turned, F.col("a")).otherwise(F.col("b"))
-    rows = segments(spark, sf_dir).select("rec", "id", "row_idx", left.alias("l_ang"), right.alias("r_ang"), (left - 50.0).alias("l_vel"), (right - 50.0).alias("r_vel"))
-    for c in CHANNELS:
-        rows = signals.lowpass_causal(rows, ["rec"], "row_idx", c, 0.3, 32).drop(c).withColumnRenamed("y", c)
-    return rows
+    return signals.raw_to_features(segments(spark, sf_dir), dict(zip(CHANNELS, (left, right, left - 50.0, right - 50.0), strict=True)), 0.3, 32)
 
 
 @query("raw_to_features", f"""WITH RECURSIVE {SEG}, sx AS (SELECT rec, row_idx, id, CASE WHEN rec % 4 = 1 THEN b ELSE a END AS x, CASE WHEN rec % 4 = 1 THEN a ELSE b END AS z FROM seg), f AS (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from recsense.functions.columns import quantile_of
 from recsense.operators import physics as ph
 from recsense.operators import verdict as op
 from recsense.operators import windows as win
@@ -129,7 +130,7 @@ def window_anchors(spark, sf_dir):
     key = ["rec", "segment", "start"]
     basic = win.feat_basic(x, N, STEP, ["a", "b", "d"], [])
     energy = win.over_panes(x, N, STEP, {"e": F.col("va") ** 2}, {}, {})
-    median = win.exploded(x, N, STEP).groupBy(*key).agg(F.median("d").alias("m"))
+    median = win.window_arrays(x, N, STEP, ["d"]).select(*key, quantile_of(F.col("d"), 0.5).alias("m"))
     out = basic.join(win.feat_corr(x, N, STEP, {"r": ("a", "b")}), key).join(energy, key).join(median, key).join(win.feat_interleg(x, N, STEP, "d", DELTA), key)
     return out.select(*key, F.round(F.col("r") * -1, 5).alias("antiphase"), F.round(1 / (1 + 0.5 * (F.col("a_std") + F.col("b_std"))), 5).alias("grav_stab"), F.round(F.col("e") / 100 + 0.00003, 3).alias("gyro_energy"), F.round(F.col("m") + 3e-8, 5).alias("median_offset"), F.round("d_ptp", 5).alias("ptp"), F.round("minhalf", 5).alias("minhalf"), "swaps", ph.swap_verdict(F.col("swaps")).alias("swap_verdict"))
 

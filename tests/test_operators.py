@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from recsense.functions import columns
 from recsense.operators import census, evaluate, joins, physics, signals, timebase, trust, verdict, windows
 
 
@@ -169,3 +170,52 @@ def test_faults_are_seen(spark):
         part = physics.with_faults(df, "a", "b").filter(F.col("fault") == fault).withColumn("d", F.col("a") - F.col("b"))
         swaps[fault] = signals.swap_count(part, ["rec"], ["id"], "d", 1.0).first().swaps
     assert swaps["none"] == swaps["swapped"] > 5 and swaps["duplicated"] == 0
+
+
+def test_lowpass_carries_over_blocks_nulls_and_several_channels(spark):
+    rng = random.Random(5)
+    values = [(0, k, rng.gauss(0, 1), None if k % 5 == 3 else rng.gauss(9, 1)) for k in range(211)]
+    df = spark.createDataFrame(values, "rec long, row_idx long, x double, z double")
+    for a, block in ((0.2, 7), (0.2, None), (0.9, 3), (0.001, 50)):
+        got = signals.lowpass_channels(df, ["rec"], "row_idx", {"x": F.col("x"), "y": F.col("z")}, a, block).orderBy("row_idx").collect()
+        for out, place in (("x", 2), ("y", 3)):
+            y = values[0][place]
+            for r, v in zip(got, values, strict=True):
+                y = y if v[1] == 0 else a * (v[place] or 0.0) + (1 - a) * y
+                assert math.isclose(r[out], y, abs_tol=1e-11)
+
+
+def test_window_arrays_of_panes_equal_copied_rows(spark):
+    rng = random.Random(6)
+    rows = [(rec, s, i, rng.random(), rng.random()) for rec in (1, 2) for s, n in ((0, 37), (1, 16), (2, 15)) for i in range(n)]
+    df = spark.createDataFrame(rows, "rec long, segment long, i long, a double, b double")
+    for n, step in ((16, 4), (16, 16), (16, 5), (4, 1)):
+        got = {(r.rec, r.segment, r.start): (r.a, r.b) for r in windows.window_arrays(df, n, step, ["a", "b"]).collect()}
+        want = {}
+        for rec in (1, 2):
+            for s in (0, 1, 2):
+                x = [r[3:] for r in rows if r[:2] == (rec, s)]
+                for at in range(0, len(x) - n + 1, step):
+                    want[rec, s, at] = tuple(map(list, zip(*x[at : at + n], strict=True)))
+        assert got == want
+
+
+def test_quantile_of_an_array_equals_the_aggregate(spark):
+    rng = random.Random(7)
+    rows = [(k, [None if rng.random() < 0.2 else rng.gauss(0, 9) for _ in range(k)]) for k in range(12)] + [(90, [2.5] * 5), (91, [None]), (92, None)]
+    df = spark.createDataFrame(rows, "k long, v array<double>")
+    got = {r.k: r[1:] for r in df.select("k", *[columns.quantile_of(F.col("v"), q) for q in (0.05, 0.5, 1)]).collect()}
+    flat = df.select("k", F.explode_outer("v").alias("x")).groupBy("k").agg(F.percentile("x", [0.05, 0.5, 1.0]).alias("p")).collect()
+    for r in flat:
+        assert got[r.k] == (None,) * 3 if r.p is None else all(math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got[r.k], r.p, strict=True))
+
+
+def test_fills_reach_the_nearest_row_on_both_sides(spark):
+    rng = random.Random(8)
+    left = [(rec, rng.randrange(500)) for rec in (1, 2, 3) for _ in range(60)]
+    right = [(rec, t, float(t)) for rec in (1, 2) for t in rng.sample(range(500), 25)]
+    got = joins.asof_nearest(spark.createDataFrame(left, "rec long, t long"), spark.createDataFrame(right, "rec long, t long, v double"), "rec", "t", "v", 12.0, True).collect()
+    assert len(got) == len(left)
+    for r in got:
+        near = min(((abs(t - r.t), t, v) for rec, t, v in right if rec == r.rec), default=None)
+        assert r.v == (near[2] if near and near[0] <= 12 else None)
