@@ -21,6 +21,16 @@ SHINGLE, SEED, DISTANCE = 4, 42, 4
 GOLAY = 0b101011100011
 #: Bits of the three segments of a fingerprint, from the lowest; each fits a word of the code.
 SEGMENTS = (21, 21, 22)
+#: Near copies (:func:`near_copies`): words of the features whose fingerprints give keys, and of the shingles that are compared.
+KEY_WORDS, COPY_WORDS = 2, 5
+#: 64-bit fingerprints of each kind, and the bits of all of a document's compared ones in which copies may differ. At a
+#: similarity of 0.8 the shingle vectors meet at arccos(2 * 0.8 / 1.8), so 38.7 of 256 bits differ, by 5.7 (standard deviation).
+LANES, COPY_DISTANCE = 4, 44
+#: Columns of the compared fingerprints of near copies, and of those that give keys.
+COPY_COLUMNS = ["fp", *[f"f{k}" for k in range(1, LANES)]]
+KEY_COLUMNS = [f"k{k}" for k in range(LANES)]
+#: Increment and multipliers of the SplitMix64 finalizer.
+GAMMA, MIX = 0x9E3779B97F4A7C15, (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 #: Members of a key that one task compares at once; larger groups are compared block by block.
 BLOCK = 16_384
 #: Links that a task holds before it contracts them.
@@ -61,6 +71,50 @@ def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """SplitMix64's finalizer, for each number."""
+    x = (x ^ x >> np.uint64(30)) * np.uint64(MIX[0])
+    x = (x ^ x >> np.uint64(27)) * np.uint64(MIX[1])
+    return x ^ x >> np.uint64(31)
+
+
+def lanes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """``LANES`` SimHashes of the different ``width``-word shingles of a sequence of word hashes (no words: zeros)."""
+    if not len(hashes):
+        return np.zeros(LANES, np.uint64)
+    n = max(1, len(hashes) - width + 1)
+    shingle = np.zeros(n, np.uint64)
+    for k in range(min(width, len(hashes))):
+        shingle = mixed(shingle + np.uint64(GAMMA) + hashes[k : k + n])
+    shingle = np.unique(shingle)
+    counts = np.zeros(64 * LANES, np.int64)
+    step = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(GAMMA))[None, :]
+    for at in range(0, len(shingle), 255):  # so the counts of a part fit a byte
+        wide = mixed(shingle[at : at + 255, None] + step)
+        counts += np.unpackbits(wide.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(shingle)).view(np.uint64)
+
+
+def sketch(text: str | None) -> np.ndarray:
+    """The compared fingerprints of a whole text, then those that give its keys; words and case as in :func:`fingerprint`."""
+    words = (text or "").encode().lower().split()
+    hashes = np.frombuffer(b"".join([xxhash.xxh64_digest(w, SEED) for w in words]), np.uint64)
+    return np.concatenate((lanes(hashes, COPY_WORDS), lanes(hashes, KEY_WORDS)))
+
+
+def sketches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``(doc_id, fp, f1 ..., k0 ...)``: the compared fingerprints and those for keys, as signed longs."""
+    names = ["doc_id", *COPY_COLUMNS, *KEY_COLUMNS]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            found = np.array([sketch(t.as_py()) for t in batch.column(1)], np.uint64).reshape(-1, 2 * LANES).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in found.T]], names=names)
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
 # --- Golay keys -------------------------------------------------------------------------------------
 
 
@@ -98,12 +152,13 @@ def near_indices(words: np.ndarray, bits: int) -> np.ndarray:
     return found
 
 
-def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def keys(fps: np.ndarray, triples: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """``(key, row)``: keys such that any two fingerprints within DISTANCE = 4 share one.
 
     With at most four errors in three segments, either one segment has none and another at most two
     (its value with the index of the other: six kinds), or two have one each and the third at most two
-    (the indices of all three). Keys have 33 to 36 bits, so chance candidates stay few at any size.
+    (the indices of all three). Keys have 33 to 36 bits, so chance candidates stay few at any size. Without
+    ``triples`` the seventh kind, most of the keys, is left out.
     """
     n, segments, at = len(fps), [], 0
     for bits in SEGMENTS:
@@ -123,6 +178,8 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 out_key.append(kind << 40 | segments[i][row] << 12 | index)
                 out_row.append(row)
                 kind += 1
+    if not triples:
+        return np.concatenate(out_key), np.concatenate(out_row)
     row, key = near[0][0], near[0][1]
     for j in (1, 2):
         n_of = np.bincount(near[j][0], minlength=n)
@@ -139,26 +196,28 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --- links ------------------------------------------------------------------------------------------
 
 
-def stars(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(member, root)``: a tree of depth one for each component of distinct fingerprints within DISTANCE.
+def stars(members: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
+    """``(member, root)``: a tree of depth one for each component of fingerprints within ``distance``.
+
+    A row of ``members`` is a fingerprint, of one or more words of 64 bits; its first word names it.
 
     A search from a member takes all its links out of what is left, so a group of close copies costs a few
     passes, not all its pairs.
     """
-    left = np.unique(members)
+    left = np.unique(members.reshape(len(members), -1), axis=0)
     out_member, out_root = [], []
     while len(left) > 1:
         queue, found, left = [left[0]], [left[:1]], left[1:]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()) <= DISTANCE
+            near = np.bitwise_count(left ^ queue.pop()).sum(axis=1) <= distance
             if near.any():
                 hit, left = left[near], left[~near]
                 queue.extend(hit)
                 found.append(hit)
         whole = np.concatenate(found)
         if len(whole) > 1:
-            out_member.append(whole[1:])
-            out_root.append(np.full(len(whole) - 1, whole[0]))
+            out_member.append(whole[1:, 0])
+            out_root.append(np.full(len(whole) - 1, whole[0, 0]))
     none = np.zeros(0, np.uint64)
     return (np.concatenate(out_member), np.concatenate(out_root)) if out_member else (none, none)
 
@@ -182,99 +241,113 @@ def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[member], nodes[root[member]]
 
 
-def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes], distance: int) -> tuple[np.ndarray, np.ndarray]:
     """Links within each run of equal keys; sets of members that this task has seen are not compared again."""
     cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     size = np.diff(cut)
     two = cut[:-1][size == 2]
-    near = np.bitwise_count(fp[two] ^ fp[two + 1]) <= DISTANCE
-    a, b = [fp[two][near]], [fp[two + 1][near]]
+    near = np.bitwise_count(fp[two] ^ fp[two + 1]).sum(axis=1) <= distance
+    a, b = [fp[two, 0][near]], [fp[two + 1, 0][near]]
     for k in np.flatnonzero(size > 2):
-        members = np.sort(fp[cut[k] : cut[k + 1]])
+        members = fp[cut[k] : cut[k + 1]]
+        members = members[np.lexsort(members.T)]
         if (mark := xxhash.xxh3_128_digest(members.tobytes())) in seen:
             continue
         if len(seen) < 1 << 18:
             seen.add(mark)
-        m, r = stars(members)
+        m, r = stars(members, distance)
         a.append(m)
         b.append(r)
     return np.concatenate(a), np.concatenate(b)
 
 
-def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
-    """``(a, b)`` links that connect the distinct fingerprints ``fp`` as all pairs within DISTANCE would.
+def linked_by_keys(keyed: DataFrame, distance: int, most: int = BLOCK) -> DataFrame:
+    """``(a, b)`` links that connect the fingerprints which share a key as all pairs within ``distance`` would.
 
-    Keys are shuffled and sorted; a task compares the members of each key as they stream by. A key with
+    ``keyed`` has a key and the words of a fingerprint; the first word names it, so links are pairs of first words. Keys
+    are shuffled and sorted; a task compares the members of each key as they stream by. A key with
     more than twice ``most`` members is passed on in blocks, and the pairs of its blocks are compared by tasks of
     their own, so no group is gathered whole.
     """
+    first, *more = keyed.columns[1:]
+    schema = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), *[(c, pa.int64()) for c in more]])
+    declared = "key long, block int, a long, b long" + "".join(f", {c} long" for c in more)
 
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            fps = batch.column(0).to_numpy(zero_copy_only=False)
-            for at in range(0, len(fps), 256):
-                part = fps[at : at + 256]
-                key, row = keys(part.view(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], names=["key", "fp"])
-
-    schema = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+    def linked(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        none = [pa.nulls(len(a), f.type) for f in schema]
+        return pa.RecordBatch.from_arrays([*none[:2], pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *none[4:]], schema=schema)
 
-    def out(a: np.ndarray, b: np.ndarray, key: int | None = None, block: int | None = None) -> pa.RecordBatch:
-        n = len(a)
-        return pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array([block] * n, pa.int32()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], schema=schema)
+    def passed(fp: np.ndarray, key: int, block: int) -> pa.RecordBatch:
+        n = len(fp)
+        words = [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in fp.T]
+        return pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array([block] * n, pa.int32()), words[0], words[0], *words[1:]], schema=schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        key, fp = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        key, fp = np.zeros(0, np.int64), np.zeros((0, 1 + len(more)), np.uint64)
         block = 0  # blocks of the open key that were passed on
         for batch in batches:
             key = np.concatenate((key, batch.column(0).to_numpy(zero_copy_only=False)))
-            fp = np.concatenate((fp, batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)))
+            fp = np.concatenate((fp, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1).view(np.uint64)))
             while len(key):
                 whole = int(np.searchsorted(key, key[-1]))  # rows of keys that have ended
                 end = int(np.searchsorted(key, key[0], "right"))
                 if block and end < len(key):  # the rest of a large key
-                    yield out(fp[:end], fp[:end], int(key[0]), block)
+                    yield passed(fp[:end], int(key[0]), block)
                     key, fp, block = key[end:], fp[end:], 0
                 elif whole and not block:
-                    held.append(_edges_of_runs(key[:whole], fp[:whole], seen))
+                    held.append(_edges_of_runs(key[:whole], fp[:whole], seen, distance))
                     if sum(len(x) for x, _ in held) > HELD:
                         held = [contract(*map(np.concatenate, zip(*held, strict=True)))]
                         if len(held[0][0]) > HELD // 2:
-                            yield out(*held.pop())
+                            yield linked(*held.pop())
                     key, fp = key[whole:], fp[whole:]
                 elif end >= 2 * most:
-                    yield out(fp[:most], fp[:most], int(key[0]), block)
+                    yield passed(fp[:most], int(key[0]), block)
                     key, fp, block = key[most:], fp[most:], block + 1
                 else:
                     break
         if len(key):
             if block:
-                yield out(fp, fp, int(key[0]), block)
+                yield passed(fp, int(key[0]), block)
             else:
-                held.append(_edges_of_runs(key, fp, seen))
+                held.append(_edges_of_runs(key, fp, seen, distance))
         if held:
-            yield out(*contract(*map(np.concatenate, zip(*held, strict=True))))
+            yield linked(*contract(*map(np.concatenate, zip(*held, strict=True))))
 
-    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = distinct.select("fp").repartition(n, "fp").mapInArrow(emit, "key long, fp long")
-    found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "key long, block int, a long, b long")
-    found = written(found, "simhash-links")
+    found = written(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, declared), "simhash-links")
     near = found.filter("block is null").select("a", "b").distinct()
     # the blocks of large keys: each block meets each other block of its key
-    large = found.filter("block is not null").select("key", "block", F.col("a").alias("fp"))
+    large = found.filter("block is not null").select("key", "block", F.col("a").alias(first), *more)
     last = large.groupBy("key").agg(F.max("block").alias("last"))
     meet = large.join(last, "key").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
-    meet = meet.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "fp")
+    meet = meet.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), first, *more)
 
     def block_pair(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = stars(rows["fp"].to_numpy().view(np.uint64))
+        a, b = stars(np.ascontiguousarray(rows[[first, *more]].to_numpy(np.int64)).view(np.uint64), distance)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
     return near.unionByName(meet.groupBy("key", "i", "j").applyInPandas(block_pair, "a long, b long")).distinct()
 
 
+def keyed(distinct: DataFrame, compared: list[str], keying: list[str], triples: bool) -> DataFrame:
+    """``(key, *compared)``: every row once for each Golay key of its ``keying`` fingerprints."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                words = [part.column(c).to_numpy(zero_copy_only=False) for c in compared]
+                for lane, column in enumerate(keying):
+                    key, row = keys(part.column(column).to_numpy(zero_copy_only=False).view(np.uint64), triples)
+                    yield pa.RecordBatch.from_arrays([pa.array(key | lane << 48), *[pa.array(w[row]) for w in words]], names=["key", *compared])
+
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = distinct.select(*dict.fromkeys([*compared, *keying])).repartition(n, compared[0])
+    return spread.mapInArrow(emit, ", ".join(f"{c} long" for c in ["key", *compared]))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` of every node with a link; root is the component's smallest node.
 
@@ -293,6 +366,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
+    """``(a, b)`` links that connect the distinct fingerprints ``fp`` as all pairs within DISTANCE would."""
+    return linked_by_keys(keyed(distinct, ["fp"], ["fp"], True), DISTANCE, most)
+
+
+def _grouped(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``fp, component_id`` of all rows' fingerprints ``fp``, joined over ``edges`` between them."""
+    distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    roots = components(edges)
+    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    joined = written(joined, "simhash-roots")
+    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
+    return joined.select("fp", "root").join(least, "root").select("fp", "component_id")
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
@@ -302,10 +390,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     table gives no rows.
     """
     rows = written(fingerprints(docs, text, doc_id), "simhash-fp")
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
-    roots = components(links(distinct))
-    joined = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    joined = written(joined, "simhash-roots")
-    least = joined.groupBy("root").agg(F.min("least").alias("component_id"))
-    component = joined.select("fp", "root").join(least, "root").select("fp", "component_id")
+    component = _grouped(rows, links(rows.select("fp").distinct()))
     return rows.join(component, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per document: ``doc_id, component_id``, for copies that share about 0.8 or more of their five-word shingles.
+
+    A document has ``LANES`` SimHashes of its different pairs of words, which an edit hardly moves: their Golay keys
+    (an exact segment with an index of another) find the candidates. These are verified by as many SimHashes of its different
+    five-word shingles: copies differ in at most ``COPY_DISTANCE`` of all their bits. Documents whose first such SimHash is equal
+    are one.
+
+    ``component_id`` is the smallest id reachable over links. Null texts and texts without words have zeros for fingerprints,
+    which link like any others; texts of fewer words than a shingle are one shingle. Rows that repeat get the same result; null ids
+    are never the smallest unless alone. Very long texts are hashed whole. An empty table gives no rows.
+    """
+    rows = written(sketches(docs, text, doc_id), "simhash-sketches")
+    distinct = rows.select(*COPY_COLUMNS, *KEY_COLUMNS).distinct()
+    component = _grouped(rows, linked_by_keys(keyed(distinct, COPY_COLUMNS, KEY_COLUMNS, False), COPY_DISTANCE))
+    return rows.select("doc_id", "fp").join(component, "fp").select("doc_id", "component_id")
