@@ -15,7 +15,7 @@ from recsense.llm.language import UNDETERMINED, WORST_BITS, fit_languages, predi
 from recsense.llm.mixing import mixed_rows
 from recsense.llm.packing import pack
 from recsense.llm.repeats import NO_ID
-from recsense.llm.simhash import near_duplicates
+from recsense.llm.simhash import near_copies
 
 
 def plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -54,14 +54,14 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the document with the smallest id stays.
+    """Of each group of linked copies, which share about 0.8 or more of their five-word shingles, the document with the smallest id stays.
 
-    Null texts and texts without words share fingerprint zero. Rows that repeat an id all stay if that id does
+    Null texts and texts without words are one group. Rows that repeat an id all stay if that id does
     (the stage before leaves one). A null id stays only where its group has no other. Very long texts are
     hashed whole. An empty table stays empty. Further columns, whatever their names, are passed on.
     """
     rows, of = plain(docs)
-    groups = near_duplicates(rows, of["text"], of["doc_id"])
+    groups = near_copies(rows, of["text"], of["doc_id"])
     stays = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"))
     rows = rows.withColumn("__id", F.coalesce(of["doc_id"], F.lit(NO_ID)))
     return rows.join(stays.distinct(), "__id", "left_semi").select(*of.values()).toDF(*docs.columns)
