@@ -1,8 +1,9 @@
+import random
 import re
 
 import corpus_pipeline
 from recsense.llm.mixing import mix
-from recsense.llm.simhash import near_duplicates
+from recsense.llm.simhash import near_copies
 from recsense.llm.tokens import encode
 
 SPACE = re.compile(r"[\x20\x09-\x0D]")
@@ -39,7 +40,7 @@ def test_each_stage_against_brute_force(spark):
         groups.setdefault(SPACE.sub("", r.text), []).append((-len(r.text), r.doc_id if r.doc_id is not None else 1 << 63))
     assert sorted(str(r.doc_id) for r in rows) == sorted(str(min(g)[1] if min(g)[1] < 1 << 63 else None) for g in groups.values())
     rows, three = step("SimHash near-dedup", two)
-    of = near_duplicates(two).collect()
+    of = near_copies(two).collect()
     assert sorted(str(r.doc_id) for r in rows) == sorted({str(r.component_id) for r in of})
     rows, four = step("mixing sources", three)
     copies = {r.doc_id: r.copies for r in mix(three).collect()}
@@ -51,6 +52,26 @@ def test_each_stage_against_brute_force(spark):
     assert sum(p.length for p in pieces) == sum(len(encode(r.text)) + 1 for r in rows)
 
 
+def test_near_copies_go_and_others_stay(spark):
+    """Of a long text and its copies with two words changed the smallest id stays, and so do texts that share only a passage."""
+    rng = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    rows, stay = [], set()
+    for k in range(40):
+        words = [rng.choice(vocabulary) for _ in range(150)] + passage + [rng.choice(vocabulary) for _ in range(150)]
+        rows.append((k * 10, " ".join(words), "en", "s0", 0))
+        stay.add(k * 10)
+        for j in range(1, k % 3 + 1):
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), 2):
+                copy[at] = rng.choice(vocabulary)
+            rows.append((k * 10 + j, " ".join(copy), "en", "s1", 0))
+    got = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, NAMES), "").collect()}
+    assert stay <= got
+    assert len(got - stay) <= 0.1 * (len(rows) - len(stay))  # copies no key of which meets
+
+
 def test_empty_and_run(spark, tmp_path):
     empty = spark.createDataFrame([], NAMES)
     for _, stage in corpus_pipeline.STAGES:
