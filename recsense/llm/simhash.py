@@ -196,6 +196,15 @@ def keys(fps: np.ndarray, triples: bool = True) -> tuple[np.ndarray, np.ndarray]
 # --- links ------------------------------------------------------------------------------------------
 
 
+def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits in which fingerprints (the last axis holds their words) differ."""
+    bits = np.bitwise_count(a ^ b)
+    total = bits[..., 0]
+    for k in range(1, bits.shape[-1]):
+        total = total + bits[..., k].astype(np.uint16)
+    return total
+
+
 def stars(members: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
     """``(member, root)``: a tree of depth one for each component of fingerprints within ``distance``.
 
@@ -204,12 +213,13 @@ def stars(members: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np
     A search from a member takes all its links out of what is left, so a group of close copies costs a few
     passes, not all its pairs.
     """
-    left = np.unique(members.reshape(len(members), -1), axis=0)
+    members = members.reshape(len(members), -1)
+    left = np.unique(members)[:, None] if members.shape[1] == 1 else np.unique(members, axis=0)
     out_member, out_root = [], []
     while len(left) > 1:
         queue, found, left = [left[0]], [left[:1]], left[1:]
         while queue and len(left):
-            near = np.bitwise_count(left ^ queue.pop()).sum(axis=1) <= distance
+            near = apart(left, queue.pop()) <= distance
             if near.any():
                 hit, left = left[near], left[~near]
                 queue.extend(hit)
@@ -246,7 +256,7 @@ def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes], distance:
     cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     size = np.diff(cut)
     two = cut[:-1][size == 2]
-    near = np.bitwise_count(fp[two] ^ fp[two + 1]).sum(axis=1) <= distance
+    near = apart(fp[two], fp[two + 1]) <= distance
     a, b = [fp[two, 0][near]], [fp[two + 1, 0][near]]
     for k in np.flatnonzero(size > 2):
         members = fp[cut[k] : cut[k + 1]]
@@ -348,6 +358,17 @@ def keyed(distinct: DataFrame, compared: list[str], keying: list[str], triples:
     return spread.mapInArrow(emit, ", ".join(f"{c} long" for c in ["key", *compared]))
 
 
+def merged(edges: DataFrame) -> DataFrame:
+    """Fewer links with the same components: of a node's partners in ``b`` it keeps the least, with which the others are linked.
+
+    Each task roots its trees at the least node that it has seen, so a member of a large group has a link to each of several
+    roots, at most one for each of its keys; the roots then are linked once and not over every member.
+    """
+    held = edges.groupBy("a").agg(F.min("b").alias("least"), F.collect_set("b").alias("all"))
+    roots = held.select(F.explode("all").alias("a"), F.col("least").alias("b")).filter("a != b")
+    return held.select("a", F.col("least").alias("b")).unionByName(roots).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(node, root)`` of every node with a link; root is the component's smallest node.
 
@@ -408,5 +429,5 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """
     rows = written(sketches(docs, text, doc_id), "simhash-sketches")
     distinct = rows.select(*COPY_COLUMNS, *KEY_COLUMNS).distinct()
-    component = _grouped(rows, linked_by_keys(keyed(distinct, COPY_COLUMNS, KEY_COLUMNS, False), COPY_DISTANCE))
+    component = _grouped(rows, merged(linked_by_keys(keyed(distinct, COPY_COLUMNS, KEY_COLUMNS, False), COPY_DISTANCE)))
     return rows.select("doc_id", "fp").join(component, "fp").select("doc_id", "component_id")

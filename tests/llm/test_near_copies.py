@@ -111,6 +111,17 @@ def test_large_keys_are_compared_by_blocks(spark):
         assert {r.node for r in labels} == {int(r.view(np.int64)[0]) for r in rows[:-1]}
 
 
+def test_merged_links_have_the_same_components(spark):
+    rng = random.Random(8)
+    edges = {(rng.randrange(10, 400), rng.randrange(-200, 10)) for _ in range(300)}
+    edges |= {(m, r) for m in range(1000, 1300) for r in range(500, 520)}
+    frame = spark.createDataFrame(sorted(edges), "a long, b long")
+    fewer = simhash.merged(frame)
+    assert fewer.filter("a >= 1000").count() == 300
+    assert fewer.count() < 700
+    assert sorted(simhash.components(fewer).collect()) == sorted(simhash.components(frame).collect())
+
+
 @pytest.mark.parametrize("edits, least", [(0.005, 0.95), (0.015, 0.8)])
 def test_recall_of_pairs_of_similarity_080(edits, least):
     """Of pairs whose five-word shingles have a similarity of 0.8 or more, the share that has a key and is verified."""
