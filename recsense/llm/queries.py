@@ -14,6 +14,8 @@ from .language import identify
 from .mixing import mix
 from .packing import pack
 from .phrase_dedup import repeated_phrases
+from .prefix_trie import NO_TEXT, prefix_trie
+from .repair import BLOCK, FAN, damaged, repair, transcripts
 from .simhash import near_duplicates
 from .tokens import token_counts
 from .topk import top_k
@@ -67,6 +69,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", removed("spans").alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def repaired(conversations: DataFrame, block: int = BLOCK, fan: int = FAN) -> DataFrame:
+    """Every conversation of ``conversations``, with the report and the transcript's digest of its damaged rows."""
+    report, turns = repair(damaged(conversations), block, fan)
+    found = conversations.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    for part in (report, transcripts(turns)):
+        found = found.join(part.withColumnRenamed("conv_id", "of_conv"), F.col("conv_id").eqNullSafe(F.col("of_conv")), "left").drop("of_conv")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.lit(NO_TEXT)).alias("repaired_sha256"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 OP1_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
@@ -129,6 +149,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_toxicity": op9_toxicity,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_repair": op12_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
