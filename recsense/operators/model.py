@@ -5,58 +5,39 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
-from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import evaluate, joins, physics, signals, timebase, verdict, windows
+from .trees import Forest, fit_trees, score_trees
 
 
-def balanced(df: DataFrame, label: str) -> DataFrame:
-    """``df`` with ``weight``: n / (2 n of the class)."""
-    per = df.groupBy(label).agg(F.count("*").alias("__n"))
-    total = per.agg(F.sum("__n").alias("__all"))
-    return df.join(F.broadcast(per.crossJoin(total)), label).withColumn("weight", F.col("__all") / (2.0 * F.col("__n"))).drop("__n", "__all")
+def fit_forest(df: DataFrame, features: list[str], label: str, trees: int = 400, depth: int = 12, seed: int = 0) -> Forest:
+    """A class-balanced forest of extremely randomised trees for ``label`` (0 or 10)."""
+    return fit_trees(df, features, label, None, [seed], trees, depth)
 
 
-def fit_forest(df: DataFrame, features: list[str], label: str, trees: int = 400, depth: int = 12, seed: int = 0) -> RandomForestClassificationModel:
-    """A class-balanced random forest for ``label`` (0 or 10)."""
-    data = balanced(df, label).withColumn("__y", (F.col(label) == 10).cast("double"))
-    data = VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="keep").transform(data)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="__x", labelCol="__y", weightCol="weight").fit(data)
+def predict(model: Forest, df: DataFrame, features: list[str], group: str | None = None) -> DataFrame:
+    """``df`` with ``p``, the probability of class 10; with ``group`` by the fit that has not seen the row's group."""
+    if list(features) != list(model.features):
+        raise ValueError("the forest was fitted on other features")
+    return score_trees(model, df, group).withColumn("p", F.get("ps", 0)).drop("ps")
 
 
-def predict(model: RandomForestClassificationModel, df: DataFrame, features: list[str]) -> DataFrame:
-    """``df`` with ``p``, the probability of class 10."""
-    data = VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="keep").transform(df)
-    out = model.setFeaturesCol("__x").transform(data)
-    return out.withColumn("p", F.get(vector_to_array("probability"), 1)).drop("__x", "rawPrediction", "probability", "prediction")
-
-
-def logo_cv(df: DataFrame, features: list[str], label: str, group: str, **forest) -> DataFrame:
-    """Out-of-fold probabilities, leaving one group out at a time; folds share the persisted windows. An empty table gives no rows."""
-    data = df.persist()
-    names = [r[0] for r in data.select(group).distinct().orderBy(group).collect()]  # groups are subjects: few
-    if not names:
-        return data.withColumn("p", F.lit(None).cast("double"))
-    parts = [predict(fit_forest(data.filter(F.col(group) != g), features, label, **forest), data.filter(F.col(group) == g), features) for g in names]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def logo_cv(df: DataFrame, features: list[str], label: str, group: str, seed: int = 0, **forest) -> DataFrame:
+    """Out-of-fold probabilities, leaving one group out at a time; all folds share the passes over ``df``. An empty table gives no rows."""
+    return predict(fit_trees(df, features, label, group, [seed], **forest), df, features, group)
 
 
 def ablation_grid(df: DataFrame, features: list[str], label: str, group: str, drops: Iterable[tuple[str, list[str]]], seeds: Iterable[int] = (0,), **forest) -> DataFrame:
-    """Metrics of each set of dropped features and each seed: ``feature_set, seed, macro_f1, accuracy``."""
-    out = None
+    """Metrics of each set of dropped features and each seed: ``feature_set, seed, macro_f1, accuracy``; folds and seeds share passes."""
+    out, seeds = None, list(seeds)
     for name, drop in drops:
-        kept = [c for c in features if c not in drop]
-        for seed in seeds:
-            scored = logo_cv(df, kept, label, group, seed=seed, **forest).withColumn("truth", F.col(label))
-            row = evaluate.evaluate(evaluate.guessed(scored)).select(F.lit(name).alias("feature_set"), F.lit(seed).alias("seed"), "macro_f1", "accuracy")
-            out = row if out is None else out.unionByName(row)
+        fitted = fit_trees(df, [c for c in features if c not in drop], label, group, seeds, **forest)
+        each = F.explode(F.transform("ps", lambda p, k: F.struct(F.get(F.array(*map(F.lit, seeds)), k).alias("seed"), p.alias("p")))).alias("x")
+        scored = score_trees(fitted, df, group).select(F.col(label).alias("truth"), each).select("truth", "x.*")
+        rows = evaluate.evaluate(evaluate.guessed(scored), ["seed"]).select(F.lit(name).alias("feature_set"), "seed", "macro_f1", "accuracy")
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
@@ -113,21 +94,33 @@ def explain_rows(grid: DataFrame, scored: DataFrame, names: list[str], ref: Refe
     return verdict.reason_cascade(called, ref.posture, ref.minhalf)
 
 
-def label_recordings(rows: DataFrame, grid: DataFrame, health: DataFrame, features: DataFrame, names: list[str], model: RandomForestClassificationModel, ref: Reference, n: int, step: int, threshold: float, tick: float) -> DataFrame:
+def label_recordings(rows: DataFrame, grid: DataFrame, health: DataFrame, features: DataFrame, names: list[str], model: Forest, ref: Reference, n: int, step: int, threshold: float, tick: float, group: str | None = None, refusals: DataFrame | None = None, trusted: DataFrame | None = None, least_rows: int = 3000) -> DataFrame:
     """All recordings from bridged, resampled, checked rows to delivered input rows: score windows, average over rows, commit, explain, map back, project.
 
     ``grid`` and ``health`` are :func:`on_grid` of the bridged ``rows``. Each input row takes the call of the
-    nearest row of the grid; further than a ``tick`` from any it is uncovered. The rows of a recording whose
-    health forbids scoring are all uncovered, and ``refusal`` says why.
+    nearest row of the grid; further than a ``tick`` from any it is uncovered. A recording is served if ``refusals`` (``rec, refusal``,
+    the serve gate) doesn't name it and its health allows scoring; the rows of the others are all uncovered, and
+    ``refusal`` says why, the gate before health. With ``group`` windows are scored by the fit that has not seen theirs. Rows carry the
+    reason's text, the alternative, the number of windows behind the call, and their recording's ``plausibility``: findings on the
+    scored rows (``trusted``: ``rec, rest_trusted``), which refuse nothing.
     """
-    usable = health.filter("usable").select("rec")
-    scored = predict(model, features.join(usable, "rec", "left_semi"), names)
-    called = explain_rows(grid.join(usable, "rec", "left_semi"), scored, names, ref, n, step, threshold)
-    call = F.struct("guess", "confidence", "ambiguous", "reason").alias("__call")
+    declined = health.filter("not usable").select("rec", F.array_join("errors", "; ").alias("refusal"))
+    if refusals is not None:
+        both = refusals.select("rec", F.lit(0).alias("__k"), "refusal").unionByName(declined.select("rec", F.lit(1).alias("__k"), "refusal"))
+        declined = both.groupBy("rec").agg(F.min_by("refusal", "__k").alias("refusal"))
+    served = health.select("rec").join(declined, "rec", "left_anti")
+    scored = predict(model, features.join(served, "rec", "left_semi"), names, group)
+    called = explain_rows(grid.join(served, "rec", "left_semi"), scored, names, ref, n, step, threshold)
+    call = F.struct("guess", "confidence", "ambiguous", "reason", "n_windows").alias("__call")
     found = joins.asof_nearest(rows, called.select("rec", "t", call), "rec", "t", "__call", tick, True)
-    mapped = found.withColumns({"guess": F.col("__call.guess"), "confidence": F.col("__call.confidence"), "ambiguous": F.coalesce("__call.ambiguous", F.lit(True)), "reason": F.coalesce("__call.reason", F.lit(verdict.REASONS[0]))})
-    refused = health.filter("not usable").select("rec", F.array_join("errors", "; ").alias("refusal"))
-    return verdict.verdict_projection(mapped.join(refused, "rec", "left"), ["rec", "segment", "id", "t", "refusal"])
+    mapped = found.withColumns({c: F.col(f"__call.{c}") for c in ("guess", "confidence")}).withColumns({"ambiguous": F.coalesce("__call.ambiguous", F.lit(True)), "reason": F.coalesce("__call.reason", F.lit(verdict.REASONS[0])), "n_windows": F.coalesce("__call.n_windows", F.lit(0))})
+    text, alternative = verdict.reason_texts(F.col("reason"))
+    mapped = mapped.withColumns({"reason_detail": text, "alternative": alternative})
+    seen = called.withColumn("physics", physics.swap_verdict(F.col("swaps"), mean=True))
+    seen = seen.withColumn("rest_trusted", F.lit(True)) if trusted is None else seen.join(trusted, "rec", "left").withColumn("rest_trusted", F.coalesce("rest_trusted", F.lit(False)))
+    findings = physics.plausibility_check(physics.file_stats(seen, "rec"), "rec", least_rows).groupBy("rec").agg(F.array_join(F.sort_array(F.collect_list("finding")), ",").alias("plausibility"))
+    out = mapped.join(declined, "rec", "left").join(findings, "rec", "left")
+    return verdict.verdict_projection(out, ["rec", "segment", "id", "t", "refusal"], ("n_windows", "reason_detail", "alternative", "plausibility"))
 
 
 def fault_controls(grid: DataFrame, channels: list[str], angles: tuple[str, str], score: Callable[[DataFrame], DataFrame], n: int, least_rows: int) -> DataFrame:

@@ -9,10 +9,32 @@ from recsense.functions.columns import filled, first_message, flag, ratio
 
 LOW, HIGH = 0, 10
 UNSURE, UNCOVERED = -1, 255
-#: Reasons in the order in which they are looked for.
-#: The reasons of an abstention, in the order in which they are looked for.
-REASONS = ("uncovered", "posture_shift", "out_of_distribution", "near_transition", "weight_shift_or_step", "low_excursion_gait", "amplitude_ambiguous", "model_split")
-
+#: The reasons of an abstention in the order in which they are looked for, with their texts and what the row may be instead.
+REASON_TEXTS = {
+    "uncovered": ("no full window covers this row (segment shorter than the window, or a gap)", "unknown - not enough measured signal to judge"),
+    "posture_shift": ("both thighs sit well above this recording's own standing posture: not upright", "a state outside {stand, walk}: sitting, sit-to-stand, or stand-to-sit"),
+    "out_of_distribution": ("feature values fall outside the range seen anywhere in training", "unmodelled state, or a channel mapping error - check the input columns"),
+    "near_transition": ("a predicted state change falls within one window of this row", "the other class - the boundary is real, its exact timing is not resolvable"),
+    "weight_shift_or_step": ("interleg signal crosses once in the window: the swap rule's own AMBIGUOUS verdict", "stand (a weight shift) or walk (a single step) - one leg passing the other is both"),
+    "low_excursion_gait": ("called walking, but the legs swing less than walking normally does", "stand (postural sway) or very slow shuffling gait"),
+    "amplitude_ambiguous": (
+        "the legs swing in the range where human annotators call both stand and walk, so no amplitude rule separates it and neither does a model reading amplitude",
+        "either class - the ground truth itself is not consistent in this range",
+    ),
+    "model_split": ("the ensemble is genuinely divided with no single diagnostic cause", "the other class"),
+}
+REASONS = tuple(REASON_TEXTS)
+
+
+def reason_texts(reason: Column) -> tuple[Column, Column]:
+    """The text of a reason and the alternative it leaves; empty without a reason."""
+    out = []
+    for k in range(2):
+        text = F.lit("")
+        for name, both in REASON_TEXTS.items():
+            text = F.when(reason == name, both[k]).otherwise(text)
+        out.append(text)
+    return out[0], out[1]
 
 def row_probability(rows: DataFrame, windows: DataFrame, n: int, step: int, means: list[str], key: tuple[str, ...] = ("rec", "segment")) -> DataFrame:
     """``rows`` with the mean of each of ``means`` over the windows that cover the row (null without any), and ``n_windows``.
@@ -80,10 +102,10 @@ def reason_cascade(df: DataFrame, posture_limit: float, minhalf_limit: float) ->
     return df.withColumn("reason", F.when(F.col("ambiguous"), reason).otherwise(""))
 
 
-def verdict_projection(df: DataFrame, keep: list[str]) -> DataFrame:
-    """The delivered columns: ``Label`` is the guess where committed, -1 where ambiguous, 255 where uncovered."""
+def verdict_projection(df: DataFrame, keep: list[str], more: tuple[str, ...] = ()) -> DataFrame:
+    """The delivered columns: ``Label`` is the guess where committed, -1 where ambiguous, 255 where uncovered; ``more`` come last."""
     label = F.when(F.col("guess").isNull(), UNCOVERED).when(F.col("ambiguous"), UNSURE).otherwise(F.col("guess"))
-    return df.select(*keep, label.alias("Label"), "guess", "confidence", "ambiguous", "reason")
+    return df.select(*keep, label.alias("Label"), "guess", "confidence", "ambiguous", "reason", *more)
 
 
 def rethreshold(verdicts: DataFrame, threshold: float) -> DataFrame:

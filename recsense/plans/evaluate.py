@@ -133,8 +133,8 @@ def seed_band(spark, sf_dir):
     return rounded(op.seed_band(seeds(spark, sf_dir).filter("feature_set = 'A'"), ["f1", "coverage"]), "mean", "spread")
 
 
-@query("seed_sweep", f"WITH {SEEDS} SELECT feature_set, round(avg(f1), 6) AS mean, min(f1) AS least, max(f1) AS most FROM seeds GROUP BY feature_set")
-def seed_sweep(spark, sf_dir):
+@query("seed_sweep_groups", f"WITH {SEEDS} SELECT feature_set, round(avg(f1), 6) AS mean, min(f1) AS least, max(f1) AS most FROM seeds GROUP BY feature_set")
+def seed_sweep_groups(spark, sf_dir):
     return seeds(spark, sf_dir).groupBy("feature_set").agg(F.round(F.avg("f1"), 6).alias("mean"), F.min("f1").alias("least"), F.max("f1").alias("most"))
 
 

@@ -1,13 +1,14 @@
-"""Queries on models; what a forest predicts depends on its library, so they have no SQL."""
+"""Queries on models; forests draw their cuts by hashes that SQL lacks, so they have no SQL (tests/test_trees.py grows them one by one)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from recsense.operators import model as op
-from recsense.operators import signals, timebase, verdict, windows
+from recsense.operators import signals, timebase, trees, verdict, windows
 
 from .registry import query
+from .trust import served as gate
 from .views import ev, kept
 from .windows import ANGLES, N, RATES, STEP, features, rows
 
@@ -15,13 +16,22 @@ from .windows import ANGLES, N, RATES, STEP, features, rows
 TICK, WEIGHT, BLOCK = 6 * 3600 * 1000.0, 0.3, 32
 
 
+def walks(df):
+    """Whether more rows of a window are labelled walking than standing."""
+    count = lambda c: (F.col("code") == c).cast("long")
+    known = windows.over_panes(df, N, STEP, {"nl": count(0), "nh": count(10)}, {}, {})
+    return known.select("rec", "segment", "start", F.when(F.col("nh") > F.col("nl"), 10).otherwise(0).alias("label"))
+
+
+def grouped(df):
+    return df.withColumn("grp", F.concat(F.lit("g"), (F.col("rec") % 3).cast("string")))
+
+
 def labelled(spark, sf_dir):
-    """Window features with a class that they determine in part, and a group of recordings."""
+    """Window features with the class that most of their rows are labelled with, and a group of recordings."""
     x = kept(rows(spark, sf_dir), "model-rows")
     found, names = features(x)
-    known = windows.over_panes(x, N, STEP, {"nh": (F.col("code") == 10).cast("long")}, {}, {})
-    out = found.join(known, ["rec", "segment", "start"]).withColumn("label", F.when((F.col("a_std") > 45) | (F.col("nh") > 10), 10).otherwise(0)).drop("nh")
-    return kept(out.withColumn("grp", F.concat(F.lit("g"), (F.col("rec") % 3).cast("string"))), "model-windows"), names
+    return kept(grouped(found.join(walks(x), ["rec", "segment", "start"])), "model-windows"), names
 
 
 def served(spark, sf_dir):
@@ -34,9 +44,7 @@ def served(spark, sf_dir):
     grid = kept(grid.withColumn("d", F.col("a") - F.col("b")), "grid-rows")
     found, names = features(grid)
     code = signals.grid_nearest(raw, ["rec", "segment"], ["code"], step=TICK).select("rec", "segment", F.col("k").alias("i"), "code")
-    count = lambda c: (F.col("code") == c).cast("long")
-    known = windows.over_panes(code, N, STEP, {"nl": count(0), "nh": count(10)}, {}, {}).select("rec", "segment", "start", F.when(F.col("nh") > F.col("nl"), 10).otherwise(0).alias("label"))
-    return raw, grid, health, kept(found.join(known, ["rec", "segment", "start"]), "served-windows"), names
+    return raw, grid, health, kept(grouped(found.join(walks(code), ["rec", "segment", "start"])), "served-windows"), names
 
 
 @query("fit_forest")
@@ -50,7 +58,7 @@ def fit_forest(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     data, names = labelled(spark, sf_dir)
     model = op.fit_forest(data, names, "label")
-    return verdict.feature_importance(list(model.featureImportances.toArray()), names, spark, "a_")
+    return verdict.feature_importance(trees.importances(model), names, spark, "a_")
 
 
 @query("logo_cv")
@@ -67,26 +75,33 @@ def ablation_grid(spark, sf_dir):
 
 @query("label_recordings")
 def label_recordings(spark, sf_dir):
+    """Every recording is scored by the forest that has not seen its group, unless it can't be served."""
     raw, grid, health, data, names = served(spark, sf_dir)
-    model = op.fit_forest(data, names, "label")
-    return op.label_recordings(raw, grid, health, data, names, model, op.reference(data, names, "label"), N, STEP, 0.85, TICK)
+    model = op.fit_trees(data, names, "label", "grp")
+    trusted = windows.rest_reference(grid, [*ANGLES, "d"], "d", 8, 20.0).select("rec", "rest_trusted")
+    return op.label_recordings(raw, grid, health, data, names, model, op.reference(data, names, "label"), N, STEP, 0.85, TICK, "grp", refusals(spark, sf_dir), trusted)
+
+
+def refusals(spark, sf_dir):
+    """``rec, refusal`` of the recordings that the serve gate declines."""
+    return gate(spark, sf_dir).filter("refusal is not null").select(F.col("file").alias("rec"), "refusal")
 
 
-@query("seed_sweep_forest")
-def seed_sweep_forest(spark, sf_dir):
+@query("seed_sweep")
+def seed_sweep(spark, sf_dir):
     data, names = labelled(spark, sf_dir)
     return op.seed_sweep(data, names, "label", "grp")
 
 
-@query("fault_controls_rerun")
-def fault_controls_rerun(spark, sf_dir):
+@query("fault_controls")
+def fault_controls(spark, sf_dir):
     _, grid, _, data, names = served(spark, sf_dir)
-    model, ref = op.fit_forest(data, names, "label"), op.reference(data, names, "label")
+    model, ref = op.fit_trees(data, names, "label", "grp"), op.reference(data, names, "label")
 
     def score(copy):
         x = kept(copy.withColumn("d", F.col("a") - F.col("b")), "fault-rows")
         trusted = windows.rest_reference(x, [*ANGLES, "d"], "d", 8, 20.0).select("rec", "rest_trusted")
-        scored = op.predict(model, kept(features(x)[0], "fault-windows"), names)
+        scored = op.predict(model, grouped(kept(features(x)[0], "fault-windows")), names, "grp")
         return op.explain_rows(x, scored, names, ref, N, STEP, 0.85).join(trusted, "rec")
 
     return op.fault_controls(grid, [*ANGLES, *RATES], ANGLES, score, N, N)

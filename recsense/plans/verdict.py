@@ -237,8 +237,8 @@ def plausibility_calibration(spark, sf_dir):
     return ph.plausibility_calibration(stats(spark, sf_dir), "physics_walk_frac", "model_walk_frac").withColumns({"p05": F.round("p05", 6), "median": F.round("median", 6), "r": F.round("r", 5)})
 
 
-@query("fault_controls", f"""WITH {EV}, md AS (SELECT rec, quantile_cont(a, 0.5) AS m FROM ev GROUP BY rec), x AS (SELECT rec, 'none' AS fault, a AS l, b AS r FROM ev UNION ALL SELECT rec, 'duplicated', a, a FROM ev UNION ALL SELECT e.rec, 'dead', m, b FROM ev e JOIN md USING (rec) UNION ALL SELECT rec, 'swapped', b, a FROM ev)
+@query("fault_flags", f"""WITH {EV}, md AS (SELECT rec, quantile_cont(a, 0.5) AS m FROM ev GROUP BY rec), x AS (SELECT rec, 'none' AS fault, a AS l, b AS r FROM ev UNION ALL SELECT rec, 'duplicated', a, a FROM ev UNION ALL SELECT e.rec, 'dead', m, b FROM ev e JOIN md USING (rec) UNION ALL SELECT rec, 'swapped', b, a FROM ev)
 SELECT rec, fault, round(stddev_pop(l - r), 5) AS diff_std, stddev_pop(l) < 1e-6 AS dead_channel, stddev_pop(l - r) < 1e-6 AS same_legs FROM x GROUP BY ALL""")
-def fault_controls(spark, sf_dir):
+def fault_flags(spark, sf_dir):
     x = ph.with_faults(ev(spark, sf_dir).select("rec", "a", "b"), "a", "b")
     return x.groupBy("rec", "fault").agg(F.round(F.stddev_pop(F.col("a") - F.col("b")), 5).alias("diff_std"), (F.stddev_pop("a") < 1e-6).alias("dead_channel"), (F.stddev_pop(F.col("a") - F.col("b")) < 1e-6).alias("same_legs"))
