@@ -46,12 +46,13 @@ def scan_annotated(spark, sf_dir):
     return logs.scan_annotated(spark, path, ["Time", "A", "Label"]).groupBy("Label").agg(F.count("*").alias("n"), F.round(F.sum("A"), 3).alias("a"))
 
 
-@query("transcode_cache", f"WITH {EV} SELECT count(*) AS n, round(sum(a), 2) AS a, CAST(0 AS BIGINT) AS n_again FROM ev")
+@query("transcode_cache", f"WITH {EV} SELECT count(*) AS n, round(sum(a), 2) AS a, CAST(0 AS BIGINT) AS n_again, count(DISTINCT rec % 4) AS n_files FROM ev")
 def transcode_cache(spark, sf_dir):
     raw, cache = raw_logs(spark, sf_dir), folder(spark, "cache")
-    known = logs.transcode_cache(spark, raw, cache, NAMES)
-    again = logs.listing(spark, raw).join(known, ["path", "size", "mtime"], "left_anti")
-    return spark.read.parquet(cache).agg(F.count("*").alias("n"), F.round(F.sum("02_A"), 2).alias("a")).crossJoin(again.agg(F.count("*").alias("n_again")))
+    logs.transcode_cache(spark, raw, cache, NAMES)
+    again = logs.transcode_cache(spark, raw, cache, NAMES)
+    rows = logs.Transcoded(spark, cache).read()
+    return rows.agg(F.count("*").alias("n"), F.round(F.sum("02_A"), 2).alias("a"), F.lit(again).cast("long").alias("n_again"), F.count_distinct("path").alias("n_files"))
 
 
 @query("write_verdicts", f"WITH {SCORE} SELECT rev, CAST(trial AS INTEGER) AS trial, count(*) AS n FROM score GROUP BY ALL")
