@@ -26,7 +26,11 @@ def with_median(df: DataFrame, rec: str = "rec") -> DataFrame:
 
 def time_profile(df: DataFrame, rec: str = "rec", t: str = "t", order: tuple[str, ...] = ("t", "id"), gap: float = GAP) -> DataFrame:
     """Per recording: rows, span, statistics of the intervals, rates, gaps."""
-    rows = with_median(intervals(df, rec, t, order), rec)
+    return profile_of(with_median(intervals(df, rec, t, order), rec), F.percentile("dt", 0.99), rec, t, gap)
+
+
+def profile_of(rows: DataFrame, p99: Column, rec: str, t: str, gap: float) -> DataFrame:
+    """:func:`time_profile` of rows with ``dt`` and ``med``, with an aggregate for the 99th percentile."""
     is_gap = F.col("dt") > gap * F.col("med")
     per = rows.groupBy(rec).agg(
         F.count("*").alias("n_rows"),
@@ -35,7 +39,7 @@ def time_profile(df: DataFrame, rec: str = "rec", t: str = "t", order: tuple[str
         F.first("med").alias("dt_median"),
         F.min("dt").alias("dt_min"),
         F.max("dt").alias("dt_max"),
-        F.percentile("dt", 0.99).alias("dt_p99"),
+        p99.alias("dt_p99"),
         F.coalesce(F.sum(is_gap.cast("long")), F.lit(0)).alias("n_gaps"),
         F.max(F.when(is_gap, F.col("dt"))).alias("gap_max"),
         F.coalesce(F.sum(F.when(is_gap, F.col("dt"))), F.lit(0.0)).alias("gap_total"),

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from recsense.functions.columns import flag, quantile_of, ratio
 
+from .selection import quantiles
+
 KEY = ("rec", "segment")
 #: Order in which the features come.
 BASIC = ("std", "ptp")
@@ -293,13 +295,15 @@ def rest_reference(df: DataFrame, channels: list[str], d: str, span: int, delta:
 
 
 def amplitude_band(df: DataFrame, value: str, label: str, low: str, high: str) -> DataFrame:
-    """1st percentile of the high class and 99th of the low class; infinities the wrong way round if either is empty."""
-    per = df.agg(F.percentile(F.when(F.col(label) == high, F.col(value)), 0.01).alias("a"), F.percentile(F.when(F.col(label) == low, F.col(value)), 0.99).alias("b"))
+    """1st percentile of the high class and 99th of the low class, selected exactly; infinities the wrong way round if either is empty."""
+    found = quantiles(df.filter(F.col(label).isin(low, high)), [label], value, [0.01, 0.99])
+    per = found.agg(F.max(F.when(F.col(label) == high, F.get("q", 0))).alias("a"), F.max(F.when(F.col(label) == low, F.get("q", 1))).alias("b"))
     none = F.col("a").isNull() | F.col("b").isNull()
     return per.select(F.when(none, float("inf")).otherwise(F.col("a")).alias("band_low"), F.when(none, float("-inf")).otherwise(F.col("b")).alias("band_high"))
 
 
 def reference_stats(df: DataFrame, features: list[str]) -> DataFrame:
-    """1st and 99th percentile of every feature, in one pass: ``feature, p01, p99``."""
-    row = df.agg(*[F.percentile(c, [0.01, 0.99]).alias(c) for c in features])
-    return row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.get(F.col(c), 0).alias("p01"), F.get(F.col(c), 1).alias("p99")) for c in features])).alias("x")).select("x.*")
+    """1st and 99th percentile of every feature, selected exactly in passes that all features share: ``feature, p01, p99``."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in features])).alias("x")).select("x.*")
+    names = df.sparkSession.createDataFrame([(c,) for c in features], "feature string")
+    return names.join(quantiles(long, ["feature"], "v", [0.01, 0.99]), "feature", "left").select("feature", F.get("q", 0).alias("p01"), F.get("q", 1).alias("p99"))

@@ -45,7 +45,10 @@ def usable(spark, sf_dir):
 SELECT rec, n_rows, monotonic, round(span_ms, 3) AS span_ms, round(dt_median, 3) AS dt_median, round(dt_min, 3) AS dt_min, round(dt_max, 3) AS dt_max, round(dt_p99, 2) AS dt_p99, n_gaps,
   round(gap_max, 3) AS gap_max, round(gap_total, 2) AS gap_total, round(hz_median, 9) AS hz_median, round(hz_span, 9) AS hz_span, abs(hz_median - hz_span) < 0.5 AS agree, hz_median BETWEEN 1 AND 2000 AS plausible FROM hz""")
 def time_profile(spark, sf_dir):
-    p = op.time_profile(ev(spark, sf_dir))
+    return rounded_profile(op.time_profile(ev(spark, sf_dir)))
+
+
+def rounded_profile(p):
     places = {"span_ms": 3, "dt_median": 3, "dt_min": 3, "dt_max": 3, "dt_p99": 2, "gap_max": 3, "gap_total": 2, "hz_median": 9, "hz_span": 9}
     return p.withColumns({c: F.round(c, n) for c, n in places.items()})
 
