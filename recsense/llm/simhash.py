@@ -21,11 +21,14 @@ SHINGLE, SEED, DISTANCE = 4, 42, 4
 GOLAY = 0b101011100011
 #: Bits of the three segments of a fingerprint, from the lowest; each fits a word of the code.
 SEGMENTS = (21, 21, 22)
-#: Near copies (:func:`near_copies`): words of the features whose fingerprints give keys, and of the shingles that are compared.
-KEY_WORDS, COPY_WORDS = 2, 5
-#: 64-bit fingerprints of each kind, and the bits of all of a document's compared ones in which copies may differ. At a
+#: Near copies (:func:`near_copies`): words of the features of each fingerprint that gives keys, and of the shingles that are compared.
+#: An edit changes one word, two pairs and five shingles, so fingerprints of single words seldom move; pairs also see the order.
+KEY_WORDS, COPY_WORDS = (1, 1, 1, 2), 5
+#: 64-bit fingerprints of each kind, and the bits of all of a document's compared ones in which candidates may differ. At a
 #: similarity of 0.8 the shingle vectors meet at arccos(2 * 0.8 / 1.8), so 38.7 of 256 bits differ, by 5.7 (standard deviation).
-LANES, COPY_DISTANCE = 4, 44
+LANES, COPY_DISTANCE = 4, 52
+#: Similarity of the different shingles of copies, and bits up to which it isn't looked up (at 0.75 a pair differs in 44 bits, by 6).
+COPY_SIMILARITY, SURE = 0.8, 28
 #: Columns of the compared fingerprints of near copies, and of those that give keys.
 COPY_COLUMNS = ["fp", *[f"f{k}" for k in range(1, LANES)]]
 KEY_COLUMNS = [f"k{k}" for k in range(LANES)]
@@ -78,17 +81,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def lanes(hashes: np.ndarray, width: int) -> np.ndarray:
-    """``LANES`` SimHashes of the different ``width``-word shingles of a sequence of word hashes (no words: zeros)."""
+def word_hashes(text: str | None) -> np.ndarray:
+    """Hashes of a whole text's words; words and case as in :func:`fingerprint`."""
+    return np.frombuffer(b"".join([xxhash.xxh64_digest(w, SEED) for w in (text or "").encode().lower().split()]), np.uint64)
+
+
+def shingles_of(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the different ``width``-word shingles of a sequence of word hashes (fewer words: one, none: none)."""
     if not len(hashes):
-        return np.zeros(LANES, np.uint64)
+        return np.zeros(0, np.uint64)
     n = max(1, len(hashes) - width + 1)
     shingle = np.zeros(n, np.uint64)
     for k in range(min(width, len(hashes))):
         shingle = mixed(shingle + np.uint64(GAMMA) + hashes[k : k + n])
-    shingle = np.unique(shingle)
-    counts = np.zeros(64 * LANES, np.int64)
-    step = (np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(GAMMA))[None, :]
+    return np.unique(shingle)
+
+
+def lanes(hashes: np.ndarray, width: int, n_lanes: int = LANES) -> np.ndarray:
+    """``n_lanes`` SimHashes of the different ``width``-word shingles of a sequence of word hashes (no words: zeros)."""
+    shingle = shingles_of(hashes, width)
+    if not len(shingle):
+        return np.zeros(n_lanes, np.uint64)
+    counts = np.zeros(64 * n_lanes, np.int64)
+    step = (np.arange(1, n_lanes + 1, dtype=np.uint64) * np.uint64(GAMMA))[None, :]
     for at in range(0, len(shingle), 255):  # so the counts of a part fit a byte
         wide = mixed(shingle[at : at + 255, None] + step)
         counts += np.unpackbits(wide.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
@@ -96,10 +111,9 @@ def lanes(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def sketch(text: str | None) -> np.ndarray:
-    """The compared fingerprints of a whole text, then those that give its keys; words and case as in :func:`fingerprint`."""
-    words = (text or "").encode().lower().split()
-    hashes = np.frombuffer(b"".join([xxhash.xxh64_digest(w, SEED) for w in words]), np.uint64)
-    return np.concatenate((lanes(hashes, COPY_WORDS), lanes(hashes, KEY_WORDS)))
+    """The compared fingerprints of a whole text, then those that give its keys."""
+    hashes = word_hashes(text)
+    return np.concatenate((lanes(hashes, COPY_WORDS), *[lanes(hashes, w, KEY_WORDS.count(w)) for w in sorted(set(KEY_WORDS))]))
 
 
 def sketches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -205,31 +219,32 @@ def apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def stars(members: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
-    """``(member, root)``: a tree of depth one for each component of fingerprints within ``distance``.
+def stars(members: np.ndarray, distance: int = DISTANCE, sure: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(member, other, unsure, found_by)``: trees over the components of fingerprints within ``distance``.
 
-    A row of ``members`` is a fingerprint, of one or more words of 64 bits; its first word names it.
+    A row of ``members`` is a fingerprint, of one or more words of 64 bits; its first word names it. Links of more than ``sure``
+    bits are apart from the others.
 
     A search from a member takes all its links out of what is left, so a group of close copies costs a few
     passes, not all its pairs.
     """
     members = members.reshape(len(members), -1)
     left = np.unique(members)[:, None] if members.shape[1] == 1 else np.unique(members, axis=0)
-    out_member, out_root = [], []
+    out: list[list[np.ndarray]] = [[], [], [], []]
     while len(left) > 1:
-        queue, found, left = [left[0]], [left[:1]], left[1:]
+        queue, left = [left[0]], left[1:]
         while queue and len(left):
-            near = apart(left, queue.pop()) <= distance
+            at = queue.pop()
+            bits = apart(left, at)
+            near = bits <= distance
             if near.any():
-                hit, left = left[near], left[~near]
+                hit, bits, left = left[near], bits[near], left[~near]
                 queue.extend(hit)
-                found.append(hit)
-        whole = np.concatenate(found)
-        if len(whole) > 1:
-            out_member.append(whole[1:, 0])
-            out_root.append(np.full(len(whole) - 1, whole[0, 0]))
+                for k, part in ((0, bits <= (distance if sure is None else sure)), (2, bits > (distance if sure is None else sure))):
+                    out[k].append(hit[part, 0])
+                    out[k + 1].append(np.full(int(part.sum()), at[0]))
     none = np.zeros(0, np.uint64)
-    return (np.concatenate(out_member), np.concatenate(out_root)) if out_member else (none, none)
+    return tuple(np.concatenate(x) if x else none for x in out)
 
 
 def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,13 +266,15 @@ def contract(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[member], nodes[root[member]]
 
 
-def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes], distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links within each run of equal keys; sets of members that this task has seen are not compared again."""
+def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes], distance: int, sure: int | None) -> tuple[np.ndarray, ...]:
+    """Links within each run of equal keys, as of :func:`stars`; sets of members that this task has seen are not compared again."""
     cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
     size = np.diff(cut)
     two = cut[:-1][size == 2]
-    near = apart(fp[two], fp[two + 1]) <= distance
-    a, b = [fp[two, 0][near]], [fp[two + 1, 0][near]]
+    bits = apart(fp[two], fp[two + 1])
+    limit = distance if sure is None else sure
+    parts = [bits <= limit, (bits > limit) & (bits <= distance)]
+    out = [[fp[two + k, 0][p]] for p in parts for k in (0, 1)]
     for k in np.flatnonzero(size > 2):
         members = fp[cut[k] : cut[k + 1]]
         members = members[np.lexsort(members.T)]
@@ -265,38 +282,45 @@ def _edges_of_runs(key: np.ndarray, fp: np.ndarray, seen: set[bytes], distance:
             continue
         if len(seen) < 1 << 18:
             seen.add(mark)
-        m, r = stars(members, distance)
-        a.append(m)
-        b.append(r)
-    return np.concatenate(a), np.concatenate(b)
+        for column, found in zip(out, stars(members, distance, sure), strict=True):
+            column.append(found)
+    return tuple(map(np.concatenate, out))
 
 
-def linked_by_keys(keyed: DataFrame, distance: int, most: int = BLOCK) -> DataFrame:
-    """``(a, b)`` links that connect the fingerprints which share a key as all pairs within ``distance`` would.
+def linked_by_keys(keyed: DataFrame, distance: int, most: int = BLOCK, sure: int | None = None) -> DataFrame:
+    """``(a, b, unsure)`` links that connect the fingerprints which share a key as all pairs within ``distance`` would.
 
     ``keyed`` has a key and the words of a fingerprint; the first word names it, so links are pairs of first words. Keys
     are shuffled and sorted; a task compares the members of each key as they stream by. A key with
     more than twice ``most`` members is passed on in blocks, and the pairs of its blocks are compared by tasks of
-    their own, so no group is gathered whole.
+    their own, so no group is gathered whole. Links of more than ``sure`` bits are pairs that were compared, marked ``unsure``; the others
+    may be contracted to trees over the same members.
     """
     first, *more = keyed.columns[1:]
-    schema = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), *[(c, pa.int64()) for c in more]])
-    declared = "key long, block int, a long, b long" + "".join(f", {c} long" for c in more)
+    schema = pa.schema([("key", pa.int64()), ("block", pa.int32()), ("unsure", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), *[(c, pa.int64()) for c in more]])
+    declared = "key long, block int, unsure boolean, a long, b long" + "".join(f", {c} long" for c in more)
 
-    def linked(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    def linked(a: np.ndarray, b: np.ndarray, unsure: bool) -> pa.RecordBatch:
         none = [pa.nulls(len(a), f.type) for f in schema]
-        return pa.RecordBatch.from_arrays([*none[:2], pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *none[4:]], schema=schema)
+        return pa.RecordBatch.from_arrays([*none[:2], pa.array([unsure] * len(a), pa.bool_()), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)), *none[5:]], schema=schema)
 
     def passed(fp: np.ndarray, key: int, block: int) -> pa.RecordBatch:
         n = len(fp)
         words = [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in fp.T]
-        return pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array([block] * n, pa.int32()), words[0], words[0], *words[1:]], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array([key] * n, pa.int64()), pa.array([block] * n, pa.int32()), pa.nulls(n, pa.bool_()), words[0], words[0], *words[1:]], schema=schema)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        doubts: list[np.ndarray] = []
         key, fp = np.zeros(0, np.int64), np.zeros((0, 1 + len(more)), np.uint64)
         block = 0  # blocks of the open key that were passed on
+
+        def keep(a: np.ndarray, b: np.ndarray, c: np.ndarray, d: np.ndarray) -> None:
+            held.append((a, b))
+            if len(c):
+                doubts.append(np.stack((np.minimum(c, d), np.maximum(c, d)), axis=1))
+
         for batch in batches:
             key = np.concatenate((key, batch.column(0).to_numpy(zero_copy_only=False)))
             fp = np.concatenate((fp, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1).view(np.uint64)))
@@ -307,11 +331,15 @@ def linked_by_keys(keyed: DataFrame, distance: int, most: int = BLOCK) -> DataFr
                     yield passed(fp[:end], int(key[0]), block)
                     key, fp, block = key[end:], fp[end:], 0
                 elif whole and not block:
-                    held.append(_edges_of_runs(key[:whole], fp[:whole], seen, distance))
+                    keep(*_edges_of_runs(key[:whole], fp[:whole], seen, distance, sure))
                     if sum(len(x) for x, _ in held) > HELD:
                         held = [contract(*map(np.concatenate, zip(*held, strict=True)))]
                         if len(held[0][0]) > HELD // 2:
-                            yield linked(*held.pop())
+                            yield linked(*held.pop(), False)
+                    if sum(map(len, doubts)) > HELD:
+                        doubts = [np.unique(np.concatenate(doubts), axis=0)]
+                        if len(doubts[0]) > HELD // 2:
+                            yield linked(*np.ascontiguousarray(doubts.pop().T), True)
                     key, fp = key[whole:], fp[whole:]
                 elif end >= 2 * most:
                     yield passed(fp[:most], int(key[0]), block)
@@ -322,12 +350,14 @@ def linked_by_keys(keyed: DataFrame, distance: int, most: int = BLOCK) -> DataFr
             if block:
                 yield passed(fp, int(key[0]), block)
             else:
-                held.append(_edges_of_runs(key, fp, seen, distance))
+                keep(*_edges_of_runs(key, fp, seen, distance, sure))
         if held:
-            yield linked(*contract(*map(np.concatenate, zip(*held, strict=True))))
+            yield linked(*contract(*map(np.concatenate, zip(*held, strict=True))), False)
+        if doubts:
+            yield linked(*np.ascontiguousarray(np.unique(np.concatenate(doubts), axis=0).T), True)
 
     found = written(keyed.repartition("key").sortWithinPartitions("key").mapInArrow(compare, declared), "simhash-links")
-    near = found.filter("block is null").select("a", "b").distinct()
+    near = found.filter("block is null").select("a", "b", "unsure").distinct()
     # the blocks of large keys: each block meets each other block of its key
     large = found.filter("block is not null").select("key", "block", F.col("a").alias(first), *more)
     last = large.groupBy("key").agg(F.max("block").alias("last"))
@@ -335,10 +365,11 @@ def linked_by_keys(keyed: DataFrame, distance: int, most: int = BLOCK) -> DataFr
     meet = meet.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), first, *more)
 
     def block_pair(rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = stars(np.ascontiguousarray(rows[[first, *more]].to_numpy(np.int64)).view(np.uint64), distance)
-        return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+        a, b, c, d = stars(np.ascontiguousarray(rows[[first, *more]].to_numpy(np.int64)).view(np.uint64), distance, sure)
+        one = pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64), "unsure": False})
+        return pd.concat([one, pd.DataFrame({"a": np.minimum(c, d).view(np.int64), "b": np.maximum(c, d).view(np.int64), "unsure": True})])
 
-    return near.unionByName(meet.groupBy("key", "i", "j").applyInPandas(block_pair, "a long, b long")).distinct()
+    return near.unionByName(meet.groupBy("key", "i", "j").applyInPandas(block_pair, "a long, b long, unsure boolean")).distinct()
 
 
 def keyed(distinct: DataFrame, compared: list[str], keying: list[str], triples: bool) -> DataFrame:
@@ -389,7 +420,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def links(distinct: DataFrame, most: int = BLOCK) -> DataFrame:
     """``(a, b)`` links that connect the distinct fingerprints ``fp`` as all pairs within DISTANCE would."""
-    return linked_by_keys(keyed(distinct, ["fp"], ["fp"], True), DISTANCE, most)
+    return linked_by_keys(keyed(distinct, ["fp"], ["fp"], True), DISTANCE, most).select("a", "b")
 
 
 def _grouped(rows: DataFrame, edges: DataFrame) -> DataFrame:
@@ -415,13 +446,41 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     return rows.join(component, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def shingle_sets(docs: DataFrame, text: str, doc_id: str, wanted: DataFrame) -> DataFrame:
+    """``(fp, shingles)``: of one document of each wanted ``fp`` the hashes of its different five-word shingles; ``wanted`` has ``id, fp``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            texts = [t.as_py() for t in batch.column(0)]
+            fp = np.array([sketch(t)[0] for t in texts], np.uint64).view(np.int64)
+            sets = [shingles_of(word_hashes(t), COPY_WORDS).view(np.int64) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(fp), pa.array(sets, pa.list_(pa.int64()))], names=["fp", "shingles"])
+
+    rows = docs.select(F.col(doc_id).cast("long").alias("of"), F.col(text).alias("text"))
+    rows = rows.join(wanted.select("id").distinct(), F.col("of").eqNullSafe(F.col("id")), "left_semi").select("text")
+    found = rows.mapInArrow(run, "fp long, shingles array<long>")
+    return found.join(wanted.select("fp").distinct(), "fp", "left_semi").dropDuplicates(["fp"])
+
+
+def verified(pairs: DataFrame, rows: DataFrame, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The links ``(a, b)`` of ``pairs`` whose documents share ``COPY_SIMILARITY`` of their different shingles, counted exactly."""
+    names = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    wanted = written(rows.groupBy("fp").agg(F.min("doc_id").alias("id")).join(names, "fp", "left_semi"), "simhash-wanted")
+    sets = written(shingle_sets(docs, text, doc_id, wanted), "simhash-sets")
+    one, two = (sets.select(F.col("fp").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    both = F.size(F.array_intersect("sa", "sb"))
+    share = both / (F.size("sa") + F.size("sb") - both)
+    return pairs.join(one, "a").join(two, "b").filter(share >= COPY_SIMILARITY).select("a", "b")
+
+
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per document: ``doc_id, component_id``, for copies that share about 0.8 or more of their five-word shingles.
+    """One row per document: ``doc_id, component_id``, for copies that share 0.8 or more of their five-word shingles.
 
-    A document has ``LANES`` SimHashes of its different pairs of words, which an edit hardly moves: their Golay keys
-    (an exact segment with an index of another) find the candidates. These are verified by as many SimHashes of its different
-    five-word shingles: copies differ in at most ``COPY_DISTANCE`` of all their bits. Documents whose first such SimHash is equal
-    are one.
+    A document has SimHashes of its different words and of its different pairs of words, which an edit hardly moves: their Golay keys
+    (an exact segment with an index of another) find the candidates, which differ in at most ``COPY_DISTANCE`` of the 256 bits of
+    four SimHashes of their different five-word shingles. Up to ``SURE`` bits they are copies; of the others the shingles are
+    compared one by one. Of the candidates that share a key a spanning tree is compared, not all pairs. Documents whose first such
+    SimHash is equal are one.
 
     ``component_id`` is the smallest id reachable over links. Null texts and texts without words have zeros for fingerprints,
     which link like any others; texts of fewer words than a shingle are one shingle. Rows that repeat get the same result; null ids
@@ -429,5 +488,7 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     """
     rows = written(sketches(docs, text, doc_id), "simhash-sketches")
     distinct = rows.select(*COPY_COLUMNS, *KEY_COLUMNS).distinct()
-    component = _grouped(rows, merged(linked_by_keys(keyed(distinct, COPY_COLUMNS, KEY_COLUMNS, False), COPY_DISTANCE)))
+    edges = written(linked_by_keys(keyed(distinct, COPY_COLUMNS, KEY_COLUMNS, False), COPY_DISTANCE, sure=SURE), "simhash-edges")
+    close = edges.filter("not unsure").select("a", "b").unionByName(verified(edges.filter("unsure").select("a", "b"), rows, docs, text, doc_id))
+    component = _grouped(rows, merged(close))
     return rows.select("doc_id", "fp").join(component, "fp").select("doc_id", "component_id")
