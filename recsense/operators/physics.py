@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -73,6 +75,10 @@ def antiphase(x: np.ndarray, y: np.ndarray, inside: np.ndarray) -> np.ndarray:
     return np.where(norm > 1e-9, -(u * v).sum(1) / np.where(norm > 1e-9, norm, 1), 0.0)
 
 
+def centre(pdf: pd.DataFrame, zero: str | None) -> np.ndarray | float:
+    return pdf[zero].to_numpy(float)[:, None] if zero else 0.0
+
+
 def spans(df: DataFrame, n: int, step: int, reach: int, channels: list[str]) -> DataFrame:
     """``rec, segment, start, middle, <channel arrays>`` per full window: the rows up to ``reach`` on both sides of its middle.
 
@@ -90,19 +96,20 @@ def spans(df: DataFrame, n: int, step: int, reach: int, channels: list[str]) ->
     return rows.select(*key, "start", (middle - F.col("__near")[0]["i"]).cast("int").alias("middle"), *[F.col(f"__near.{c}").alias(c) for c in channels])
 
 
-def anchor_features(around: DataFrame, left: str, right: str, fs: float, n: int, reach: int, shortest: int, longest: int, floor: float, delta: float, least_swing: float = 8.0, least_antiphase: float = 0.5) -> DataFrame:
+def anchor_features(around: DataFrame, left: str, right: str, fs: float, n: int, reach: int, shortest: int, longest: int, floor: float, delta: float, least_swing: float = 8.0, least_antiphase: float = 0.5, zero: str | None = None) -> DataFrame:
     """Per row of :func:`spans`: stride period (s), periodicity, and the adaptive verdict with its swaps and span (rows).
 
     The span is a stride long on each side of the middle, at least half a window and at most ``reach``. Where it
     isn't walking, all that is in reach decides instead if both of its halves swing, the sides are in antiphase and
-    swap twice. All rows of a batch are matrices; no row is looked at on its own.
+    swap twice. ``zero`` names the column with the recording's rest centre, which is taken off the difference of the sides before swaps
+    are counted. All rows of a batch are matrices; no row is looked at on its own.
     """
     schema = around.select("rec", "segment", "start").schema.add("period", "double").add("periodicity", "double").add("verdict", "string").add("swaps", "long").add("span", "long")
 
     def run(batches):
         for pdf in batches:
             (x, size), (y, _) = padded(pdf[left], 2 * reach), padded(pdf[right], 2 * reach)
-            place, middle, d = np.arange(2 * reach), pdf["middle"].to_numpy()[:, None], x - y
+            place, middle, d = np.arange(2 * reach), pdf["middle"].to_numpy()[:, None], x - y - centre(pdf, zero)
             known = place < size[:, None]
             lag = stride_lag(rhythm(d, known), size, shortest, longest, floor)
             half = np.where(lag > 0, np.clip(lag, n // 2, reach), n // 2)
@@ -125,8 +132,11 @@ def anchor_features(around: DataFrame, left: str, right: str, fs: float, n: int,
 AUDITED = {"periodicity": "abs", "antiphase": "abs", "grav_stab": "abs", "gyro_energy": "rel"}
 
 
-def audited_anchors(arrays: DataFrame, left: str, right: str, rate: str, shortest: int, delta: float) -> DataFrame:
-    """Per window array the audited anchors and the swap rule's verdict: ``rec, segment, start, <anchors>, verdict``."""
+def audited_anchors(arrays: DataFrame, left: str, right: str, rates: tuple[str, ...], shortest: int, delta: float, zero: str | None = None) -> DataFrame:
+    """Per window array the audited anchors and the swap rule's verdict: ``rec, segment, start, <anchors>, verdict``.
+
+    The energy is the sum of squares of all ``rates``; swaps are counted about the rest centre in the column ``zero``.
+    """
     schema = arrays.select("rec", "segment", "start").schema
     for c in AUDITED:
         schema = schema.add(c, "double")
@@ -134,12 +144,12 @@ def audited_anchors(arrays: DataFrame, left: str, right: str, rate: str, shortes
     def run(batches):
         for pdf in batches:
             width = max(map(len, pdf[left]), default=1)
-            (x, size), (y, _), (v, _) = (padded(pdf[c], width) for c in (left, right, rate))
+            (x, size), (y, _), *vs = (padded(pdf[c], width) for c in (left, right, *rates))
             known = np.arange(width) < size[:, None]
             spread = [np.sqrt(np.maximum((z * z).sum(1) / size - (z.sum(1) / size) ** 2, 0)) for z in (x, y)]
             beat = (tallest(rhythm(x, known), size, shortest) + tallest(rhythm(y, known), size, shortest)) / 2
-            verdict = np.select([(s := swaps_of(x - y, delta, known)) >= 2, s == 1], [WALKING, AMBIGUOUS], STANDING)
-            yield pdf[["rec", "segment", "start"]].reset_index(drop=True).assign(periodicity=beat, antiphase=antiphase(x, y, known), grav_stab=1 / (1 + 0.5 * (spread[0] + spread[1])), gyro_energy=(v * v).sum(1), verdict=verdict)
+            verdict = np.select([(s := swaps_of(x - y - centre(pdf, zero), delta, known)) >= 2, s == 1], [WALKING, AMBIGUOUS], STANDING)
+            yield pdf[["rec", "segment", "start"]].reset_index(drop=True).assign(periodicity=beat, antiphase=antiphase(x, y, known), grav_stab=1 / (1 + 0.5 * (spread[0] + spread[1])), gyro_energy=sum((v * v).sum(1) for v, _ in vs), verdict=verdict)
 
     return arrays.mapInPandas(run, schema.add("verdict", "string"))
 
@@ -157,16 +167,31 @@ def coherence(df: DataFrame, key: list[str], t: str, least: int = 20, most: floa
     return out.withColumn("flag", flag((F.col("windows") >= least) & (F.col("disagree_frac") > most)))
 
 
+def log_factorial(n: Column) -> Column:
+    """log n!: a sum of logs below ten, from there Stirling's series, whose next term is under 1e-12."""
+    x = n.cast("double")
+    small = F.get(F.array(*[F.lit(math.lgamma(k + 1)) for k in range(10)]), n.cast("int"))
+    series = (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x**3) + 1 / (1260 * x**5) - 1 / (1680 * x**7) + 1 / (1188 * x**9)
+    return F.when(n < 10, small).otherwise(series)
+
+
 def log_choose(n: Column, k: Column) -> Column:
-    """log of n over k, from a sum of logs folded over 1..k."""
-    return F.aggregate(F.when(k > 0, F.sequence(F.lit(1).cast("long"), k.cast("long"))).otherwise(F.array().cast("array<bigint>")), F.lit(0.0), lambda s, i: s + F.log((n - k + i).cast("double")) - F.log(i.cast("double")))
+    """log of n over k."""
+    return log_factorial(n) - log_factorial(k) - log_factorial(n - k)
 
 
 def binomial_test(k: Column, n: Column, p: Column) -> Column:
-    """Two-sided exact p-value: the sum of all outcomes no likelier than k."""
+    """Two-sided exact p-value: the sum of all outcomes no likelier than k.
+
+    Outcomes further than 40 deviations and 800 from the mean have no probability that a double holds, so those between
+    are summed, about the root of n.
+    """
     log_pmf = lambda i: log_choose(n, i) + i * F.log(p) + (n - i) * F.log(1 - p)
     limit = F.exp(log_pmf(k)) * (1 + 1e-7)
-    return F.least(F.aggregate(F.sequence(F.lit(0).cast("long"), n.cast("long")), F.lit(0.0), lambda s, i: s + F.when(F.exp(log_pmf(i)) <= limit, F.exp(log_pmf(i))).otherwise(0.0)), F.lit(1.0))
+    reach = 40 * F.sqrt(n * p * (1 - p)) + 800
+    low, high = F.greatest(F.floor(n * p - reach), F.lit(0)).cast("long"), F.least(F.ceil(n * p + reach), n).cast("long")
+    terms = F.transform(F.sequence(low, high), lambda i: F.exp(log_pmf(i)))
+    return F.least(F.aggregate(terms, F.lit(0.0), lambda s, x: s + F.when(x <= limit, x).otherwise(0.0)), F.lit(1.0))
 
 
 def band_policy(df: DataFrame, key: list[str], value: str, low: float, high: float, least: int = 20, alpha: float = 0.05) -> DataFrame:
@@ -182,13 +207,13 @@ def band_policy(df: DataFrame, key: list[str], value: str, low: float, high: flo
 def rate_invariance(one: DataFrame, two: DataFrame, key: list[str], anchors: dict[str, str], tolerance: float = 0.10, least: float = 1.0) -> DataFrame:
     """Median and 90th percentile of each anchor's change between two rates, and whether it is within tolerance.
 
-    ``abs``: the difference; ``rel``: over the first value's size plus ``least``.
+    ``abs``: the difference; ``rel``: over the first value's size plus ``least``. ``n_audited``: windows of both rates.
     """
     other = two.select(*key, *[F.col(c).alias(f"__{c}") for c in anchors])
     joined = one.join(other, key)
     change = {c: F.abs(F.col(c) - F.col(f"__{c}")) / (F.lit(1.0) if kind == "abs" else F.abs(F.col(c)) + F.lit(least)) for c, kind in anchors.items()}
-    row = joined.agg(*[F.percentile(v, [0.5, 0.9]).alias(c) for c, v in change.items()])
-    out = row.select(F.explode(F.array(*[F.struct(F.lit(c).alias("anchor"), F.get(F.col(c), 0).alias("median_change"), F.get(F.col(c), 1).alias("p90_change")) for c in anchors])).alias("x")).select("x.*")
+    row = joined.agg(F.count("*").alias("n_audited"), *[F.percentile(v, [0.5, 0.9]).alias(c) for c, v in change.items()])
+    out = row.select("n_audited", F.explode(F.array(*[F.struct(F.lit(c).alias("anchor"), F.get(F.col(c), 0).alias("median_change"), F.get(F.col(c), 1).alias("p90_change")) for c in anchors])).alias("x")).select("x.*", "n_audited")
     return out.withColumn("invariant", F.col("median_change") <= tolerance)
 
 

@@ -10,7 +10,7 @@ from recsense.operators import verdict as op
 from recsense.operators import windows as win
 
 from .registry import query
-from .views import EV, SCORE, ev, score
+from .views import EV, ev, kept, score, SCORE
 from .windows import INTERLEG, N, ROWS, STEP, r6, rows
 
 #: Scored rows with diagnostics: p missing for high tax, averaged swaps, range of the halves, posture.
@@ -120,19 +120,41 @@ def swap_verdict(spark, sf_dir):
     return diag(spark, sf_dir).groupBy(ph.swap_verdict(F.col("swaps"), True).alias("verdict")).agg(F.count("*").alias("n"))
 
 
-@query("window_anchors", f"""WITH {INTERLEG}, mh AS (SELECT rec, segment, start, min(p) AS minhalf FROM hv GROUP BY ALL)
-SELECT w.rec, w.segment, w.start, round(corr(a, b) * -1, 5) AS antiphase, round(1 / (1 + 0.5 * (stddev_pop(a) + stddev_pop(b))), 5) AS grav_stab, round(sum(va * va) / 100 + 0.00003e0, 3) AS gyro_energy, round(quantile_cont(d, 0.5) + 3e-8, 5) AS median_offset, round(max(d) - min(d), 5) AS ptp,
-  any_value(round(minhalf, 5)) AS minhalf, any_value(swaps) AS swaps, CASE WHEN any_value(swaps) = 0 THEN 'STANDING' WHEN any_value(swaps) = 1 THEN 'AMBIGUOUS' ELSE 'WALKING' END AS swap_verdict
-FROM wr w JOIN mh USING (rec, segment, start) JOIN sc USING (rec, segment, start) GROUP BY ALL""")
+#: The rest centre of the difference of the sides, and what is counted about it.
+CENTRED = INTERLEG + """, rl AS (SELECT rec, segment, count(*) AS len FROM wrow GROUP BY ALL), rwin AS (SELECT rec, segment, unnest(range(0, len - 8 + 1, 2)) AS start FROM rl WHERE len >= 8
+), rwr AS (SELECT w.start, r.* FROM rwin w JOIN wrow r ON r.rec = w.rec AND r.segment = w.segment AND r.i >= w.start AND r.i < w.start + 8
+), rsp AS (SELECT rec, segment, start, quantile_cont(d, 0.5) AS m, max(d) - min(d) AS ptp FROM rwr GROUP BY ALL
+), rst AS (SELECT w.rec, w.segment, w.start, NOT (bool_or(w.d - s.m > 20) AND bool_or(w.d - s.m < -20)) AS still FROM rwr w JOIN rsp s ON w.rec = s.rec AND w.segment = s.segment AND w.start = s.start GROUP BY ALL
+), rbs AS (SELECT *, row_number() OVER (PARTITION BY rec ORDER BY CASE WHEN segment = 0 AND start = 0 THEN 0 ELSE 1 END, ptp, segment, start) AS k FROM rsp JOIN rst USING (rec, segment, start) WHERE still
+), rz AS (SELECT w.rec, coalesce(m, wd) AS zero_d, m IS NOT NULL AS rest_trusted FROM (SELECT rec, quantile_cont(d, 0.5) AS wd FROM wrow GROUP BY rec) w LEFT JOIN rbs ON w.rec = rbs.rec AND k = 1
+), sg0 AS (SELECT w.rec, segment, start, i, CASE WHEN d - zero_d > 20 THEN 1 WHEN d - zero_d < -20 THEN -1 END AS s FROM wr w JOIN rz ON w.rec = rz.rec
+), cm0 AS (SELECT *, last_value(s IGNORE NULLS) OVER (PARTITION BY rec, segment, start ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS p FROM sg0
+), sc0 AS (SELECT rec, segment, start, CAST(sum(CASE WHEN s <> p THEN 1 ELSE 0 END) AS BIGINT) AS swaps FROM cm0 GROUP BY ALL)"""
+
+
+def rest(x):
+    """``rec, zero_d, rest_trusted``: the rest centre of the difference of the sides."""
+    return win.rest_reference(x, ["d"], "d", 8, 20.0)
+
+
+@query("window_anchors", f"""WITH {CENTRED}, mh AS (SELECT rec, segment, start, min(p) AS minhalf FROM hv GROUP BY ALL)
+SELECT w.rec, w.segment, w.start, round(corr(a, b) * -1, 5) AS antiphase, round(1 / (1 + 0.5 * (stddev_pop(a) + stddev_pop(b))), 5) AS grav_stab, round(sum(va * va) + sum(vb * vb) + 0.00003e0, 3) AS gyro_energy, round(quantile_cont(d, 0.5) + 3e-8, 5) AS median_offset, round(max(d) - min(d), 5) AS ptp,
+  any_value(round(minhalf, 5)) AS minhalf, any_value(swaps) AS swaps, CASE WHEN any_value(swaps) = 0 THEN 'STANDING' WHEN any_value(swaps) = 1 THEN 'AMBIGUOUS' ELSE 'WALKING' END AS swap_verdict, round(any_value(zero_d) + 3e-8, 5) AS interleg_center, any_value(rest_trusted) AS rest_offset_trusted
+FROM wr w JOIN mh USING (rec, segment, start) JOIN sc0 USING (rec, segment, start) JOIN rz ON w.rec = rz.rec GROUP BY w.rec, w.segment, w.start""")
 def window_anchors(spark, sf_dir):
     """The descriptors of a window that SQL can say; periodicity is in ``stride_period``."""
-    x = rows(spark, sf_dir)
+    x = kept(rows(spark, sf_dir), "anchor-rows")
     key = ["rec", "segment", "start"]
+    zero = rest(x)
     basic = win.feat_basic(x, N, STEP, ["a", "b", "d"], [])
-    energy = win.over_panes(x, N, STEP, {"e": F.col("va") ** 2}, {}, {})
+    energy = win.over_panes(x, N, STEP, {"e": F.col("va") ** 2 + F.col("vb") ** 2}, {}, {})
     median = win.window_arrays(x, N, STEP, ["d"]).select(*key, quantile_of(F.col("d"), 0.5).alias("m"))
-    out = basic.join(win.feat_corr(x, N, STEP, {"r": ("a", "b")}), key).join(energy, key).join(median, key).join(win.feat_interleg(x, N, STEP, "d", DELTA), key)
-    return out.select(*key, F.round(F.col("r") * -1, 5).alias("antiphase"), F.round(1 / (1 + 0.5 * (F.col("a_std") + F.col("b_std"))), 5).alias("grav_stab"), F.round(F.col("e") / 100 + 0.00003, 3).alias("gyro_energy"), F.round(F.col("m") + 3e-8, 5).alias("median_offset"), F.round("d_ptp", 5).alias("ptp"), F.round("minhalf", 5).alias("minhalf"), "swaps", ph.swap_verdict(F.col("swaps")).alias("swap_verdict"))
+    swaps = win.feat_interleg(x.join(zero, "rec").withColumn("d", F.col("d") - F.col("zero_d")), N, STEP, "d", DELTA).select(*key, "swaps")
+    halves = win.over_panes(x, N // 2, STEP, {}, {"lo": F.col("d")}, {"hi": F.col("d")}).select("rec", "segment", F.col("start").alias("h"), (F.col("hi") - F.col("lo")).alias("p"))
+    first, second = halves.withColumnRenamed("h", "start"), halves.select("rec", "segment", (F.col("h") - N // 2).alias("start"), F.col("p").alias("q"))
+    minhalf = first.join(second, key).select(*key, F.least("p", "q").alias("minhalf"))
+    out = basic.join(win.feat_corr(x, N, STEP, {"r": ("a", "b")}), key).join(energy, key).join(median, key).join(swaps, key).join(minhalf, key).join(zero, "rec")
+    return out.select(*key, F.round(F.col("r") * -1, 5).alias("antiphase"), F.round(1 / (1 + 0.5 * (F.col("a_std") + F.col("b_std"))), 5).alias("grav_stab"), F.round(F.col("e") + 0.00003, 3).alias("gyro_energy"), F.round(F.col("m") + 3e-8, 5).alias("median_offset"), F.round("d_ptp", 5).alias("ptp"), F.round("minhalf", 5).alias("minhalf"), "swaps", ph.swap_verdict(F.col("swaps")).alias("swap_verdict"), F.round(F.col("zero_d") + 3e-8, 5).alias("interleg_center"), F.col("rest_trusted").alias("rest_offset_trusted"))
 
 
 #: At 16 rows a second: rows on both sides of a window's middle that a span may reach (3 s), shortest and longest stride, and the swap threshold.
@@ -140,8 +162,9 @@ REACH, SHORTEST, LONGEST, DELTA = 48, 2, 12, 20.0
 
 
 def anchors(spark, sf_dir):
-    around = ph.spans(rows(spark, sf_dir), N, STEP, REACH, ["a", "b"])
-    return ph.anchor_features(around, "a", "b", 16.0, N, REACH, SHORTEST, LONGEST, 0.35, DELTA)
+    x = kept(rows(spark, sf_dir), "anchor-rows")
+    around = ph.spans(x, N, STEP, REACH, ["a", "b"]).join(rest(x).select("rec", "zero_d"), "rec")
+    return ph.anchor_features(around, "a", "b", 16.0, N, REACH, SHORTEST, LONGEST, 0.35, DELTA, zero="zero_d")
 
 
 @query("stride_period")
@@ -197,19 +220,21 @@ def rate_invariance(spark, sf_dir):
     from recsense.operators import timebase
 
     seg = timebase.gap_segments(ev(spark, sf_dir))
+    zero = rest(kept(rows(spark, sf_dir), "audit-rows")).select("rec", "zero_d")
 
     # windows of 32 grid points against the same windows halved by the FIR, with 20 real points on both sides
-    n, context = 32, 20
-    grid = signals.grid_linear(seg, KEY, ["a", "b"], step=GRID).withColumn("va", F.col("a") - 50.0)
-    window = lambda df, i, size: win.window_arrays(df.withColumnRenamed(i, "i"), size, size, ["a", "b", "va"]).withColumn("start", F.floor(F.col("start") / size).cast("long"))
-    native = ph.audited_anchors(window(grid, "k", n), "a", "b", "va", SHORTEST, DELTA)
+    n, context, names = 32, 20, ("a", "b", "va", "vb")
+    grid = signals.grid_linear(seg, KEY, ["a", "b"], step=GRID).withColumns({"va": F.col("a") - 50.0, "vb": F.col("b") - 50.0})
+    grid = kept(grid.select(*KEY, "k", *names), "audit-grid")
+    window = lambda df, i, size: win.window_arrays(df.withColumnRenamed(i, "i"), size, size, list(names)).withColumn("start", F.floor(F.col("start") / size).cast("long")).join(zero, "rec")
+    native = kept(ph.audited_anchors(window(grid, "k", n), "a", "b", names[2:], SHORTEST, DELTA, "zero_d"), "audit-native")
     ends = grid.groupBy(*KEY).agg(F.max("k").alias("end"))
+    walking = F.col("verdict") == ph.WALKING
     inside = (F.col("start") * n >= context) & ((F.col("start") + 1) * n + context <= F.col("end") + 1)
-    native = native.filter(F.col("verdict") == ph.WALKING).join(ends, KEY).filter(inside)
-    halved = [signals.decimate_fir(grid, KEY, c, 2) for c in ("a", "b", "va")]
-    half = halved[0].join(halved[1], [*KEY, "j"]).join(halved[2], [*KEY, "j"])
-    half = ph.audited_anchors(window(half, "j", n // 2), "a", "b", "va", SHORTEST // 2, DELTA)
-    found = ph.rate_invariance(native, half, ["rec", "segment", "start"], ph.AUDITED)
+    half = ph.audited_anchors(window(signals.decimate_channels(grid, KEY, list(names), 2), "j", n // 2), "a", "b", names[2:], SHORTEST // 2, DELTA, "zero_d")
+    found = ph.rate_invariance(native.filter(walking).join(ends, KEY).filter(inside), half, ["rec", "segment", "start"], ph.AUDITED)
+    counts = native.agg(F.count("*").alias("n_windows"), F.coalesce(F.sum(walking.cast("long")), F.lit(0)).alias("n_walking"))
+    found = found.crossJoin(F.broadcast(counts)).withColumn("n_skipped", F.col("n_walking") - F.col("n_audited"))
     return found.withColumns({"median_change": F.round("median_change", 4), "p90_change": F.round("p90_change", 4)})
 
 

@@ -44,6 +44,7 @@ def test_rate_invariance_reports_each_anchor(spark):
     rows = {r.anchor: r for r in plans.queries()["rate_invariance"](spark, SF).collect()}
     assert set(rows) == {"periodicity", "antiphase", "grav_stab", "gyro_energy"}
     assert not rows["gyro_energy"].invariant and all(0 <= r.median_change <= r.p90_change for r in rows.values())
+    assert all(r.n_windows >= r.n_walking == r.n_audited + r.n_skipped and r.n_audited > 0 for r in rows.values())
 
 
 def test_feature_vector_has_all_features_of_every_window(spark):

@@ -16,9 +16,9 @@ def lag_products(x, k):
     return sum((x[i] - m) * (x[i + k] - m) for i in range(len(x) - k))
 
 
-def scalar_cell(left, right, c):
+def scalar_cell(left, right, c, zero=0.0):
     a, b = max(0, c - REACH), min(len(left), c + REACH)
-    d = [x - y for x, y in zip(left, right, strict=True)]
+    d = [x - y - zero for x, y in zip(left, right, strict=True)]
     around, base = d[a:b], lag_products(d[a:b], 0)
     acf = {k: lag_products(around, k) / base for k in range(SHORTEST, min(LONGEST, len(around) - 1) + 1)} if base > 1e-9 else {}
     lag = None
@@ -94,7 +94,7 @@ def test_rate_audit_tells_sums_from_shapes(spark, walk):
 
     def table(df, i, n, shortest):
         arrays = windows.window_arrays(df.withColumnRenamed(i, "i"), n, n, ["a", "b", "v"]).withColumn("start", (F.col("start") / n).cast("long"))
-        return physics.audited_anchors(arrays, "a", "b", "v", shortest, DELTA)
+        return physics.audited_anchors(arrays, "a", "b", ("v",), shortest, DELTA)
 
     native = table(grid, "k", N, SHORTEST)
     assert {r.verdict for r in native.collect()} == {"STANDING", "WALKING"}
@@ -117,3 +117,54 @@ def test_windows_halved_with_context_equal_a_scalar_filter(spark):
     h = np.asarray(signals.taps(2))
     want = [sum(h[j] * x[k + j - len(h) // 2] for j in range(len(h))) for k in range(200, 400, 2)]
     assert np.allclose(got[1], want)
+
+
+def test_legs_that_rest_apart_swap_about_their_centre(spark, walk):
+    """One leg rests 10 degrees off: without the centre other verdicts come out, with it those of the scalar walk."""
+    left, right = walk[0] + 10.0, walk[1]
+    around = physics.spans(frame(spark, (left, right)), N, STEP, REACH, ["a", "b"]).withColumn("zero_d", F.lit(10.0))
+    run = lambda zero: physics.anchor_features(around, "a", "b", FS, N, REACH, SHORTEST, LONGEST, FLOOR, DELTA, zero=zero).orderBy("start").collect()
+    got, off = run("zero_d"), run(None)
+    for r in got:
+        _, verdict, swaps, span = scalar_cell(left.tolist(), right.tolist(), r.start + N // 2, 10.0)
+        assert (r.verdict, r.swaps, r.span) == (verdict, swaps, span)
+    assert [r.swaps for r in got] != [r.swaps for r in off]
+    from recsense.operators import windows
+
+    both = frame(spark, (left, right)).filter("rec = 'r'").withColumns({"v": F.col("a") * 3, "u": F.col("b") * 2, "d": F.col("a") - F.col("b")})
+    zero = windows.rest_reference(both, ["d"], "d", 300, DELTA)
+    assert abs(zero.first().zero_d - 10.0) < 0.3 and zero.first().rest_trusted
+    arrays = windows.window_arrays(both, N, N, ["a", "b", "v", "u"]).join(zero, "rec")
+    one = {r.start: r for r in physics.audited_anchors(arrays, "a", "b", ("v", "u"), SHORTEST, DELTA, "zero_d").collect()}
+    energy = (left[:N] * 3) ** 2 + (right[:N] * 2) ** 2
+    assert one[0].verdict == "STANDING" and math.isclose(one[0].gyro_energy, energy.sum(), rel_tol=1e-9)
+
+
+def test_binomial_tail_of_a_million_windows(spark):
+    """The two-sided tail equals sums of exact terms, and a million outcomes take seconds."""
+    rows = [(k, n, p) for n, p in ((0, 0.3), (1, 0.5), (9, 0.2), (10, 0.5), (60, 0.35), (400, 0.71)) for k in {0, n // 3, n // 2, n}]
+    df = spark.createDataFrame(rows, "k long, n long, p double")
+    for r in df.withColumn("got", physics.binomial_test(F.col("k"), F.col("n"), F.col("p"))).collect():
+        pmf = [math.comb(r.n, i) * r.p**i * (1 - r.p) ** (r.n - i) for i in range(r.n + 1)]
+        assert math.isclose(r.got, min(1.0, sum(f for f in pmf if f <= pmf[r.k] * (1 + 1e-7))), rel_tol=1e-9, abs_tol=1e-14)
+    import time
+
+    big = spark.createDataFrame([(500_900, 1_000_000, 0.5)], "k long, n long, p double")
+    began = time.time()
+    got = big.select(physics.binomial_test(F.col("k"), F.col("n"), F.col("p")).alias("p")).first().p
+    assert time.time() - began < 20 and abs(got - math.erfc(899.5 / 500 / math.sqrt(2))) < 1e-4
+
+
+def test_decimation_in_blocks_equals_a_scalar_filter(spark):
+    rng = np.random.default_rng(9)
+    series = {"r": rng.normal(size=(733, 2)), "s": rng.normal(size=(3, 2)), None: rng.normal(size=(41, 2))}
+    grid = spark.createDataFrame([(n, k, *map(float, v)) for n, x in series.items() for k, v in enumerate(x)], "rec string, k long, x double, y double").filter("rec <> 'r' or rec is null or k <> 300")
+    series["r"][300] = 0.0
+    for q, block in ((2, 16), (5, 7), (2, 512)):
+        h = np.asarray(signals.taps(q))
+        got = {(r.rec, r.j): (r.x, r.y) for r in signals.decimate_channels(grid, ["rec"], ["x", "y"], q, block).collect()}
+        assert len(got) == sum((len(x) - 1) // q + 1 for x in series.values())
+        for (n, j), v in got.items():
+            x = series[n]
+            want = sum(h[i] * x[j * q + i - len(h) // 2] for i in range(len(h)) if 0 <= j * q + i - len(h) // 2 < len(x))
+            assert np.allclose(v, want, atol=1e-12)
