@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsense.functions.columns import filled, flag
+from recsense.functions.columns import filled, flag, ratio
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, key: str, t: str, value: str, tolerance: float, inclusive: bool, missing: Column | None = None) -> DataFrame:
@@ -53,21 +53,63 @@ def predicted_changes(df: DataFrame, key: list[str], t: str, value: str) -> Data
     return rows.filter(F.col(value) != F.col("__v")).select(*key, ((F.col(t) + F.col("__t")) / 2.0).alias(t), F.col("__v").alias("before"), F.col(value).alias("after"))
 
 
-def find_transitions(found: DataFrame, key: list[str], classes: tuple[int, int] = (0, 10), unsure: int = -1, flank: int = 2) -> DataFrame:
-    """Boundaries between the two classes, directly or over one run of ``unsure``, out of :func:`runs`.
+#: Names of the classes in a direction.
+CLASS_NAMES = {0: "stand", 10: "walk"}
 
-    ``boundary`` is the row in the middle, ``width`` the rows of the unsure run; those whose flanking runs are
-    shorter than ``flank`` rows are rejected.
+
+def find_transitions(rows: DataFrame, key: list[str], order: list[str], t: str, truth: str, guess: str, reason: str, window: float, flank: float = 1.0, edge: float = 1.0, tight: float = 0.5, unsure: int = -1, near: str = "near_transition") -> DataFrame:
+    """Annotated boundaries between the two classes, directly or over one run of ``unsure``, with the model's timing.
+
+    Times are in ms, ``flank``, ``edge`` and ``tight`` in windows of ``window`` ms. ``key`` names a segment, so no boundary
+    spans a gap. Gives ``key, direction, t_truth_s, width_s, flank_before_s, flank_after_s, offset_s`` (of the nearest change of the
+    guess, of equals the earlier; positive is late; null without any), ``flagged`` (a row within ``tight`` has the reason ``near``)
+    and ``rejected``: ``short_flank`` where a run beside it is shorter than ``flank``, else ``near_segment_edge`` where the boundary is closer
+    than ``edge`` to an end of the segment, else null. Rejected ones have no offset and no flag. Null truths are runs of their own.
     """
-    w = Window.partitionBy(*key).orderBy("run")
-    nxt = {n: F.lead(F.struct("code", "start", "stop"), n).over(w) for n in (1, 2)}
-    rows = found.withColumn("__n", nxt[1]).withColumn("__m", nxt[2]).filter(F.col("code").isin(*classes))
-    over = flag(F.col("__n.code") == unsure)
-    to = F.when(over, F.col("__m")).otherwise(F.col("__n"))
-    rows = rows.withColumn("__to", to).filter(flag(F.col("__to.code").isin(*classes) & (F.col("__to.code") != F.col("code"))))
-    width = F.col("__to.start") - F.col("stop")
-    short = (F.col("stop") - F.col("start") < flank) | (F.col("__to.stop") - F.col("__to.start") < flank)
-    return rows.select(*key, F.col("code").alias("from_code"), F.col("__to.code").alias("to_code"), ((F.col("stop") + F.col("__to.start")) / 2.0).alias("boundary"), width.alias("width"), short.alias("rejected"))
+    w = Window.partitionBy(*key).orderBy(*order)
+    first = F.row_number().over(w) == 1
+    marked = rows.select(*key, *dict.fromkeys([*order, t]), truth).withColumn("__c", (first | ~F.col(truth).eqNullSafe(F.lag(truth).over(w))).cast("long"))
+    marked = marked.withColumn("run", F.sum("__c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    found = marked.groupBy(*key, "run").agg(F.first(truth).alias("v"), F.min(t).alias("t0"), F.max(t).alias("t1"))
+    by_run = Window.partitionBy(*key).orderBy("run")
+    nxt = {n: F.lead(F.struct("v", "t0", "t1"), n).over(by_run) for n in (1, 2)}
+    whole = Window.partitionBy(*key)
+    runs_ = found.select("*", nxt[1].alias("n"), nxt[2].alias("m"), F.min("t0").over(whole).alias("low"), F.max("t1").over(whole).alias("high"))
+    to = F.when(flag(F.col("n.v") == unsure), F.col("m")).otherwise(F.col("n"))
+    classes = list(CLASS_NAMES)
+    pairs = runs_.filter(F.col("v").isin(classes)).withColumn("to", to).filter(flag(F.col("to.v").isin(classes) & (F.col("to.v") != F.col("v"))))
+    at = (F.col("t1") + F.col("to.t0")) / 2.0
+    before, after = F.col("t1") - F.col("t0"), F.col("to.t1") - F.col("to.t0")
+    cause = F.when((before < flank * window) | (after < flank * window), "short_flank").when((at - F.col("low") < edge * window) | (F.col("high") - at < edge * window), "near_segment_edge")
+    name = lambda c: F.when(c == classes[0], CLASS_NAMES[classes[0]]).otherwise(CLASS_NAMES[classes[1]])
+    points = pairs.select(*key, F.concat(name(F.col("v")), F.lit("->"), name(F.col("to.v"))).alias("direction"), at.alias(t), (F.col("to.t0") - F.col("t1")).alias("width"), before.alias("before"), after.alias("after"), cause.alias("rejected"))
+    points = points.withColumn("__key", F.struct(*key))
+    changes = predicted_changes(rows, key, t, guess).select(F.struct(*key).alias("__key"), t)
+    timed = nearest_event(points.filter("rejected is null"), changes, "__key", t)
+    spots = timed.withColumns({"__s": F.col(t), "__e": F.col(t)})
+    marks = rows.filter(F.col(reason) == near).select(F.struct(*key).alias("__key"), t)
+    hit = contains_event(spots, marks, "__key", "__s", "__e", t, tight * window, 2 * tight * window)
+    out = hit.unionByName(points.filter("rejected is not null"), allowMissingColumns=True)
+    s3 = lambda c: F.round(c / 1000.0, 3)
+    return out.select(*key, "direction", s3(F.col(t)).alias("t_truth_s"), s3(F.col("width")).alias("width_s"), s3(F.col("before")).alias("flank_before_s"), s3(F.col("after")).alias("flank_after_s"), s3(F.col("offset")).alias("offset_s"), F.col("hit").alias("flagged"), "rejected")
+
+
+def transition_summary(trans: DataFrame, window_s: float, by: list[str] | None = None, tight: float = 0.5, loose: float = 1.0) -> DataFrame:
+    """Statistics of :func:`find_transitions` over all boundaries, or per ``by``: rejections by cause, directions, widths, flags and timing (positive is late)."""
+    on = F.col("rejected").isNull()
+    n = lambda c: F.sum(flag(c).cast("long"))
+    width, off = F.when(on, F.col("width_s")), F.when(on, F.col("offset_s"))
+    size = F.abs(off)
+    out = trans.groupBy(*(by or [])).agg(
+        n(on).alias("n_timeable"), n(F.col("rejected") == "short_flank").alias("n_short_flank"), n(F.col("rejected") == "near_segment_edge").alias("n_near_edge"),
+        n(on & (F.col("direction") == "stand->walk")).alias("n_stand_walk"), n(on & (F.col("direction") == "walk->stand")).alias("n_walk_stand"),
+        F.percentile(width, 0.5).alias("width_median"), F.avg(width).alias("width_mean"), F.percentile(width, 0.9).alias("width_p90"), F.max(width).alias("width_max"), n(width == 0).alias("n_zero_width"),
+        n(on & F.col("flagged")).alias("n_flagged"), F.count(off).alias("n_timed"), n(on & F.col("offset_s").isNull()).alias("n_no_change"),
+        F.percentile(off, 0.5).alias("offset_median"), F.percentile(size, 0.5).alias("offset_abs_median"), F.percentile(size, 0.9).alias("offset_abs_p90"),
+        n(size <= tight * window_s).alias("n_tight"), n(size <= loose * window_s).alias("n_loose"), n(off > 0).alias("n_late"), n(off < 0).alias("n_early"),
+    )
+    shares = {"frac_flagged": ("n_flagged", "n_timeable"), "frac_tight": ("n_tight", "n_timed"), "frac_loose": ("n_loose", "n_timed")}
+    return out.withColumns({c: ratio(F.col(a), F.col(b)) for c, (a, b) in shares.items()})
 
 
 def nearest_event(points: DataFrame, events: DataFrame, key: str, t: str) -> DataFrame:

@@ -9,7 +9,7 @@ from recsense.operators import joins as op
 from recsense.operators import timebase
 
 from .registry import query
-from .views import EV, SEG, ev, table
+from .views import EV, SEG, ev, kept, table
 
 HOUR = 3_600_000.0
 #: As-of: clicks look for the nearest purchase of their recording.
@@ -100,13 +100,30 @@ def predicted_changes(spark, sf_dir):
     return changes(spark, sf_dir)
 
 
-TRANS = RUNS + """, led AS (SELECT *, lead(code) OVER w AS c1, lead(start) OVER w AS s1, lead(stop) OVER w AS e1, lead(code, 2) OVER w AS c2, lead(start, 2) OVER w AS s2, lead(stop, 2) OVER w AS e2 FROM runs WINDOW w AS (PARTITION BY rec ORDER BY run)
-), tgt AS (SELECT *, CASE WHEN c1 = -1 THEN c2 ELSE c1 END AS tc, CASE WHEN c1 = -1 THEN s2 ELSE s1 END AS ts, CASE WHEN c1 = -1 THEN e2 ELSE e1 END AS te FROM led WHERE code IN (0, 10)
-), trans AS (SELECT rec, code AS from_code, tc AS to_code, (stop + ts) / 2.0e0 AS boundary, ts - stop AS width, (stop - start < 2 OR te - ts < 2) AS rejected FROM tgt WHERE tc IN (0, 10) AND tc <> code)"""
+#: Two-hour windows; the guess and the reasons of rows are made up from other columns.
+WINDOW = 2 * HOUR
+TRANS = SEG + """, tr AS (SELECT rec, segment, id, t, code, CASE WHEN id % 5 = 0 THEN NULL WHEN a >= 50 THEN 10 ELSE 0 END AS guess, CASE WHEN id % 3 = 0 THEN 'near_transition' ELSE '' END AS reason FROM seg
+), tc AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR code IS DISTINCT FROM lag(code) OVER w THEN 1 ELSE 0 END AS ch FROM tr WINDOW w AS (PARTITION BY rec, segment ORDER BY t, id)
+), tn AS (SELECT *, sum(ch) OVER (PARTITION BY rec, segment ORDER BY t, id ROWS UNBOUNDED PRECEDING) AS run FROM tc
+), rn AS (SELECT rec, segment, run, any_value(code) AS v, min(t) AS t0, max(t) AS t1 FROM tn GROUP BY ALL
+), led AS (SELECT *, lead(v) OVER w AS v1, lead(t0) OVER w AS a1, lead(t1) OVER w AS b1, lead(v, 2) OVER w AS v2, lead(t0, 2) OVER w AS a2, lead(t1, 2) OVER w AS b2, min(t0) OVER (PARTITION BY rec, segment) AS low, max(t1) OVER (PARTITION BY rec, segment) AS high FROM rn WINDOW w AS (PARTITION BY rec, segment ORDER BY run)
+), tgt AS (SELECT *, CASE WHEN v1 = -1 THEN v2 ELSE v1 END AS vt, CASE WHEN v1 = -1 THEN a2 ELSE a1 END AS ta, CASE WHEN v1 = -1 THEN b2 ELSE b1 END AS tb FROM led WHERE v IN (0, 10)
+), pts AS (SELECT rec, segment, concat(CASE v WHEN 0 THEN 'stand' ELSE 'walk' END, '->', CASE vt WHEN 0 THEN 'stand' ELSE 'walk' END) AS direction, (t1 + ta) / 2.0e0 AS t, ta - t1 AS width, t1 - t0 AS fb, tb - ta AS fa, low, high FROM tgt WHERE vt IN (0, 10) AND vt <> v
+), cau AS (SELECT *, CASE WHEN fb < 7200000.0e0 OR fa < 7200000.0e0 THEN 'short_flank' WHEN t - low < 7200000.0e0 OR high - t < 7200000.0e0 THEN 'near_segment_edge' END AS rejected FROM pts
+), pg AS (SELECT rec, segment, t, guess, lag(t) OVER w AS pt, lag(guess) OVER w AS pv FROM tr WHERE guess IS NOT NULL WINDOW w AS (PARTITION BY rec, segment ORDER BY t)
+), pc AS (SELECT rec, segment, (t + pt) / 2.0e0 AS t FROM pg WHERE guess <> pv
+), nr AS (SELECT c.*, b.t AS bt, f.t AS ft FROM (SELECT * FROM cau WHERE rejected IS NULL) c ASOF LEFT JOIN pc b ON c.rec = b.rec AND c.segment = b.segment AND c.t >= b.t ASOF LEFT JOIN pc f ON c.rec = f.rec AND c.segment = f.segment AND c.t <= f.t
+), of AS (SELECT *, CASE WHEN coalesce(t - bt <= ft - t, false) OR ft IS NULL THEN bt - t ELSE ft - t END AS off,
+  EXISTS (SELECT 1 FROM tr r WHERE r.rec = nr.rec AND r.segment = nr.segment AND r.reason = 'near_transition' AND abs(r.t - nr.t) <= 3600000.0e0) AS flagged FROM nr
+), trans AS (SELECT rec, segment, direction, round(t / 1000.0e0, 3) AS t_truth_s, round(width / 1000.0e0, 3) AS width_s, round(fb / 1000.0e0, 3) AS flank_before_s, round(fa / 1000.0e0, 3) AS flank_after_s, round(off / 1000.0e0, 3) AS offset_s, flagged, rejected FROM of
+  UNION ALL SELECT rec, segment, direction, round(t / 1000.0e0, 3), round(width / 1000.0e0, 3), round(fb / 1000.0e0, 3), round(fa / 1000.0e0, 3), NULL, NULL, rejected FROM cau WHERE rejected IS NOT NULL)"""
 
 
 def transitions(spark, sf_dir):
-    return op.find_transitions(code_runs(spark, sf_dir), ["rec"])
+    seg = timebase.gap_segments(ev(spark, sf_dir))
+    guess = F.when(F.col("id") % 5 != 0, F.when(F.col("a") >= 50, 10).otherwise(0))
+    rows = kept(seg.select("rec", "segment", "id", "t", "code", guess.alias("guess"), F.when(F.col("id") % 3 == 0, "near_transition").otherwise("").alias("reason")), "transition-rows")
+    return op.find_transitions(rows, ["rec", "segment"], ["t", "id"], "t", "code", "guess", "reason", WINDOW)
 
 
 @query("find_transitions", f"WITH {TRANS} SELECT * FROM trans")
@@ -114,13 +131,21 @@ def find_transitions(spark, sf_dir):
     return transitions(spark, sf_dir)
 
 
-@query("transition_summary", f"""WITH {TRANS} SELECT count(*) AS n, CAST(sum(CASE WHEN rejected THEN 1 ELSE 0 END) AS BIGINT) AS n_rejected, round(quantile_cont(CASE WHEN NOT rejected THEN width END, 0.5), 6) AS width_median,
-  round(avg(CASE WHEN NOT rejected THEN width END), 6) AS width_mean, round(quantile_cont(CASE WHEN NOT rejected THEN width END, 0.9), 6) AS width_p90, max(CASE WHEN NOT rejected THEN width END) AS width_max FROM trans""")
+@query("transition_summary", f"""WITH {TRANS}, o AS (SELECT *, rejected IS NULL AS ok, CASE WHEN rejected IS NULL THEN width_s END AS w, CASE WHEN rejected IS NULL THEN offset_s END AS f FROM trans)
+SELECT rec, count(*) FILTER (ok) AS n_timeable, count(*) FILTER (rejected = 'short_flank') AS n_short_flank, count(*) FILTER (rejected = 'near_segment_edge') AS n_near_edge,
+  count(*) FILTER (ok AND direction = 'stand->walk') AS n_stand_walk, count(*) FILTER (ok AND direction = 'walk->stand') AS n_walk_stand,
+  round(quantile_cont(w, 0.5) + 0.0000031e0, 4) AS width_median, round(avg(w) + 0.0000031e0, 4) AS width_mean, round(quantile_cont(w, 0.9) + 0.0000031e0, 4) AS width_p90, max(w) AS width_max, count(*) FILTER (w = 0) AS n_zero_width,
+  count(*) FILTER (ok AND flagged) AS n_flagged, count(f) AS n_timed, count(*) FILTER (ok AND f IS NULL) AS n_no_change,
+  round(quantile_cont(f, 0.5) + 0.0000031e0, 4) AS offset_median, round(quantile_cont(abs(f), 0.5) + 0.0000031e0, 4) AS offset_abs_median, round(quantile_cont(abs(f), 0.9) + 0.0000031e0, 4) AS offset_abs_p90,
+  count(*) FILTER (abs(f) <= 3600) AS n_tight, count(*) FILTER (abs(f) <= 7200) AS n_loose, count(*) FILTER (f > 0) AS n_late, count(*) FILTER (f < 0) AS n_early,
+  round(count(*) FILTER (ok AND flagged) / nullif(count(*) FILTER (ok), 0), 6) AS frac_flagged, round(count(*) FILTER (abs(f) <= 3600) / nullif(count(f), 0), 6) AS frac_tight, round(count(*) FILTER (abs(f) <= 7200) / nullif(count(f), 0), 6) AS frac_loose
+FROM o GROUP BY GROUPING SETS ((), (rec))""")
 def transition_summary(spark, sf_dir):
-    kept = F.when(~F.col("rejected"), F.col("width"))
-    return transitions(spark, sf_dir).agg(
-        F.count("*").alias("n"), F.sum(F.col("rejected").cast("long")).alias("n_rejected"), F.round(F.percentile(kept, 0.5), 6).alias("width_median"),
-        F.round(F.avg(kept), 6).alias("width_mean"), F.round(F.percentile(kept, 0.9), 6).alias("width_p90"), F.max(kept).alias("width_max"))
+    """Over all recordings (``rec`` null) and for each."""
+    trans = kept(transitions(spark, sf_dir), "transitions")
+    both = [op.transition_summary(trans, WINDOW / 1000.0).withColumn("rec", F.lit(None).cast("long")), op.transition_summary(trans, WINDOW / 1000.0, ["rec"])]
+    out = both[0].unionByName(both[1])
+    return out.withColumns({c: F.round(c, 6) if c.startswith("frac") else F.round(F.col(c) + 0.0000031, 4) for c, kind in out.dtypes if kind == "double" and c != "width_max"})
 
 
 NEAREST = CHANGES + """, pt AS (SELECT rec, id, t FROM ev WHERE event_type = 'error'), ne AS (
