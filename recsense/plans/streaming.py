@@ -40,11 +40,11 @@ def replay(spark, sf_dir, files: int = FILES, parts: int = PARTS, most: int = RO
     return stream, base
 
 
-@query("stream_tumbling_stats", """SELECT user_id, epoch_ms(epoch_ms(ts) // 86400000 * 86400000) AS start, count(*) AS n, round(avg(value) + 3e-8, 5) AS mean, round(max(value) - min(value), 5) AS ptp FROM events GROUP BY 1, 2""")
+@query("stream_tumbling_stats", """SELECT user_id, epoch_ms(epoch_ms(ts) // 86400000 * 86400000) AS start, count(*) AS n, round(avg(value) + 3e-8, 5) AS mean, round(max(value) - min(value), 5) AS ptp, CAST(0 AS BIGINT) AS n_dropped FROM events GROUP BY 1, 2""")
 def stream_tumbling_stats(spark, sf_dir):
     stream, base = replay(spark, sf_dir)
-    out = jobs.run_to_table(jobs.stream_tumbling_stats(stream, "user_id", "ts", "value", "1 day", "1 hour"), f"{base}/out", f"{base}/check")
-    return out.filter("user_id >= 0").select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n", F.round(F.col("mean") + 3e-8, 5).alias("mean"), F.round("ptp", 5).alias("ptp"))
+    out, dropped = jobs.run_counted(jobs.stream_tumbling_stats(stream, "user_id", "ts", "value", "1 day", "1 hour"), f"{base}/out", f"{base}/check")
+    return out.filter("user_id >= 0").select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n", F.round(F.col("mean") + 3e-8, 5).alias("mean"), F.round("ptp", 5).alias("ptp"), F.lit(dropped).cast("long").alias("n_dropped"))
 
 
 @query("stream_gap_sessions", """WITH g AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS cut FROM events), s AS (SELECT *, sum(cut) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
@@ -71,7 +71,7 @@ def stream_lowpass(spark, sf_dir):
     spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
         stream, base = replay(spark, sf_dir)
-        out = jobs.run_to_table(jobs.stream_lowpass(stream, "user_id", "ts", "value", 0.2), f"{base}/out", f"{base}/check")
+        out = jobs.run_to_table(jobs.stream_lowpass(stream, "user_id", "ts", "value", 0.2, "1 hour"), f"{base}/out", f"{base}/check")
     finally:
         spark.conf.set(key, before)
     return out.filter("user_id >= 0").select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), F.round(F.col("y") + 0.0000003, 5).alias("y"))

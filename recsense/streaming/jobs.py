@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 
 def stream_gap_sessions(rows: DataFrame, rec: str, ts: str, value: str, gap: str, late: str) -> DataFrame:
@@ -18,7 +20,7 @@ def stream_gap_sessions(rows: DataFrame, rec: str, ts: str, value: str, gap: str
 
 
 def stream_tumbling_stats(rows: DataFrame, rec: str, ts: str, value: str, width: str, late: str) -> DataFrame:
-    """Count, mean, population std and range per recording and window; rows behind the watermark are dropped (Spark counts them)."""
+    """Count, mean, population std and range per recording and window; rows behind the watermark are dropped, and :func:`run_counted` counts them."""
     per = rows.withWatermark(ts, late).groupBy(rec, F.window(ts, width).alias("w")).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.stddev_pop(value).alias("std"), (F.max(value) - F.min(value)).alias("ptp"))
     return per.select(rec, F.col("w.start").alias("start"), "n", "mean", "std", "ptp")
 
@@ -32,12 +34,28 @@ def stream_label_files(files: DataFrame, label: Callable[[DataFrame], DataFrame]
     return files.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def recursion(x: np.ndarray, before: float | None, weight: float) -> np.ndarray:
+    """y = a x + (1 - a) y before, from ``before`` (none: y0 = x0), by running sums over blocks so short that the weights stay finite."""
+    out = np.empty(len(x))
+    block = max(1, int(230 / -math.log1p(-weight)))
+    for at in range(0, len(x), block):
+        part = weight * x[at : at + block]
+        if before is None:
+            part[0], before = x[at], 0.0
+        i = np.arange(len(part))
+        fade = (1 - weight) ** i
+        out[at : at + block] = fade * np.cumsum(part / fade) + (1 - weight) ** (i + 1) * before
+        before = out[at + len(part) - 1]
+    return out
+
+
 class Lowpass(StatefulProcessor):
-    """y = a x + (1 - a) y before, per recording; y0 = x0. The state is the last y.
+    """y = a x + (1 - a) y before, per recording, in the order of event time; y0 = x0.
 
-    Rows of a recording are put in time order within a batch; batches follow each other in time. A stream can't
-    be sorted ahead of its state, so of a batch the times and samples are held (16 bytes a row); what is given
-    on goes out in chunks. The rows of a trigger bound what is held, however long a recording is.
+    Rows wait in the state until the watermark has passed them: every batch asks for a timer at its latest time, and when that
+    fires all rows up to it are there, whatever files they came in. They are then sorted, filtered from the last y on and given out.
+    So the state holds what arrived within the watermark's delay, however long a recording is. Rows behind
+    the watermark come too late for their place; Spark drops them before this, and :class:`Dropped` counts them.
     """
 
     CHUNK = 10_000
@@ -46,31 +64,96 @@ class Lowpass(StatefulProcessor):
         self.weight, self.rec, self.ts, self.x = weight, rec, ts, x
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", "y double")
+        self.waiting = handle.getListState("waiting", "ts timestamp, x double")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        parts = [(part[self.ts].to_numpy(), part[self.x].to_numpy(float)) for part in rows]
-        times, x = (np.concatenate(c) for c in zip(*parts, strict=True))
-        parts.clear()
-        order = np.argsort(times, kind="stable")
-        y = self.last.get()[0] if self.last.exists() else None
+        latest = None
+        for part in rows:
+            self.waiting.appendList([(t.to_pydatetime(), float(v)) for t, v in zip(part[self.ts], part[self.x], strict=True)])
+            latest = part[self.ts].max() if latest is None else max(latest, part[self.ts].max())
+        if latest is not None:
+            self.handle.registerTimer(millis(latest) + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        held = list(self.waiting.get()) if self.waiting.exists() else []
+        if not held:
+            return
+        times, x = pd.Series([t for t, _ in held]), np.array([v for _, v in held], float)
+        due = np.array([millis(t) for t in times]) < expiredTimerInfo.getExpiryTimeInMs()
+        if not due.any():
+            return
+        if due.all():
+            self.waiting.clear()
+        else:
+            self.waiting.put([held[k] for k in np.flatnonzero(~due)])
+        order = np.flatnonzero(due)
+        order = order[np.argsort(times.to_numpy()[order], kind="stable")]
+        y = recursion(x[order], self.last.get()[0] if self.last.exists() else None, self.weight)
+        self.last.update((float(y[-1]),))
         for start in range(0, len(order), self.CHUNK):
             take = order[start : start + self.CHUNK]
-            out = np.empty(len(take))
-            for i, v in enumerate(x[take]):
-                y = v if y is None else self.weight * v + (1 - self.weight) * y
-                out[i] = y
-            yield pd.DataFrame({self.rec: key[0], self.ts: times[take], "y": out})
-        self.last.update((float(y),))
+            yield pd.DataFrame({self.rec: key[0], self.ts: times.to_numpy()[take], "y": y[start : start + self.CHUNK]})
 
     def close(self) -> None:
         pass
 
 
-def stream_lowpass(rows: DataFrame, rec: str, ts: str, x: str, weight: float) -> DataFrame:
-    """The causal filter with its state carried from batch to batch (needs the RocksDB state store)."""
+def millis(t) -> int:
+    """Milliseconds since the epoch of a time without zone (UTC), rounded down."""
+    return (pd.Timestamp(t).value if pd.Timestamp(t).tzinfo is None else pd.Timestamp(t).tz_convert("UTC").tz_localize(None).value) // 1_000_000
+
+
+def stream_lowpass(rows: DataFrame, rec: str, ts: str, x: str, weight: float, late: str = "0 seconds") -> DataFrame:
+    """The causal filter over rows that arrive in any order within ``late`` (needs the RocksDB state store)."""
     kind = dict(rows.dtypes)
-    return rows.groupBy(rec).transformWithStateInPandas(Lowpass(weight, rec, ts, x), f"{rec} {kind[rec]}, {ts} {kind[ts]}, y double", "Append", "None")
+    return rows.withWatermark(ts, late).groupBy(rec).transformWithStateInPandas(Lowpass(weight, rec, ts, x), f"{rec} {kind[rec]}, {ts} {kind[ts]}, y double", "Append", "EventTime")
+
+
+class Dropped(StreamingQueryListener):
+    """A ledger of what state operators drop because it comes behind the watermark: ``batches`` by query name, run and number.
+
+    A filter or a session counts rows. An aggregation counts after its first step: rows of one task, window and recording are one.
+    """
+
+    def __init__(self) -> None:
+        self.batches: dict[tuple[str, str, int], int] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.batches[p.name or "", str(p.runId), p.batchId] = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self.ended.add(str(event.runId))
+
+    def total(self, run: str, patience: float = 30.0) -> int:
+        """All that a finished run has dropped; its last events may still be on their way."""
+        until = time.time() + patience
+        while run not in self.ended and time.time() < until:
+            time.sleep(0.05)
+        return sum(n for (_, r, _), n in self.batches.items() if r == run)
+
+
+def run_counted(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> tuple[DataFrame, int]:
+    """As :func:`run_to_table`, and how much was dropped behind the watermark."""
+    spark, ledger = stream.sparkSession, Dropped()
+    spark.streams.addListener(ledger)
+    try:
+        query = stream.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        run = str(query.runId)
+        query.awaitTermination()
+        return spark.read.parquet(path), ledger.total(run)
+    finally:
+        spark.streams.removeListener(ledger)
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:

@@ -1,9 +1,10 @@
 """Streams run over many batches and carry their state from one to the next."""
 
+import datetime
 import os
+import random
 
 import numpy as np
-import pandas as pd
 import pytest
 
 from recsense.plans import streaming
@@ -21,32 +22,59 @@ def test_replay_runs_in_many_batches_in_time_order(spark):
     assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:], strict=False))
 
 
-class State:
-    def __init__(self):
-        self.value = None
+@pytest.fixture
+def rocks(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield spark
+    spark.conf.set(key, before)
 
-    def exists(self):
-        return self.value is not None
 
-    def get(self):
-        return self.value
+def landed(spark, path, batches):
+    """One file a batch, in order of landing; an event at the end of time comes last."""
+    schema = "rec long, ts timestamp, x double"
+    for k, rows in enumerate([*batches, [(-1, datetime.datetime(2100, 1, 1), 0.0)]]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{path}/in/part={k:04d}")
+        for f in os.listdir(f"{path}/in/part={k:04d}"):
+            os.utime(f"{path}/in/part={k:04d}/{f}", (1_700_000_000 + k, 1_700_000_000 + k))
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
 
-    def update(self, value):
-        self.value = value
 
+def at(second):
+    return datetime.datetime(2025, 1, 1) + datetime.timedelta(seconds=second)
 
-def test_lowpass_carries_its_value_over_batches_and_chunks(monkeypatch):
-    monkeypatch.setattr(jobs.Lowpass, "CHUNK", 4)
-    x = np.random.default_rng(2).normal(size=30)
-    job = jobs.Lowpass(0.2, "rec", "ts", "x")
-    job.last = State()
-    out = []
-    for a, b in ((0, 15), (15, 30)):
-        frames = [pd.DataFrame({"rec": 1, "ts": np.arange(k, k + 5), "x": x[k : k + 5]}) for k in range(a, b, 5)]
-        for part in job.handleInputRows((1,), iter(frames[::-1]), None):
-            assert len(part) <= 4 and (part["rec"] == 1).all()
-            out += part["y"].tolist()
-    y = [x[0]]
-    for v in x[1:]:
-        y.append(0.2 * v + 0.8 * y[-1])
-    assert np.allclose(out, y)
+
+def test_shuffled_files_within_the_watermark_equal_the_batch_filter(rocks, tmp_path):
+    rng = random.Random(7)
+    rows = [(rec, at(k + rec / 10), float(rng.gauss(0, 1))) for rec in (1, 2) for k in range(120)]
+    late = sorted(rows, key=lambda r: r[1].timestamp() + rng.uniform(0, 25))  # at most 25 s out of order
+    stream = landed(rocks, str(tmp_path), [late[k : k + 16] for k in range(0, len(late), 16)])
+    out = jobs.run_to_table(jobs.stream_lowpass(stream, "rec", "ts", "x", 0.2, "30 seconds"), f"{tmp_path}/out", f"{tmp_path}/check")
+    got = {(r.rec, r.ts): r.y for r in out.filter("rec > 0").collect()}
+    assert len(got) == len(rows)
+    for rec in (1, 2):
+        y = None
+        for _, t, x in sorted(r for r in rows if r[0] == rec):
+            y = x if y is None else 0.2 * x + 0.8 * y
+            assert got[rec, t] == pytest.approx(y, abs=1e-9)
+
+
+def test_late_rows_are_dropped_and_counted(spark, tmp_path):
+    ahead = [(rec, at(1000 + rec), 1.0) for rec in range(3)]
+    behind = [(rec, at(10), 9.0) for rec in range(5)]  # five groups, an hour's window that is closed by then
+    stream = landed(spark, str(tmp_path), [[(0, at(5), 1.0)], [(r, t + datetime.timedelta(hours=3), x) for r, t, x in ahead], [(0, at(3 * 3600 + 1200), 2.0)], behind])
+    out, dropped = jobs.run_counted(jobs.stream_tumbling_stats(stream, "rec", "ts", "x", "1 hour", "1 minute"), f"{tmp_path}/out", f"{tmp_path}/check")
+    assert dropped == 5
+    assert {(r.rec, r.n) for r in out.filter("rec >= 0").collect()} == {(0, 1), (0, 2), (1, 1), (2, 1)}
+
+
+@pytest.mark.parametrize("weight", [0.001, 0.2, 0.999])
+def test_recursion_equals_a_loop(weight):
+    x = np.random.default_rng(2).normal(size=3000)
+    for before in (None, 0.7):
+        y, want = before, []
+        for v in x:
+            y = v if y is None else weight * v + (1 - weight) * y
+            want.append(y)
+        assert np.allclose(jobs.recursion(x, before, weight), want, atol=1e-12)
