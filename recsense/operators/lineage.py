@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import hashlib
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyarrow import fs
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recsense.functions.columns import flag, ratio
@@ -14,6 +21,63 @@ def input_stamps(files: DataFrame, stage: str, label: str, content: str) -> Data
     return files.select(F.col(stage).alias("stage"), F.col(label).alias("label"), F.sha2(raw, 256).alias("sha256"), F.octet_length(raw).cast("long").alias("bytes"), raw.isNull().alias("missing"))
 
 
+#: Bytes of a file that a digest reads at once.
+CHUNK = 8 << 20
+
+
+def digest_of(uri: str, chunk: int = CHUNK) -> tuple[str, int] | None:
+    """SHA-256 and size of a file of any size, in pieces of ``chunk`` bytes; null if it is gone."""
+    local = re.fullmatch("(?:file:)?/+(.*)", uri)  # names of local files come as they are, not as the rest of a URI
+    system, path = (fs.LocalFileSystem(), "/" + local[1]) if local else fs.FileSystem.from_uri(uri)
+    state, n = hashlib.sha256(), 0
+    try:
+        with system.open_input_stream(path) as stream:
+            while piece := stream.read(chunk):
+                state.update(piece)
+                n += len(piece)
+    except FileNotFoundError:
+        return None
+    return state.hexdigest(), n
+
+
+def stamp_files(spark: SparkSession, inputs: list[tuple[str, str, str]], known: DataFrame | None = None, chunk: int = CHUNK) -> DataFrame:
+    """Stamps of the files that stages consume: ``stage, label, path, sha256, bytes, mtime, missing``.
+
+    ``inputs`` are (stage, label, file or folder); a folder gives a row for each file below it. What isn't there has a row that says
+    ``missing``. Folders are listed without reading; ``known`` stamps of an earlier run are taken over where path, size and time
+    are the same. The other files are dealt out singly, and an executor streams each in pieces, so
+    size is no matter; the same file is read once however many stages name it. Spark's listing leaves out files of no bytes, so
+    those have no row.
+    """
+    rows, lost = None, []
+    for stage, label, path in inputs:
+        try:
+            found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.lit(stage).alias("stage"), F.lit(label).alias("label"), "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("mtime"))
+        except AnalysisException:
+            lost.append((stage, label, path))
+            continue
+        rows = found if rows is None else rows.unionByName(found)
+    gone = spark.createDataFrame(lost, "stage string, label string, path string").select("*", F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("long").alias("bytes"), F.lit(None).cast("timestamp").alias("mtime"), F.lit(True).alias("missing"))
+    if rows is None:
+        return gone
+    files = rows.select("path", "bytes", "mtime").distinct()
+    before = files.select("*", F.lit(None).cast("string").alias("sha256")).limit(0) if known is None else known.filter("not missing").select("path", "bytes", "mtime", "sha256").distinct()
+    files = files.join(before, ["path", "bytes", "mtime"], "left")
+
+    def digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path in batch["path"]:
+                found = digest_of(path, chunk)
+                yield pd.DataFrame({"path": [path], "read": [found and found[0]], "n": pd.array([found and found[1]], "Int64")})
+
+    stale = files.filter("sha256 is null").select("path")
+    fresh = stale.repartition(F.xxhash64("path")).mapInPandas(digests, "path string, read string, n long")
+    joined = rows.join(files.select("path", "sha256"), "path").join(fresh, "path", "left")
+    vanished = F.col("sha256").isNull() & F.col("read").isNull()
+    done = joined.select("stage", "label", "path", F.coalesce("sha256", "read").alias("sha256"), F.when(~vanished, F.coalesce("n", "bytes")).alias("bytes"), F.when(~vanished, F.col("mtime")).alias("mtime"), vanished.alias("missing"))
+    return done.unionByName(gone)
+
+
 def stale_inputs(then: DataFrame, now: DataFrame) -> DataFrame:
     """What has become of the inputs since they were stamped: changed, deleted, appeared, unstamped."""
     t = then.select("stage", "label", F.col("sha256").alias("t_sha"), F.col("missing").alias("t_missing"), F.lit(True).alias("t"))

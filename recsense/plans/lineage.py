@@ -9,10 +9,11 @@ from recsense.operators import evaluate, lineage as op, timebase
 from .census import TRIALS, trials
 from .evaluate import CURVE, G, T5
 from .registry import query
+from .sources import raw_logs
 from .timebase import FILES, USABLE, files, segments, usable
 from .trust import SAG, SERVE, record, served
 from .verdict import COH, FILE, audited, decided, stats
-from .views import SEG, score, table
+from .views import SEG, kept, score, table
 
 
 @query("input_stamps", "SELECT source AS stage, CAST(doc_id AS VARCHAR) AS label, CASE WHEN doc_id % 9 <> 0 THEN sha256(text) END AS sha256, CASE WHEN doc_id % 9 <> 0 THEN CAST(strlen(text) AS BIGINT) END AS bytes, doc_id % 9 = 0 AS missing FROM documents")
@@ -21,6 +22,19 @@ def input_stamps(spark, sf_dir):
     return op.input_stamps(d, "source", "name", "text")
 
 
+@query("file_stamps", "SELECT user_id % 4 AS session, count(*) AS n_rows, true AS same, false AS missing FROM events GROUP BY ALL")
+def file_stamps(spark, sf_dir):
+    """The logs that the events are written to, a folder a session: stamped, and stamped again from what is known."""
+    path = raw_logs(spark, sf_dir)
+    first = op.stamp_files(spark, [("clean", "logs", path), ("train", "logs", path), ("train", "model", f"{path}-none")])
+    first = kept(first, "stamps")
+    again = op.stamp_files(spark, [("clean", "logs", path)], first).select("path", F.col("sha256").alias("again"))
+    lines = spark.read.text(path, recursiveFileLookup=True).filter("value not like '01_%'").groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("n_rows"))
+    session = F.regexp_extract("path", "session=([0-9]+)", 1).cast("long")
+    found = first.filter("stage = 'train' and label = 'logs'").join(again, "path").join(lines, "path")
+    return found.groupBy(session.alias("session")).agg(F.sum("n_rows").alias("n_rows"), F.min(F.col("sha256") == F.col("again")).alias("same"), F.max("missing").alias("missing"))
+
+
 @query("stale_inputs", """SELECT source AS stage, CAST(doc_id AS VARCHAR) AS label, CASE WHEN doc_id % 12 = 0 THEN 'unstamped' WHEN doc_id % 12 = 1 THEN 'appeared' WHEN doc_id % 12 IN (2, 3) THEN 'deleted' ELSE 'changed' END AS complaint FROM documents WHERE doc_id % 12 < 5""")
 def stale_inputs(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("source", F.col("doc_id").cast("string").alias("name"), "text", (F.col("doc_id") % 12).alias("k"))
