@@ -126,9 +126,9 @@ def test_large_offsets_do_not_cancel(spark):
 
 def test_transitions_allow_one_unsure_run(spark):
     codes = [0] * 4 + [-1] * 2 + [10] * 4 + [-1, 255] + [0] * 4 + [10] + [0] * 3
-    df = spark.createDataFrame([(1, k, c) for k, c in enumerate(codes)], "rec long, id long, code int")
-    got = sorted((r.boundary, r.width, r.rejected) for r in joins.find_transitions(joins.runs(df, ["rec"], ["id"], "code"), ["rec"]).collect())
-    assert got == [(5.0, 2, False), (16.0, 0, True), (17.0, 0, True)]
+    df = spark.createDataFrame([(1, 1000.0 * k, c, 0, "") for k, c in enumerate(codes)], "rec long, t double, code int, guess int, reason string")
+    got = sorted((r.t_truth_s, r.width_s, r.rejected, r.flagged) for r in joins.find_transitions(df, ["rec"], ["t"], "t", "code", "guess", "reason", 1000.0).collect())
+    assert got == [(4.5, 3.0, None, False), (15.5, 1.0, "short_flank", None), (16.5, 1.0, "short_flank", None)]
 
 
 def test_verdict_invariants(spark):
