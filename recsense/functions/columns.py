@@ -32,12 +32,23 @@ def filled(value: Column, w: WindowSpec) -> Column:
 
 def quantile_of(values: Column, q: float) -> Column:
     """Percentile of an array's values, interpolated between neighbours; nulls don't count, NaN is the greatest."""
-    ordered = F.array_sort(F.filter(values, lambda x: x.isNotNull()))
-    last = F.size(ordered) - 1
-    at = last * F.lit(float(q))
-    low = F.floor(at).cast("int")
-    a, b = F.get(ordered, low).cast("double"), F.get(ordered, F.least(low + 1, last)).cast("double")
-    return F.when(a == b, a).otherwise(a + (b - a) * (at - low))
+
+    def of(ordered: Column) -> Column:
+        last = F.size(ordered) - 1
+        at = last * F.lit(float(q))
+        low = F.floor(at).cast("int")
+        a, b = F.get(ordered, low).cast("double"), F.get(ordered, F.least(low + 1, last)).cast("double")
+        return F.when(a == b, a).otherwise(a + (b - a) * (at - low))
+
+    # bound by a lambda, so that the array is put in order once
+    return F.get(F.transform(F.array(F.sort_array(F.filter(values, lambda x: x.isNotNull()))), of), 0)
+
+
+def quantile_at(ordered: Column, n: int, q: float) -> Column:
+    """Percentile of an ordered array of ``n`` numbers, interpolated between neighbours."""
+    low = int((n - 1) * q)
+    a, b = F.get(ordered, low), F.get(ordered, min(low + 1, n - 1))
+    return F.when(a == b, a).otherwise(a + (b - a) * ((n - 1) * q - low))
 
 
 def messages(*pairs: tuple[Column, Column | str]) -> Column:

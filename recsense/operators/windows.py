@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsense.functions.columns import flag, quantile_of, ratio
+from recsense.functions.columns import flag, quantile_at, quantile_of, ratio
 
 from .selection import quantiles
 
@@ -222,18 +222,19 @@ def feat_spectral(arrays: DataFrame, angle: str, other: str, fs: float, bands: t
     return arrays.mapInPandas(run, "rec long, segment long, start long, dominant double, band double, high_band double, cycle double, lead double")
 
 
-def feat_spectral_sides(arrays: DataFrame, left: str, right: str, fs: float, bands: tuple[float, float, float], lags: tuple[int, int], within: int) -> DataFrame:
-    """Spectral shares and cycle of both sides' window arrays and the lead of the left one, in one batched pass."""
-    names = [f"{c}_{f}" for c in (left, right) for f in ("dominant", "band", "high_band", "cycle")]
+def spectra_of_sides(fs: float, bands: tuple[float, float, float], lags: tuple[int, int], within: int):
+    """A function of both sides' window arrays: spectral shares and cycle of each and the lead of the left one, in one batched pass."""
+    names = [f"{side}_{f}" for side in ("left", "right") for f in ("dominant", "band", "high_band", "cycle")]
 
-    def run(batches):
-        for pdf in batches:
-            if len(pdf):
-                x, y = (np.stack(pdf[c].to_numpy()).astype(float) for c in (left, right))
-                values = [v for z in (x, y) for v in (*spectrum(z, fs, *bands).T, cycle(z, fs, *lags))]
-                yield pd.DataFrame({**{k: pdf[k] for k in (*KEY, "start")}, **dict(zip(names, values, strict=True)), "lead": lead_lag(x, y, fs, within)})
+    @F.pandas_udf(", ".join(f"{c} double" for c in [*names, "lead"]))
+    def run(left: pd.Series, right: pd.Series) -> pd.DataFrame:
+        if not len(left):
+            return pd.DataFrame({c: np.zeros(0) for c in [*names, "lead"]})
+        x, y = (np.stack(c.to_numpy()).astype(float) for c in (left, right))
+        values = [v for z in (x, y) for v in (*spectrum(z, fs, *bands).T, cycle(z, fs, *lags))]
+        return pd.DataFrame({**dict(zip(names, values, strict=True)), "lead": lead_lag(x, y, fs, within)})
 
-    return arrays.mapInPandas(run, "rec long, segment long, start long, " + ", ".join(f"{c} double" for c in names) + ", lead double")
+    return run
 
 
 def feature_names(angles: tuple[str, str], rates: tuple[str, str]) -> list[str]:
@@ -245,23 +246,101 @@ def feature_names(angles: tuple[str, str], rates: tuple[str, str]) -> list[str]:
     return [*names, "lead", "minhalf", "minquarter", "swaps"]
 
 
-def all_features(df: DataFrame, n: int, step: int, angles: tuple[str, str], rates: tuple[str, str], zero: DataFrame, delta: float, fs: float, bands: tuple[float, float, float], lags: tuple[int, int], within: int) -> DataFrame:
-    """Every window with all of :func:`feature_names`, both sides.
+#: Panes that one task's stretch of a segment has at least.
+STRETCH = 4096
+
+
+def stretches(df: DataFrame, n: int, step: int, panes: int = STRETCH) -> DataFrame:
+    """``df`` with ``__pane`` and ``__stretch``; the first panes of a stretch also go to the one before, whose last windows reach into them.
+
+    A segment of any length is dealt out this way: a stretch has ``panes`` panes and those of one window more.
+    """
+    halo = n // step - 1
+    panes = max(panes, halo)
+    pane = F.floor(F.col("i") / step)
+    own = F.floor(pane / panes)
+    into = F.when((own > 0) & (pane % panes < halo), F.array(own - 1, own)).otherwise(F.array(own))
+    return df.withColumns({"__pane": pane, "__stretch": F.explode(into)})
+
+
+def _pane_state(channels: tuple[str, ...], rates: tuple[str, ...], pairs: dict[str, tuple[str, str]], delta: float) -> list[Column]:
+    """What is known of a pane, from its ordered rows ``__x`` and its aggregates: central moments, extremes, ends, swaps."""
+    out = [F.col(f"{k}_{c}") for c in (*channels, "__leg") for k in ("lo", "hi")] + [F.col(f"mean_{c}") for c in channels]
+    out += [(F.col("__n") * F.col(f"var_{c}")).alias(f"m2_{c}") for c in channels] + [(F.col("__n") * F.col(f"cov_{k}")).alias(f"xy_{k}") for k in pairs]
+    for c in rates:
+        # powers from the standardised moments, which are null in a constant pane
+        second = F.col(f"var_{c}")
+        out += [F.coalesce(F.col("__n") * F.col(f"skew_{c}") * F.pow(second, F.lit(1.5)), F.lit(0.0)).alias(f"m3_{c}"), F.coalesce(F.col("__n") * (F.col(f"kurt_{c}") + 3.0) * second * second, F.lit(0.0)).alias(f"m4_{c}")]
+        x = F.col(f"__x.{c}")
+        steps = F.zip_with(F.slice(x, 2, F.size(x)), F.slice(x, 1, F.size(x) - 1), lambda p, q: (p - q) * (p - q))
+        out += [F.col(f"abs_{c}"), F.col(f"pos_{c}"), F.aggregate(steps, F.lit(0.0), lambda s, v: s + v).alias(f"dd_{c}"), F.element_at(x, 1).alias(f"first_{c}"), F.element_at(x, -1).alias(f"last_{c}")]
+    sides = F.filter(F.transform("__x.__leg", lambda v: F.when(F.isnan(v), None).when(v > delta, 1).when(v < -delta, -1)), lambda v: v.isNotNull())
+    changes = lambda v: F.aggregate(F.zip_with(F.slice(v, 2, F.size(v)), v, lambda p, q: flag(p != q).cast("long")), F.lit(0).cast("long"), lambda s, k: s + k)
+    return [*out, F.get(sides, 0).alias("side"), F.try_element_at(sides, F.lit(-1)).alias("last_side"), F.when(F.size(sides) > 0, changes(sides)).otherwise(F.lit(0).cast("long")).alias("changes")]
+
+
+def all_features(df: DataFrame, n: int, step: int, angles: tuple[str, str], rates: tuple[str, str], zero: DataFrame, delta: float, fs: float, bands: tuple[float, float, float], lags: tuple[int, int], within: int, panes: int = STRETCH) -> DataFrame:
+    """Every window with all of :func:`feature_names`, both sides, from one aggregate of panes.
 
     ``zero`` has the rest angles ``zero_x`` of both angles and ``zero_d`` of their difference (see
-    :func:`rest_reference`), from which swaps are counted.
+    :func:`rest_reference`), from which swaps are counted; recordings without them have no windows.
+
+    Rows are dealt once to stretches of segments, so that no task holds a long recording. A pane's state merges:
+    central moments and cross moments by the shift of the means, extremes, ends (for steps between panes), and swaps by the first and
+    last side and the changes between. Only percentiles and spectra need the values of a window, in its panes' arrays.
+    Null values count as NaN, which moments hand on; rows without a side, as NaN ones, are no swap. ``step`` divides ``n`` into panes whose number four divides.
     """
-    key, (left, right) = [*KEY, "start"], angles
-    rows = df.join(zero.select("rec", "zero_d"), "rec").withColumn("__leg", F.col(left) - F.col(right) - F.col("zero_d")).drop("zero_d")
-    out = feat_basic(df, n, step, list(angles), list(rates))
-    parts = [feat_corr(df, n, step, {"angle_corr": angles, "rate_corr": rates}), feat_rest_relative(df, n, step, list(angles), zero.drop("zero_d")), feat_interleg(rows, n, step, "__leg", delta)]
-    for rate in rates:
-        part = feat_moments(df, n, step, rate, fs)
-        parts.append(part.select(*key, *[F.col(c).alias(f"{rate}_{c}") for c in part.columns if c not in key]))
-    parts.append(feat_spectral_sides(window_arrays(df, n, step, list(rates)), *rates, fs, bands, lags, within))
-    for part in parts:
-        out = out.join(part, key)
-    return out.select(*key, *feature_names(angles, rates))
+    if n % step or n // step % 4:
+        raise ValueError("windows have to have a multiple of four panes")
+    key, m, channels = [*KEY, "__stretch"], n // step, (*angles, *rates)
+    pairs = {"angle_corr": angles, "rate_corr": rates}
+    zeros = [f"zero_{c}" for c in (*angles, "d")]
+    rows = df.select(*KEY, "i", *[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in channels]).join(zero.select("rec", *zeros), "rec")
+    rows = stretches(rows.withColumn("__leg", F.col(angles[0]) - F.col(angles[1]) - F.col("zero_d")), n, step, panes).repartition(*key)
+    aggs = [F.count("*").alias("__n"), F.sort_array(F.collect_list(F.struct("i", *channels, "__leg"))).alias("__x"), *[F.first(c).alias(c) for c in zeros]]
+    aggs += [f(c).alias(f"{k}_{c}") for c in (*channels, "__leg") for k, f in (("lo", F.min), ("hi", F.max))]
+    aggs += [f(c).alias(f"{k}_{c}") for c in channels for k, f in (("mean", F.avg), ("var", F.var_pop))]
+    aggs += [f(c).alias(f"{k}_{c}") for c in rates for k, f in (("skew", F.skewness), ("kurt", F.kurtosis), ("abs", lambda c: F.sum(F.abs(c))), ("pos", lambda c: F.sum((F.col(c) > 0).cast("double"))))]
+    aggs += [F.covar_pop(*p).alias(f"cov_{k}") for k, p in pairs.items()]
+    states = rows.groupBy(*key, "__pane").agg(*aggs).select(*key, "__pane", "__n", *zeros, F.col("__x"), F.struct(*_pane_state(channels, rates, pairs, delta)).alias("__p"))
+
+    frame = Window.partitionBy(*key).orderBy("__pane").rowsBetween(0, m - 1)
+    gathered = states.select(*KEY, (F.col("__pane") * step).alias("start"), F.sum("__n").over(frame).alias("__n"), *zeros, F.collect_list("__p").over(frame).alias("__p"), F.flatten(F.collect_list("__x").over(frame)).alias("__x"), (F.floor(F.col("__pane") / max(panes, m - 1)) == F.col("__stretch")).alias("__own"))
+    whole = gathered.filter((F.col("__n") == n) & F.col("__own"))
+
+    total = lambda f: F.aggregate("__p", F.lit(0.0), lambda s, p: s + f(p))
+    extreme = lambda f, k, part=None: f(F.transform("__p" if part is None else F.slice("__p", *part), lambda p: p[k]))
+    span = lambda c, part=None: extreme(F.array_max, f"hi_{c}", part) - extreme(F.array_min, f"lo_{c}", part)
+    cut = lambda parts: F.least(*[span("__leg", (k * (m // parts) + 1, m // parts)) for k in range(parts)])
+    means = {f"__m_{c}": total(lambda p, c=c: p[f"mean_{c}"]) / m for c in channels} | {f"__o_{c}": F.sort_array(F.col(f"__x.{c}")) for c in angles}
+    whole = whole.withColumns(means)
+    shift = lambda p, c: p[f"mean_{c}"] - F.col(f"__m_{c}")
+    moments = {f"__2_{c}": total(lambda p, c=c: p[f"m2_{c}"] + step * shift(p, c) * shift(p, c)) / n for c in channels}
+    moments |= {f"__r_{c}": span(c) for c in channels} | {f"__xy_{k}": total(lambda p, k=k, a=a, b=b: p[f"xy_{k}"] + step * shift(p, a) * shift(p, b)) / n for k, (a, b) in pairs.items()}
+    moments |= {f"__3_{c}": total(lambda p, c=c: p[f"m3_{c}"] + 3 * shift(p, c) * p[f"m2_{c}"] + step * F.pow(shift(p, c), F.lit(3))) / n for c in rates}
+    moments |= {f"__4_{c}": total(lambda p, c=c: p[f"m4_{c}"] + 4 * shift(p, c) * p[f"m3_{c}"] + 6 * shift(p, c) * shift(p, c) * p[f"m2_{c}"] + step * F.pow(shift(p, c), F.lit(4))) / n for c in rates}
+    whole = whole.withColumns(moments).withColumn("__s", spectra_of_sides(fs, bands, lags, within)(*[F.col(f"__x.{c}") for c in rates]))
+
+    tiny, col = F.lit(1e-300), F.col
+    out = {f"{c}_std": F.sqrt(f"__2_{c}") for c in channels} | {f"{c}_ptp": col(f"__r_{c}") for c in channels}
+    out |= {f"{c}_mean": col(f"__m_{c}") for c in rates} | {f"{c}_absmean": total(lambda p, c=c: p[f"abs_{c}"]) / n for c in rates}
+    for k, (a, b) in pairs.items():
+        r = ratio(col(f"__xy_{k}"), F.sqrt(f"__2_{a}") * F.sqrt(f"__2_{b}"))
+        out[k] = F.when((col(f"__r_{a}") == 0) | (col(f"__r_{b}") == 0), 0.0).otherwise(F.coalesce(r, F.lit(0.0)))
+    for c, side in zip(rates, ("left", "right"), strict=True):
+        constant, var = col(f"__r_{c}") == 0, col(f"__2_{c}")
+        jumps = F.zip_with(F.transform(F.slice("__p", 2, m - 1), lambda p: p[f"first_{c}"]), F.transform(F.slice("__p", 1, m - 1), lambda p: p[f"last_{c}"]), lambda x, y: (x - y) * (x - y))
+        between = F.aggregate(jumps, F.lit(0.0), lambda s, v: s + v)
+        out |= {f"{c}_{f}": col(f"__s.{side}_{f}") for f in ("dominant", "band", "high_band", "cycle")}
+        out |= {f"{c}_skew": F.when(constant, 0.0).otherwise(col(f"__3_{c}") / F.pow(F.greatest(var, tiny), F.lit(1.5))), f"{c}_kurtosis": F.when(constant, -3.0).otherwise(col(f"__4_{c}") / F.greatest(var * var, tiny) - 3.0)}
+        out |= {f"{c}_posfrac": total(lambda p, c=c: p[f"pos_{c}"]) / n, f"{c}_peakratio": extreme(F.array_max, f"hi_{c}") / (F.abs(extreme(F.array_min, f"lo_{c}")) + 1e-6), f"{c}_angacc": fs * F.sqrt((total(lambda p, c=c: p[f"dd_{c}"]) + between) / (n - 1))}
+    for c in angles:
+        low, middle, high = (quantile_at(col(f"__o_{c}"), n, q) for q in (0.05, 0.5, 0.95))
+        out |= {f"{c}_high": high - col(f"zero_{c}"), f"{c}_med": middle - col(f"zero_{c}"), f"{c}_range": high - low}
+    nothing = F.struct(F.lit(None).cast("int").alias("side"), F.lit(0).cast("long").alias("n"))
+    merge = lambda s, p: F.struct(F.coalesce(p["last_side"], s["side"]).alias("side"), (s["n"] + p["changes"] + flag(p["side"] != s["side"]).cast("long")).alias("n"))
+    out |= {"lead": col("__s.lead"), "minhalf": cut(2), "minquarter": cut(4), "swaps": F.aggregate("__p", nothing, merge)["n"]}
+    return whole.select(*KEY, "start", *[out[c].alias(c) for c in feature_names(angles, rates)])
 
 
 # --- labels, rest, reference ------------------------------------------------------------------------
