@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsense.functions.columns import filled, flag, ratio
+from recsense.functions.shared import kept
 
 
 def asof_nearest(left: DataFrame, right: DataFrame, key: str, t: str, value: str, tolerance: float, inclusive: bool, missing: Column | None = None) -> DataFrame:
@@ -132,27 +133,66 @@ def contains_event(regions: DataFrame, events: DataFrame, key: str, start: str,
     return regions.join(hits, [key, start, stop], "left").withColumn("hit", flag(F.col("hit")))
 
 
-def greedy_spread_topk(df: DataFrame, key: str, t: str, evidence: str, most: int = 12, apart: float = 5000.0, share: int = 100_000) -> DataFrame:
+#: Time cells to a distance ``apart``, and cells of a key that one pass of :func:`greedy_spread_topk` weighs.
+CELLS, CONTENDERS = 8, 256
+
+
+def contenders(rows: DataFrame, key: str, batch: int) -> DataFrame:
+    """Of rows ``key, __s, __c, __t, __r`` the best of each cell with its rows' extent in time, and of each key the ``batch`` best cells: ``key, found`` in order.
+
+    Both steps cut inside tasks before they shuffle, so a key of any size sends at most ``batch`` rows a task.
+    """
+    best = rows.groupBy(key, "__s", "__c").agg(F.min("__r").alias("__r"), F.min("__t").alias("__lo"), F.max("__t").alias("__hi"))
+    ranked = best.withColumn("__k", F.row_number().over(Window.partitionBy(key).orderBy("__r"))).filter(F.col("__k") <= batch)
+    return ranked.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("__r", "__lo", "__hi"))).alias("found"))
+
+
+def greedy_spread_topk(df: DataFrame, key: str, t: str, evidence: str, most: int = 12, apart: float = 5000.0, share: int = 100_000, batch: int = CONTENDERS) -> DataFrame:
     """Per key the rows of greatest evidence (ties: earlier), at most ``most``, none within ``apart`` of one taken.
 
     Returns ``key, taken array<struct<t, evidence>>, n_dropped``. A row that an earlier pick shadows is dropped,
-    and so is one without a time; null evidence comes last. ``most`` rounds of aggregates each take the best row
-    left of every key. Rows of a key are never gathered: they are dealt out in shares of about ``share`` rows,
-    and what travels with a share is the picks so far.
+    and so is one without a finite time; null evidence comes last, NaN before it. An empty table gives no rows.
+
+    Time is cut into cells shorter than ``apart``, of which one row at most can be taken. A pass finds the best free row of each
+    cell and walks over the best cells of each key in order. The walk takes rows until it comes to a cell whose best row
+    a pick of this pass shadows, but not all of whose rows: what is left there is not known, so the key goes on in the next pass.
+    Each pass takes a row at least of each key that goes on, mostly several. Rows are written once; of those, a pass reads the
+    keys that go on, dealt out in shares of about ``share`` rows. No more than ``batch`` cells of a key come together.
     """
     if apart <= 0:
         raise ValueError("apart has to be positive")
+    width = apart / CELLS
     counts = df.groupBy(key).agg(F.count("*").alias("__n"), F.ceil(F.count("*") / share).alias("__shares"))
-    rows = df.select(key, F.col(t).alias("__t"), F.struct(F.col(evidence).isNull().alias("n"), (-F.col(evidence)).alias("e"), F.col(t).alias("t")).alias("__r")).filter("__t is not null")
-    rows = rows.join(counts.select(key, "__shares"), key).select(key, F.pmod(F.xxhash64("__t"), "__shares").alias("__s"), "__t", "__r")
-    picks = counts.withColumn("taken", F.slice(F.array(F.struct(F.lit(True).alias("n"), F.lit(None).cast(df.schema[evidence].dataType).alias("e"), F.lit(None).cast(df.schema[t].dataType).alias("t"))), 1, 0))
-    free = ~F.exists("taken", lambda y: F.abs(y["t"] - F.col("__t")) < apart)
-    for _ in range(most):
-        held = picks.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__shares") - 1)))
-        best = held.join(rows, [key, "__s"], "left").groupBy(key, "__s").agg(F.min(F.when(free, F.col("__r"))).alias("__b"), *[F.first(c).alias(c) for c in ("__n", "__shares", "taken")])
-        best = best.groupBy(key).agg(F.min("__b").alias("__b"), *[F.first(c).alias(c) for c in ("__n", "__shares", "taken")])
-        picks = best.withColumn("taken", F.when(F.col("__b").isNotNull(), F.concat("taken", F.array("__b"))).otherwise(F.col("taken"))).drop("__b")
-    return picks.select(key, F.transform("taken", lambda x: F.struct(x["t"].alias("t"), (-x["e"]).alias("evidence"))).alias("taken"), (F.col("__n") - F.size("taken")).alias("n_dropped"))
+    rank = F.struct(F.col(evidence).isNull().alias("n"), (-F.col(evidence)).alias("e"), F.col(t).alias("t")).alias("__r")
+    rows = df.filter(F.abs(t) < float("inf")).select(key, F.floor(F.col(t) / width).alias("__c"), F.col(t).alias("__t"), rank).join(counts.select(key, "__shares"), key)
+    rows = kept(rows.select(key, F.pmod(F.xxhash64("__c"), "__shares").alias("__s"), "__c", "__t", "__r"), "spread-rows")
+    none = F.slice(F.array(F.struct(F.lit(True).alias("n"), F.lit(None).cast(df.schema[evidence].dataType).alias("e"), F.lit(None).cast(df.schema[t].dataType).alias("t"))), 1, 0)
+    picks = kept(counts.withColumns({"taken": none, "more": F.lit(True)}), "spread-picks")
+
+    def near(taken: Column, at: Column) -> Column:
+        return F.exists(taken, lambda y: F.abs(y["t"] - at) < apart)
+
+    def gone(taken: Column, c: Column) -> Column:
+        """Whether one pick shadows all rows of a cell."""
+        return F.exists(taken, lambda y: (F.abs(y["t"] - c["__lo"]) < apart) & (F.abs(y["t"] - c["__hi"]) < apart))
+
+    def step(s: Column, c: Column) -> Column:
+        over, shadowed = ~s["on"] | (F.size(s["taken"]) >= most), near(s["taken"], c["__r"]["t"])
+        taken = F.when(over | shadowed, s["taken"]).otherwise(F.concat(s["taken"], F.array(c["__r"])))
+        return F.struct(taken.alias("taken"), (s["on"] & (over | ~shadowed | gone(s["taken"], c))).alias("on"))
+
+    out, first = picks.filter("not more"), True
+    while not picks.isEmpty():
+        free = rows
+        if not first:
+            held = picks.select(key, "taken", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__shares") - 1)).alias("__s"))
+            free = rows.join(held, [key, "__s"]).filter(~near(F.col("taken"), F.col("__t"))).drop("taken")
+        walked = picks.join(contenders(free, key, batch), key, "left").withColumn("__w", F.aggregate("found", F.struct("taken", F.lit(True).alias("on")), step))
+        taken = F.coalesce("__w.taken", "taken")
+        more = flag((F.size(taken) < most) & (~F.col("__w.on") | (F.size("found") == batch)))
+        walked = kept(walked.select(key, "__n", "__shares", taken.alias("taken"), more.alias("more")), "spread-picks")
+        out, picks, first = out.unionByName(walked.filter("not more")), walked.filter("more"), False
+    return out.select(key, F.transform("taken", lambda x: F.struct(x["t"].alias("t"), (-x["e"]).alias("evidence"))).alias("taken"), (F.col("__n") - F.size("taken")).alias("n_dropped"))
 
 
 def worst_n(df: DataFrame, by: list[Column], n: int) -> DataFrame:
