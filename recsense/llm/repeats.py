@@ -238,16 +238,17 @@ def scan_blocks(docs: DataFrame, coder: Coder, shape: Shape, deal: Deal | None =
     return docs.mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", n long, old boolean, range int")
 
 
-def scan_run(run: DataFrame, deal: Deal) -> DataFrame:
-    """Blocks ``(common, whole, doc)`` of earlier batches, for the same pass."""
+def dealt(rows: DataFrame, deal: Deal) -> DataFrame:
+    """Blocks ``(common, whole, doc, n, old)`` that are written already, with their ``range``."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            common, whole = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            at = deal.place(common, common, whole)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.ones(len(at), np.int64)), pa.array(np.ones(len(at), bool)), pa.array(at)], names=["common", "whole", "doc", "n", "old", "range"])
+            common, whole, doc = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            salt = mixed(whole.view(np.uint64) ^ mixed(doc.view(np.uint64)))
+            at = deal.place(common, common, salt.view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], names=["common", "whole", "doc", "n", "old", "range"])
 
-    return run.select("common", "whole", "doc").mapInArrow(place, "common long, whole long, doc long, n long, old boolean, range int")
+    return rows.select("common", "whole", "doc", "n", "old").mapInArrow(place, "common long, whole long, doc long, n long, old boolean, range int")
 
 
 def classify(common: np.ndarray, whole: np.ndarray, doc: np.ndarray, n_of: np.ndarray, by_count: bool) -> np.ndarray:
@@ -288,24 +289,31 @@ def _as_before(values: np.ndarray) -> np.ndarray:
     return np.concatenate((np.zeros(min(1, len(values)), bool), values[1:] == values[:-1]))
 
 
-def splitters(texts: DataFrame, coder: Coder, shape: Shape, old: DataFrame | None = None) -> Deal:
-    """Deals blocks out evenly, by a sample of the blocks of all documents, and of ``old`` ones of earlier batches.
+def splitters(texts: DataFrame, coder: Coder, shape: Shape) -> Deal:
+    """Deals blocks out evenly, by a sample of the blocks of all documents."""
+    sample = written(scan_blocks(texts, coder, shape), "block-sample")
+    deal = deal_of(sample)
+    discard(sample)
+    return deal
+
+
+def sampled(rows: DataFrame) -> DataFrame:
+    """``(first, common)`` of one in SAMPLE of the blocks ``(common, whole, doc)`` that are written already."""
+    some = F.pmod(F.xxhash64("common", "whole", "doc"), F.lit(SAMPLE)) == 0
+    return rows.filter(some).select(F.col("common").alias("first"), "common")
+
+
+def deal_of(sample: DataFrame) -> Deal:
+    """Ranges from a sample ``(first, common)`` of one block in SAMPLE, which is read a few times.
 
     The number of ranges follows from the shuffle partitions and from how many blocks the sample lets expect, so
     that a range has about RANGE blocks at any size. What comes to the driver are the splitters, and at most
     HEAVY fingerprints a range.
     """
-    spark = texts.sparkSession
-    sample = scan_blocks(texts, coder, shape)
-    if old is not None:
-        some = F.pmod(F.xxhash64("common", "whole"), F.lit(SAMPLE)) == 0
-        sample = sample.unionByName(old.filter(some).select(F.col("common").alias("first"), "common"))
-    sample = written(sample, "block-sample")
     taken = sample.count()
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), taken * SAMPLE // RANGE + 1)
+    n = max(int(sample.sparkSession.conf.get("spark.sql.shuffle.partitions")), taken * SAMPLE // RANGE + 1)
     found = sample.agg(F.percentile_approx("first", [k / n for k in range(1, n)], 10 * n)).first()[0] if n > 1 else None
     heavy = sample.groupBy("common").count().filter((F.col("count") > 1) & (F.col("count") * F.lit(HEAVY * n) > taken)).select("common").collect()
-    discard(sample)
     # without a sample (a handful of blocks in all) one range holds everything
     return Deal(np.array(found or [], np.int64), np.sort(np.array([r[0] for r in heavy], np.int64)))
 

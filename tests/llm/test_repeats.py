@@ -1,15 +1,16 @@
 import hashlib
-import random
-
 import os
+import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from recsense.llm import repeats
 from recsense.llm.byte_dedup import repeated_bytes
-from recsense.llm.phrase_dedup import repeated_phrases
-from recsense.llm.repeats import Deal, leading, multikey_order
+from recsense.llm.phrase_dedup import FingerprintIndex, repeated_phrases
+from recsense.llm.repeats import Deal, Shape, keyed, leading, multikey_order
 
 
 def test_multikey_order():
@@ -152,3 +153,49 @@ def test_two_sessions_equal_one(spark, tmp_path):
     assert len(left) == 2
     blocks = spark.read.parquet(*[f"{path}/{n}" for n in left])
     assert blocks.count() == blocks.select("common", "whole").distinct().count() > 100
+
+
+def test_history_is_joined_where_it_lies(spark, tmp_path, monkeypatch):
+    """A batch is merge-joined with the buckets of all runs, also where a fingerprint is spread, without a shuffle of the history."""
+    monkeypatch.setattr(repeats, "SAMPLE", 1)
+    rng = random.Random(7)
+    common = "alpha beta gamma"
+    texts = [" ".join(f"{common} {rng.randrange(9)}{k} w{rng.randrange(400)} v{rng.randrange(400)} u{k}" for _ in range(20)) for k in range(60)]
+    texts[50:] = [texts[k][: 150 + k] for k in range(10)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    path, shape = f"{tmp_path}/it's an index", Shape(13, 3, 11)
+    index = FingerprintIndex(spark, path, shape, fan=9, buckets=6)
+    for low in (0, 20, 40):
+        index.add(keyed(rows.filter(f"doc_id >= {low} and doc_id < {low + 20}"), "text", "doc_id"))
+    index = FingerprintIndex(spark, path, shape, buckets=77)
+    assert index.buckets == 6 and len(index.runs) == 3 and index.heavy
+    history = index.read()
+    assert {r.slot for r in history.filter(F.col("common").isin(index.heavy)).select("slot").distinct().collect()} > {0} or history.filter("slot > 0").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = {r.common for r in history.filter("doc % 7 = 3").collect()}
+        met = index.meeting(spark.createDataFrame([(k,) for k in sorted(keys)], "common long"))
+        plan = met._jdf.queryExecution().executedPlan().toString()
+        scans = re.findall(r"FileScan parquet [^\[]*\[(common#\d+)", plan)
+        moved = re.findall(r"Exchange hashpartitioning\((common#\d+)", plan)
+        assert len(scans) == plan.count("Bucketed: true") == 3
+        assert moved and not set(scans) & set(moved) and len(moved) == plan.count("Exchange")
+        got = sorted((r.common, r.whole, r.doc) for r in met.collect())
+        assert got == sorted((r.common, r.whole, r.doc) for r in history.collect() if r.common in keys)
+        assert "Exchange" not in index.merged(index.runs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = brute_words(list(enumerate(texts)), 13)
+    got = [(r.n_words, sum(s.end - s.start for s in r.spans), hashlib.sha256(r.kept.encode()).hexdigest()) for r in repeated_phrases(rows, batches=4).orderBy("doc_id").collect()]
+    assert got == want
+
+
+def test_index_of_nothing(spark, tmp_path):
+    """Empty batches and null texts add empty runs, and the index goes on."""
+    index = FingerprintIndex(spark, f"{tmp_path}/index", Shape(13, 3, 11))
+    none = spark.createDataFrame([], "doc long, text string")
+    assert index.add(none).count() == 0
+    assert index.add(spark.createDataFrame([(1, None), (2, "")], "doc long, text string")).count() == 0
+    text = " ".join(f"w{k}" for k in range(40))
+    assert index.add(spark.createDataFrame([(3, text)], "doc long, text string")).count() == 0
+    assert index.add(spark.createDataFrame([(4, text), (4, text)], "doc long, text string")).filter("kind = 1 and doc = 4").count() > 0
