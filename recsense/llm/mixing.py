@@ -65,7 +65,12 @@ def with_copies(rows: DataFrame, targets: DataFrame, seed: str = SEED, doc_id: s
 
 
 def mixed_rows(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED) -> DataFrame:
-    """The mix itself: every document of ``docs`` as often as it is taken, with the columns of ``docs``."""
+    """The mix itself: every document of ``docs`` as often as it is taken, with the columns of ``docs``.
+
+    Null and empty texts have size 0 and are taken at their source's rate; a source of size 0 is not taken. A null
+    source is a source like any other, repeated ids share one draw, repeated rows are each taken, a null id draws
+    as the text ``null``, an empty table gives no rows. Other columns may have any names.
+    """
     sizes = docs.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size"))
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     taken = with_copies(whole, source_targets(sizes, weights, share, cap), seed)
