@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .byte_dedup import _SPANS, spans_of
-from .common import discard, folder, shared_dir, written
-from .repeats import INDEX, Deal, Shape, deal_of, dealt, finish, keyed, over_boundaries, sampled, scan_blocks, sorted_pass
+from .common import discard, folder, parquet_options, shared_dir, written
+from .repeats import HASHES, INDEX, Deal, Shape, dealt, finish, hashed_deal, keyed, over_boundaries, scan_blocks, sorted_pass
 
 #: Words of a window.
 WINDOW = 13
@@ -25,7 +25,7 @@ BATCHES, FAN = 3, 2
 #: Buckets that a frequent fingerprint is spread over, and one for its blocks from before it was frequent.
 SLOTS = 9
 
-RUN = "common long, slot int, whole long, doc long"
+RUN = "common long, slot int, whole long, doc long, sides long"
 
 
 def word_codes(texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -52,8 +52,8 @@ def cut_words(text: str, covered: np.ndarray | None) -> tuple[int, list[dict[str
 class FingerprintIndex:
     """A log-structured index of the windows of documents seen so far, in a folder that any later job can open.
 
-    It is a list of immutable runs in levels; a run is a table ``(common, slot, whole, doc)``: each block of windows that no
-    older run holds, with its smallest id. All runs lie in the same ``buckets`` of (common, slot), one sorted file each, so
+    It is a list of immutable runs in levels; a run is a table ``(common, slot, whole, doc, sides)``: each block of windows
+    that no older run holds, with its smallest id. All runs lie in the same ``buckets`` of (common, slot), one sorted file each, so
     :meth:`add` merge-joins a batch with the history where that lies: only the batch's keys, and the blocks that meet one of
     them, are shuffled, never the history. ``slot`` is 0 but for fingerprints that were too frequent for one range
     when their block came: those are spread over SLOTS buckets. The new blocks become a run of level 0. When a level
@@ -78,6 +78,8 @@ class FingerprintIndex:
         if names := [n for n in found if n.startswith("manifest-")]:
             self.version = int(names[-1].removeprefix("manifest-"))
             said = json.loads(spark.read.text(f"{self.path}/{names[-1]}").collect()[0][0])
+            if said.get("columns") != RUN:
+                raise ValueError(f"the runs of the index {self.path} have other columns than {RUN}; it has to be built again")
             self.buckets, self.heavy = said["buckets"], said["heavy"]
             self.runs = [(level, name) for level, name in said["runs"]]
 
@@ -86,7 +88,7 @@ class FingerprintIndex:
         files, at = folder(self.spark, f"{self.path}/manifest-{self.version:09d}")
         draft = folder(self.spark, f"{self.path}/draft-{uuid.uuid4().hex}")[1]
         out = files.create(draft)
-        out.write(bytearray(json.dumps({"buckets": self.buckets, "heavy": heavy, "runs": runs}).encode()))
+        out.write(bytearray(json.dumps({"columns": RUN, "buckets": self.buckets, "heavy": heavy, "runs": runs}).encode()))
         out.close()
         if not files.rename(draft, at):
             raise RuntimeError(f"another job has changed the index {self.path}")
@@ -98,7 +100,7 @@ class FingerprintIndex:
     def _write(self, blocks: DataFrame) -> str:
         """A run of ``blocks``, which should come in the partitions of the buckets."""
         name, table_name = f"run-{uuid.uuid4().hex}", f"run_{uuid.uuid4().hex}"
-        table = blocks.select("common", "slot", "whole", "doc").write.format("parquet").option("compression", "zstd")
+        table = blocks.select("common", "slot", "whole", "doc", "sides").write.format("parquet").options(**parquet_options(HASHES))
         table.bucketBy(self.buckets, "common", "slot").sortBy("common", "slot", "whole").option("path", f"{self.path}/{name}").saveAsTable(table_name)
         self.spark.sql(f"DROP TABLE {table_name}")  # an external table: its files stay
         return name
@@ -124,7 +126,7 @@ class FingerprintIndex:
             return None
         keys = self._slotted(rows.select("common"), F.sequence(F.lit(0), F.lit(SLOTS - 1))).groupBy("common", "slot").agg(F.lit(1).alias("one"))
         met = history.join(keys, ["common", "slot"], "left_semi")
-        return met.select("common", "whole", "doc", F.lit(1).cast("long").alias("n"), F.lit(True).alias("old"))
+        return met.select("common", "whole", "doc", "sides", F.lit(1).cast("long").alias("n"), F.lit(True).alias("old"))
 
     def add(self, texts: DataFrame, keep: bool = True) -> DataFrame:
         """``(whole, doc, kind)`` for the batch ``(doc, text)``; unless ``keep``, the index stays as it is.
@@ -132,19 +134,18 @@ class FingerprintIndex:
         Null texts, repeated ids and empty batches: see the class.
         """
         nothing = Deal(np.zeros(0, np.int64), np.zeros(0, np.int64))
-        tables = [written(scan_blocks(texts, word_codes, self.shape, nothing).drop("range"), "index-batch")]
+        tables = [written(scan_blocks(texts, word_codes, self.shape, nothing), "index-batch", HASHES)]
         met = self.meeting(tables[0])
         rows = tables[0]
         if met is not None:
-            tables.append(written(met, "index-met"))
+            tables.append(written(met, "index-met", HASHES))
             rows = rows.unionByName(tables[1])
-        deal = deal_of(sampled(rows))
-        merged = written(sorted_pass(dealt(rows, deal), deal, by_count=False, index=keep), "index-merge")
+        deal = hashed_deal(rows)
+        merged = written(sorted_pass(dealt(rows, deal), deal, by_count=False, index=keep), "index-merge", HASHES)
         discard(*tables)
         self.spent.append(merged)
         rest = over_boundaries(merged.filter("kind = 0"), by_count=False, index=keep)
-        names = ["common", "whole", "doc", "kind"]
-        said = merged.filter("kind > 0").select(names).unionByName(rest.select(names))
+        said = merged.filter("kind > 0").select("common", "whole", "doc", "kind", "sides").unionByName(rest, allowMissingColumns=True)
         if keep:
             self.heavy = sorted({*self.heavy, *deal.heavy.tolist()})
             spread = F.array((F.pmod(F.col("whole"), F.lit(SLOTS - 1)) + 1).cast("int"))
@@ -155,7 +156,7 @@ class FingerprintIndex:
 
     def merged(self, runs: list[tuple[int, str]]) -> DataFrame:
         """The blocks of several runs as one, bucket by bucket."""
-        return self.read(runs).groupBy("common", "slot", "whole").agg(F.min("doc").alias("doc"))
+        return self.read(runs).groupBy("common", "slot", "whole").agg(F.min("doc").alias("doc"), F.min("sides").alias("sides"))
 
     def compact(self) -> None:
         """Merge the runs of each level that has ``fan`` of them, from the lowest."""
