@@ -106,8 +106,10 @@ def nominal_rate(hz: Column, rates: tuple[float, ...] = RATES, within: float = S
 def segment_usability(table: DataFrame, rates: tuple[float, ...] = RATES, shortest: float = SHORTEST) -> DataFrame:
     """``usable`` and ``reason``: the rate is looked at before the duration."""
     nominal = nominal_rate(F.col("source_hz"), rates)
+    # rounded as SQL does, by the binary product: 0.00015 is 1.4999999999999998 ten-thousandths, where a cast would take its printed digits
+    shown = (F.round(F.col("source_hz") * 10_000.0).cast("decimal(22,0)") / 10_000).cast("decimal(18,4)").cast("string")
     reason = F.coalesce(
-        F.when(nominal.isNull(), F.concat(F.lit("no nominal rate near "), F.coalesce(F.col("source_hz").cast("decimal(18,4)").cast("string"), F.lit("none")), F.lit(" Hz"))),
+        F.when(nominal.isNull(), F.concat(F.lit("no nominal rate near "), F.coalesce(shown, F.lit("none")), F.lit(" Hz"))),
         F.when(F.col("duration_s") < shortest, F.lit("shorter than the least duration")),
     )
     return table.withColumn("nominal_hz", nominal).withColumn("reason", reason).withColumn("usable", F.col("reason").isNull())

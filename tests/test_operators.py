@@ -3,6 +3,7 @@
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -89,6 +90,13 @@ def test_gaps_rates_and_buckets(spark):
     assert [r.r for r in hz.collect()] == [100.0, None, 500.0]
 
 
+def test_rates_in_reasons_are_rounded_as_sql_rounds_them(spark):
+    rates = [k / 1e6 for k in range(1, 3000)] + [0.5, 12.34565, 123456.00005]
+    want = {hz: f"no nominal rate near {shown} Hz" for hz, shown in duckdb.sql(f"SELECT hz, CAST(CAST(hz AS DECIMAL(18,4)) AS VARCHAR) FROM (SELECT unnest({rates}::DOUBLE[]) AS hz)").fetchall()}
+    df = spark.createDataFrame([(hz, 5.0) for hz in rates], "source_hz double, duration_s double")
+    assert {r.source_hz: r.reason for r in timebase.segment_usability(df).collect()} == want
+
+
 def test_axis_permutation_and_unit(spark):
     rows = []
     for k in range(600):
