@@ -34,7 +34,7 @@ def replay(spark, sf_dir, files: int = FILES, parts: int = PARTS, most: int = RO
         cuts = -(-n // most)
         slot = F.floor((F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")) * cuts / 86400)
         for k in range(cuts):
-            of_day.filter(slot == k).drop("day").repartitionByRange(parts, "ts").write.parquet(f"{base}/in/part={day}-{k}")
+            (of_day.filter(slot == k) if cuts > 1 else of_day).drop("day").repartitionByRange(parts, "ts").write.parquet(f"{base}/in/part={day}-{k}")
     spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), F.expr(CLOSING).alias("ts"), F.lit(0.0).alias("value")).coalesce(1).write.parquet(f"{base}/in/part=9999-12-31")
     stream = spark.readStream.schema(rows.schema).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files).parquet(f"{base}/in")
     return stream, base

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import time
 from collections.abc import Callable, Iterator
 
@@ -10,7 +11,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def stream_gap_sessions(rows: DataFrame, rec: str, ts: str, value: str, gap: str, late: str) -> DataFrame:
@@ -49,67 +51,53 @@ def recursion(x: np.ndarray, before: float | None, weight: float) -> np.ndarray:
     return out
 
 
-class Lowpass(StatefulProcessor):
-    """y = a x + (1 - a) y before, per recording, in the order of event time; y0 = x0.
+#: Rows that the filter gives out at once.
+CHUNK = 10_000
 
-    Rows wait in the state until the watermark has passed them: every batch asks for a timer at its latest time, and when that
-    fires all rows up to it are there, whatever files they came in. They are then sorted, filtered from the last y on and given out.
-    So the state holds what arrived within the watermark's delay, however long a recording is. Rows behind
-    the watermark come too late for their place; Spark drops them before this, and :class:`Dropped` counts them.
-    """
-
-    CHUNK = 10_000
-
-    def __init__(self, weight: float, rec: str, ts: str, x: str):
-        self.weight, self.rec, self.ts, self.x = weight, rec, ts, x
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.last = handle.getValueState("last", "y double")
-        self.waiting = handle.getListState("waiting", "ts timestamp, x double")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        latest = None
-        for part in rows:
-            self.waiting.appendList([(t.to_pydatetime(), float(v)) for t, v in zip(part[self.ts], part[self.x], strict=True)])
-            latest = part[self.ts].max() if latest is None else max(latest, part[self.ts].max())
-        if latest is not None:
-            self.handle.registerTimer(millis(latest) + 1)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        held = list(self.waiting.get()) if self.waiting.exists() else []
-        if not held:
-            return
-        times, x = pd.Series([t for t, _ in held]), np.array([v for _, v in held], float)
-        due = np.array([millis(t) for t in times]) < expiredTimerInfo.getExpiryTimeInMs()
-        if not due.any():
-            return
-        if due.all():
-            self.waiting.clear()
-        else:
-            self.waiting.put([held[k] for k in np.flatnonzero(~due)])
-        order = np.flatnonzero(due)
-        order = order[np.argsort(times.to_numpy()[order], kind="stable")]
-        y = recursion(x[order], self.last.get()[0] if self.last.exists() else None, self.weight)
-        self.last.update((float(y[-1]),))
-        for start in range(0, len(order), self.CHUNK):
-            take = order[start : start + self.CHUNK]
-            yield pd.DataFrame({self.rec: key[0], self.ts: times.to_numpy()[take], "y": y[start : start + self.CHUNK]})
-
-    def close(self) -> None:
-        pass
 
+def lowpass_step(weight: float, rec: str, x: str) -> Callable:
+    """y = a x + (1 - a) y before, per recording, in the order of event time; y0 = x0. A key of the state is a bucket of recordings.
 
-def millis(t) -> int:
-    """Milliseconds since the epoch of a time without zone (UTC), rounded down."""
-    return (pd.Timestamp(t).value if pd.Timestamp(t).tzinfo is None else pd.Timestamp(t).tz_convert("UTC").tz_localize(None).value) // 1_000_000
-
+    Rows (with ``__us``, their time in microseconds) wait in the state until the watermark has passed them; by then all rows up to it
+    are there, whatever files they came in. They are sorted, filtered from their recording's last y on and given out, at the bucket's next
+    rows or, if none come, by a timer at the earliest that waits. So the state holds one y per recording and what arrived within the watermark's delay,
+    however long a recording is. Rows behind the watermark come too late for their place; Spark drops them before this, and
+    :class:`Dropped` counts them.
+    """
 
-def stream_lowpass(rows: DataFrame, rec: str, ts: str, x: str, weight: float, late: str = "0 seconds") -> DataFrame:
-    """The causal filter over rows that arrive in any order within ``late`` (needs the RocksDB state store)."""
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, held = pickle.loads(state.get[0]) if state.exists else ({}, [])
+        waiting = held if state.hasTimedOut else [*held, *((p[rec].to_numpy(), p["__us"].to_numpy(), p[x].to_numpy(float)) for p in parts)]
+        recs, us, values = (np.concatenate(c) for c in zip(*waiting, strict=True))
+        due = us <= state.getCurrentWatermarkMs() * 1000
+        codes, names = pd.factorize(recs[due], use_na_sentinel=False)
+        order = np.lexsort((us[due], codes))
+        times, samples, y = us[due][order], values[due][order], np.empty(len(order))
+        counts = np.bincount(codes, minlength=len(names))
+        ends = np.cumsum(counts)
+        for name, a, b in zip(names, ends - counts, ends, strict=True):
+            one = None if pd.isna(name) else name
+            y[a:b] = recursion(samples[a:b], last.get(one), weight)
+            last[one] = float(y[b - 1])
+        left = [(recs[~due], us[~due], values[~due])] if not due.all() else []
+        state.update((pickle.dumps((last, left)),))
+        if left:
+            state.setTimeoutTimestamp(int(-(-us[~due].min() // 1000)))
+        for at in range(0, len(y), CHUNK):
+            yield pd.DataFrame({rec: names[codes[order][at : at + CHUNK]], "__us": times[at : at + CHUNK], "y": y[at : at + CHUNK]})
+
+    return step
+
+
+def stream_lowpass(rows: DataFrame, rec: str, ts: str, x: str, weight: float, late: str = "0 seconds", buckets: int = 64) -> DataFrame:
+    """The causal filter over rows that arrive in any order within ``late``; a state store on disk (RocksDB) keeps memory bounded, any does.
+
+    Recordings share ``buckets`` keys of the state, because every key costs some ms a batch; as many tasks can work at once.
+    """
     kind = dict(rows.dtypes)
-    return rows.withWatermark(ts, late).groupBy(rec).transformWithStateInPandas(Lowpass(weight, rec, ts, x), f"{rec} {kind[rec]}, {ts} {kind[ts]}, y double", "Append", "EventTime")
+    timed = rows.withColumns({"__us": F.unix_micros(F.col(ts).cast("timestamp")), "__bucket": F.pmod(F.xxhash64(rec), F.lit(buckets))}).withWatermark(ts, late)
+    out = timed.groupBy("__bucket").applyInPandasWithState(lowpass_step(weight, rec, x), f"{rec} {kind[rec]}, __us long, y double", "held binary", "append", GroupStateTimeout.EventTimeTimeout)
+    return out.select(rec, F.timestamp_micros("__us").cast(kind[ts]).alias(ts), "y")
 
 
 class Dropped(StreamingQueryListener):

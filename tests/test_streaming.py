@@ -60,6 +60,17 @@ def test_shuffled_files_within_the_watermark_equal_the_batch_filter(rocks, tmp_p
             assert got[rec, t] == pytest.approx(y, abs=1e-9)
 
 
+def test_recordings_share_keys_of_the_state_and_do_not_wait_for_each_other(rocks, tmp_path):
+    rows = [(rec, at(60 * k + rec / 1000), float(rec + k)) for k in range(3) for rec in range(150)]
+    stream = landed(rocks, str(tmp_path), [rows[:150], rows[150:300], rows[300:]])
+    query = jobs.stream_lowpass(stream, "rec", "ts", "x", 0.5, "30 seconds").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert 0 < max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) <= 64
+    got = {(r.rec, r.ts): r.y for r in rocks.read.parquet(f"{tmp_path}/out").filter("rec >= 0").collect()}  # the closing event shares a key with some
+    want = {(rec, at(60 * k + rec / 1000)): y for rec in range(150) for k, y in enumerate([rec, rec + 0.5, rec + 1.25])}
+    assert got == pytest.approx(want)
+
+
 def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     ahead = [(rec, at(1000 + rec), 1.0) for rec in range(3)]
     behind = [(rec, at(10), 9.0) for rec in range(5)]  # five groups, an hour's window that is closed by then
