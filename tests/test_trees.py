@@ -99,3 +99,23 @@ def test_leave_one_group_out_never_sees_the_group(spark):
     got = {r.id: r.p for r in model.logo_cv(lying, names, "label", "grp", trees=5, depth=4).filter("grp = 'g1'").collect()}
     want = {r.id: r.p for r in model.predict(model.fit_forest(df.filter("grp <> 'g1'"), names, "label", trees=5, depth=4), df.filter("grp = 'g1'"), names).collect()}
     assert got == want and got
+
+
+def test_few_rows_in_one_file_keep_all_cores_busy_and_give_the_same_forest(spark, monkeypatch):
+    df, names, *_ = made(spark, 200)
+    tasks, real = set(), trees._passes
+    monkeypatch.setattr(trees, "_passes", lambda rows, *a: tasks.add(rows.rdd.getNumPartitions()) or real(rows, *a))
+    few = trees.fit_trees(df.coalesce(1), names, "label", "grp", [0], trees=20, depth=4)
+    assert min(tasks) >= spark.sparkContext.defaultParallelism
+    for name, value in (("SHARE", 60), ("SLOTS", 37), ("ROWS", 11), ("TREES", 3)):  # rows shared out, levels in several passes, trees cut by them
+        monkeypatch.setattr(trees, name, value)
+    many = trees.fit_trees(df, names, "label", "grp", [0], trees=20, depth=4)
+    for column in ("tree", "path", "feature", "cut", "left", "counts"):
+        assert (getattr(few, column) == getattr(many, column)).all()
+
+
+def test_seeds_that_do_not_fit_at_once_are_fitted_in_turn(spark, monkeypatch):
+    df, names, *_ = made(spark, 120)
+    whole = {r.seed: r.accuracy for r in model.ablation_grid(df, names, "label", "grp", [("all", [])], range(3), trees=4, depth=3).collect()}
+    monkeypatch.setattr(trees, "MOST_NODES", 3 * 4 * 15)
+    assert {r.seed: r.accuracy for r in model.ablation_grid(df, names, "label", "grp", [("all", [])], range(3), trees=4, depth=3).collect()} == whole
